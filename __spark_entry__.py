@@ -206,8 +206,10 @@ def q_similar_documents_hashed(spark, d):
 
 def q_dense_cosine(spark, d):
     emb = _Tables(spark, d).embeddings
+    # a scalar subquery may not sit inside a lambda: bind it to a column first
     given = emb.where(F.col("vec_id") == GIVEN_VECTOR).select("embedding").scalar()
-    return emb.select("vec_id", F.round(dense_cosine("embedding", given), 6).alias("similarity"))
+    with_query = emb.select("vec_id", "embedding", given.alias("_q"))
+    return with_query.select("vec_id", F.round(dense_cosine("embedding", "_q"), 6).alias("similarity"))
 
 
 def q_sparse_dot(spark, d):
@@ -520,12 +522,12 @@ select doc.doc_id as id, round(coalesce(s.similarity, 0.0), 6) as similarity,
 from documents doc left join sims s on s.id = doc.doc_id""",
     "dense_cosine": f"""with v as (
   select vec_id, cast(embedding as double[]) as e,
-         sqrt(list_sum(list_transform(cast(embedding as double[]), x -> x * x))) as n
+         sqrt(list_sum(list_transform(cast(embedding as double[]), lambda x: x * x))) as n
   from embeddings),
 q as (select e as qe, n as qn from v where vec_id = {GIVEN_VECTOR})
 select v.vec_id,
        round(case when v.n = 0 or q.qn = 0 then 0.0
-                  else list_sum(list_transform(list_zip(v.e, q.qe), p -> p[1] * p[2])) / (v.n * q.qn) end, 6)
+                  else list_dot_product(v.e, q.qe) / (v.n * q.qn) end, 6)
          as similarity
 from v, q""",
     "sparse_dot": f"""with {_RATINGS},

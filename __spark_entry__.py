@@ -186,7 +186,7 @@ def q_idf_terms(spark, d):
 
 def q_tfidf_norms(spark, d):
     docs = _Tables(spark, d).docs
-    norms = content.tfidf_norms(docs, content.tfidf_terms(docs))
+    norms = content.tfidf_norms(docs, content.tfidf_terms(docs, nonzero=True))
     return norms.select("id", F.round("norm", 6).alias("norm"))
 
 

@@ -44,9 +44,14 @@ def document_terms(
 ) -> DataFrame:
     """Term counts per document, ``(id, term, tf)``.
 
-    With ``num_features`` the term is its hash bucket (an int) instead.
+    With ``num_features`` the term is its hash bucket (an int) instead.  A
+    document is one row, so the map-side partial count is already final and
+    only distinct (document, term) pairs cross the shuffle.  Rows without an
+    id cannot be matched to anything and are skipped.
     """
-    tokens = docs.select(F.col(id_col).alias("id"), F.explode(clean_tokens(text_col, stop_words)).alias("term"))
+    tokens = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.explode(clean_tokens(text_col, stop_words)).alias("term")
+    )
     if num_features:
         tokens = tokens.select("id", F.pmod(F.hash("term"), F.lit(num_features)).alias("term"))
     return tokens.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -58,9 +63,16 @@ def document_count(docs: DataFrame) -> Column:
 
 
 def inverse_document_frequency(terms: DataFrame, n_docs, min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
-    """``(term, df, idf)`` from ``(id, term, tf)`` rows (one per document and term)."""
+    """``(term, df, idf)`` from ``(id, term, tf)`` rows (one per document and term).
+
+    ``df`` is the number of documents whose ``tf`` is positive.  Reading
+    ``tf`` keeps this branch's input plan identical to the term-frequency
+    branch, so Spark tokenizes the corpus once and both branches read the
+    same shuffle (a plain row count would let the optimizer prune ``tf`` and
+    make the two plans differ).
+    """
     n = n_docs if isinstance(n_docs, Column) else F.lit(n_docs)
-    df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = terms.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     idf = F.when(F.col("df") >= min_doc_freq, F.log((n + 1) / (F.col("df") + 1))).otherwise(F.lit(0.0))
     return df.withColumn("idf", idf)
 
@@ -73,47 +85,55 @@ def tfidf_terms(
     method: str = "exact",
     min_doc_freq: int = MIN_DOC_FREQ,
     num_features: int = NUM_FEATURES,
+    nonzero: bool = False,
 ) -> DataFrame:
-    """M8 (exact) / M7 (hashed) in long form: ``(id, term, tf, df, idf, weight)``."""
+    """M8 (exact) / M7 (hashed) in long form: ``(id, term, tf, df, idf, weight)``.
+
+    With ``nonzero=True`` terms whose idf is 0 are dropped on the (smaller)
+    idf side before the join; they add nothing to a norm or a dot product.
+    """
     if method not in ("exact", "hashed"):
         raise ValueError("method must be 'exact' or 'hashed'")
     buckets = num_features if method == "hashed" else None
     terms = document_terms(docs, id_col, text_col, stop_words, buckets)
     idf = inverse_document_frequency(terms, document_count(docs), min_doc_freq)
+    if nonzero:
+        idf = idf.where(F.col("idf") != 0)
     return terms.join(idf, "term").withColumn("weight", F.col("tf") * F.col("idf"))
 
 
-def nonzero_weights(weights: DataFrame) -> DataFrame:
-    return weights.where(F.col("weight") != 0).select("id", "term", "weight")
-
-
 def tfidf_norms(docs: DataFrame, weights: DataFrame, id_col: str = "id") -> DataFrame:
     """L2 norm of every document's TF-IDF vector, ``(id, norm)``; 0 for an empty one."""
-    norms = nonzero_weights(weights).groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    norms = weights.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     ids = docs.select(F.col(id_col).alias("id"))
     return ids.join(norms, "id", "left").select("id", F.coalesce("norm", F.lit(0.0)).alias("norm"))
 
 
 def similarity_scores(weights: DataFrame, given_id) -> DataFrame:
-    """J9 + F18 + F23: cosine of every document with a non-zero dot against ``given_id``.
-
-    ``(id, similarity)``; documents sharing no weighted term are absent (their
-    cosine is 0).  The given document's terms are the small side of the term
-    join: Spark broadcasts them when their measured size allows, and
-    otherwise shuffles on the term, splitting skewed terms (AQE).  Both sums
-    are partially aggregated before their shuffle.
+    """J9 + F18 + F23: cosine against ``given_id`` for every document with a weighted term.
+
+    ``weights`` are non-zero ``(id, term, weight)`` rows.  Each document's
+    norm and its dot with the given document come out of one grouped
+    aggregate over a left join with the given document's terms - the small
+    side: Spark broadcasts it when its measured size allows, otherwise it
+    shuffles on the term and AQE splits skewed terms.  The given document's
+    own terms are read through a pushed-down id filter.  Result
+    ``(id, similarity)``; documents without weighted terms are absent.
     """
-    w = nonzero_weights(weights)
+    w = weights.select("id", "term", "weight")
     query = w.where(F.col("id") == F.lit(given_id)).select("term", F.col("weight").alias("qw"))
     q_norm = query.select(F.sqrt(F.sum(F.col("qw") * F.col("qw")))).scalar()
-    dots = w.join(query, "term").groupBy("id").agg(F.sum(F.col("weight") * F.col("qw")).alias("dot"))
-    norms = w.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    return dots.join(norms, "id").select(
-        "id",
-        F.when((F.col("norm") == 0) | (q_norm == 0), F.lit(0.0))
-        .otherwise(F.col("dot") / (F.col("norm") * q_norm))
-        .alias("similarity"),
+    per_doc = (
+        w.join(query, "term", "left")
+        .groupBy("id")
+        .agg(
+            F.sum(F.col("weight") * F.col("weight")).alias("_n2"),
+            F.sum(F.col("weight") * F.coalesce(F.col("qw"), F.lit(0.0))).alias("_dot"),
+        )
     )
+    # every grouped document has a non-zero weight, so no norm here is 0; an
+    # empty given document makes q_norm NULL and every similarity NULL (-> 0)
+    return per_doc.select("id", (F.col("_dot") / (F.sqrt("_n2") * q_norm)).alias("similarity"))
 
 
 def similar_documents(
@@ -129,21 +149,23 @@ def similar_documents(
     """M9: documents with their cosine similarity to ``given_id``.
 
     Every document appears (0.0 when nothing is shared), with all its
-    columns.  With ``k`` only the ``k`` most similar (ties by id) are kept and
-    the top-k runs on ``(id, similarity)`` before the document columns are
-    joined back, so the text is never shuffled; ``k=None`` returns all rows
-    unsorted.  The given document has similarity 1 (duplicates of it too).
+    columns.  With ``k`` only the ``k`` most similar (ties by id) are kept:
+    the top-k runs on ``(id, similarity)`` and only those ``k`` rows are
+    joined back to the documents, so the text is not shuffled.  ``k=None``
+    returns every row, unsorted.  The given document has similarity 1
+    (exact duplicates of it too).
     """
-    weights = tfidf_terms(docs, id_col, text_col, stop_words, method, num_features=num_features)
+    weights = tfidf_terms(docs, id_col, text_col, stop_words, method, num_features=num_features, nonzero=True)
     scores = similarity_scores(weights, given_id)
-    ids = docs.select(F.col(id_col).alias("id"))
-    every = ids.join(scores, "id", "left").select("id", F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
-    if k is not None:
-        every = every.orderBy(F.col("similarity").desc(), F.col("id").asc()).limit(k)
-    out = every.join(docs.withColumnRenamed(id_col, "id"), "id")
-    if k is not None:
-        out = out.orderBy(F.col("similarity").desc(), F.col("id").asc())
-    return out
+    sim = F.coalesce(F.col("similarity"), F.lit(0.0)).alias("similarity")
+    named = docs.withColumnRenamed(id_col, "id") if id_col != "id" else docs
+    if k is None:
+        return named.join(scores, "id", "left").select("id", sim, *[c for c in named.columns if c != "id"])
+    best = (
+        named.select("id").join(scores, "id", "left").select("id", sim)
+        .orderBy(F.col("similarity").desc(), F.col("id").asc()).limit(k)
+    )
+    return best.join(named, "id").orderBy(F.col("similarity").desc(), F.col("id").asc())
 
 
 # --- pyspark.ml forms (M7, M10) ----------------------------------------------------

@@ -32,6 +32,8 @@ from tessera.functions.text import clean_tokens, strip_double_quotes
 # --- fixed values -------------------------------------------------------------
 MIN_DOC_FREQ = 2
 NUM_FEATURES = 1 << 20  # MLlib HashingTF default size
+# similarities equal to this many decimals are ties (summation-order noise)
+TIE_DECIMALS = 12
 # -------------------------------------------------------------------------------
 
 
@@ -149,7 +151,9 @@ def similar_documents(
     """M9: documents with their cosine similarity to ``given_id``.
 
     Every document appears (0.0 when nothing is shared), with all its
-    columns.  With ``k`` only the ``k`` most similar (ties by id) are kept:
+    columns.  With ``k`` only the ``k`` most similar are kept (values equal
+    to ``TIE_DECIMALS`` places are ties, broken by id, so the given document
+    precedes its duplicates whatever the rounding noise):
     the top-k runs on ``(id, similarity)`` and only those ``k`` rows are
     joined back to the documents, so the text is not shuffled.  ``k=None``
     returns every row, unsorted.  The given document has similarity 1
@@ -161,11 +165,9 @@ def similar_documents(
     named = docs.withColumnRenamed(id_col, "id") if id_col != "id" else docs
     if k is None:
         return named.join(scores, "id", "left").select("id", sim, *[c for c in named.columns if c != "id"])
-    best = (
-        named.select("id").join(scores, "id", "left").select("id", sim)
-        .orderBy(F.col("similarity").desc(), F.col("id").asc()).limit(k)
-    )
-    return best.join(named, "id").orderBy(F.col("similarity").desc(), F.col("id").asc())
+    order = [F.round("similarity", TIE_DECIMALS).desc(), F.col("id").asc()]
+    best = named.select("id").join(scores, "id", "left").select("id", sim).orderBy(*order).limit(k)
+    return best.join(named, "id").orderBy(*order)
 
 
 # --- pyspark.ml forms (M7, M10) ----------------------------------------------------

@@ -1,0 +1,95 @@
+"""Tokenizing, stop words, TF-IDF and similarity."""
+
+import math
+
+from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, StopWordsRemover
+from pyspark.sql import functions as F
+
+from tessera.functions import stopwords
+from tessera.functions.text import clean_tokens, strip_double_quotes, tokenize
+from tessera.plans import content
+from tessera.sources import fixtures
+
+from conftest import SF01
+
+
+def _docs(spark, sf=SF01):
+    return fixtures.docs_from_documents(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+def test_english_list_is_sparks_default(spark):
+    assert stopwords.ENGLISH == StopWordsRemover.loadDefaultStopWords("english")
+    assert len(stopwords.POLISH) == 143
+    assert "jeżeli\tjuż" in stopwords.POLISH  # tab lines kept whole (Q8)
+
+
+def test_tokens_equal_ml_pipeline(spark):
+    docs = _docs(spark).withColumn("description", strip_double_quotes("description"))
+    ml = content.preprocessing_pipeline().fit(docs).transform(docs).select("id", "tokens")
+    ours = docs.select("id", clean_tokens("description").alias("mine"))
+    diff = ml.join(ours, "id").where(F.col("tokens") != F.col("mine")).count()
+    assert diff == 0
+
+
+def test_null_and_empty_text(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "  The  a ")], "id long, description string")
+    rows = {r.id: r.t for r in df.select("id", clean_tokens("description").alias("t")).collect()}
+    assert rows[1] is None and rows[2] == [] and rows[3] == []
+    assert df.select(tokenize(F.lit("A  b")).alias("t")).first().t == ["a", "", "b"]
+    # null and empty documents still count as documents for N
+    terms = content.document_terms(df)
+    assert terms.count() == 0
+
+
+def test_tfidf_equals_countvectorizer_idf(spark):
+    docs = _docs(spark).withColumn("description", strip_double_quotes("description"))
+    toks = docs.select("id", clean_tokens("description").alias("tokens"))
+    cv = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=1 << 24, minDF=1.0).fit(toks)
+    tf = cv.transform(toks)
+    idf_model = IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2).fit(tf)
+    vocab = cv.vocabulary
+    idf_ml = {vocab[i]: v for i, v in enumerate(idf_model.idf.toArray())}
+    terms = content.document_terms(_docs(spark))
+    ours = content.inverse_document_frequency(terms, content.document_count(_docs(spark)))
+    got = {r.term: r.idf for r in ours.collect()}
+    assert set(got) == set(idf_ml)
+    assert max(abs(got[t] - idf_ml[t]) for t in got) < 1e-12
+
+    norm_ml = Normalizer(inputCol="tfidf", outputCol="n").transform(idf_model.transform(tf))
+    given = norm_ml.where("id = 1").first().n
+    ml_sims = {r.id: float(r.n.dot(given)) for r in norm_ml.select("id", "n").collect()}
+    ours_sims = {r.id: r.similarity for r in content.similar_documents(_docs(spark), 1, k=None).collect()}
+    assert set(ours_sims) == set(ml_sims)
+    assert max(abs(ours_sims[i] - ml_sims[i]) for i in ml_sims) < 1e-9
+
+
+def test_self_similarity_first(spark):
+    top = content.similar_documents(_docs(spark), 1, k=5).collect()
+    assert top[0].id == 1 and math.isclose(top[0].similarity, 1.0, abs_tol=1e-12)
+    keys = [round(r.similarity, content.TIE_DECIMALS) for r in top]
+    assert keys == sorted(keys, reverse=True)
+    assert len(top) == 5 and "description" in top[0].asDict()
+
+
+def test_hashed_method_close_to_exact(spark):
+    docs = _docs(spark)
+    exact = {r.id: r.similarity for r in content.similar_documents(docs, 1, k=None).collect()}
+    hashed = {r.id: r.similarity for r in content.similar_documents(docs, 1, k=None, method="hashed").collect()}
+    assert set(exact) == set(hashed)
+    assert math.isclose(hashed[1], 1.0, abs_tol=1e-9)
+    assert max(abs(exact[i] - hashed[i]) for i in exact) < 0.05  # collisions only merge a few terms
+
+
+def test_norms_cover_every_document(spark):
+    docs = _docs(spark)
+    norms = content.tfidf_norms(docs, content.tfidf_terms(docs, nonzero=True))
+    assert norms.count() == docs.count()
+    assert norms.where(F.col("norm") < 0).count() == 0
+
+
+def test_tfidf_vectors_pipeline_runs(spark):
+    model, out = content.tfidf_vectors(_docs(spark, "/root/testdata/sf0.001"))
+    row = out.select("features").first()
+    assert row.features.size == content.NUM_FEATURES
+    n = math.sqrt(sum(v * v for v in row.features.values))
+    assert n == 0 or math.isclose(n, 1.0, rel_tol=1e-9)

@@ -43,11 +43,28 @@ def remove_stop_words(tokens_col, stop_words: Iterable[str] | None = None) -> Co
     The list becomes an ``InSet`` (hash lookup) inside the lambda; it is a
     literal of the plan, shipped once with the task, not a join.
     """
-    words = reference_stop_words() if stop_words is None else list(stop_words)
-    lowered = sorted({w.lower() for w in words})
+    lowered = stop_word_set(stop_words)
     return F.filter(_c(tokens_col), lambda t: ~F.lower(t).isin(lowered))
 
 
 def clean_tokens(text_col, stop_words: Iterable[str] | None = None) -> Column:
-    """F1 -> F3 -> F4 in one expression: the token list the TF-IDF step reads."""
+    """F1 -> F3 -> F4 in one expression: the cleaned token list of each row."""
     return remove_stop_words(tokenize(strip_double_quotes(text_col)), stop_words)
+
+
+def stop_word_set(stop_words: Iterable[str] | None = None) -> list[str]:
+    words = reference_stop_words() if stop_words is None else list(stop_words)
+    return sorted({w.lower() for w in words})
+
+
+def exploded_terms(df, text_col, stop_words: Iterable[str] | None = None, keep=()):
+    """F1 -> F3 -> explode -> F4: one row per kept token.
+
+    Same tokens as ``explode(clean_tokens(...))``, but the stop-word test is
+    a plain ``NOT IN`` set predicate on the exploded column, which whole-stage
+    code generation compiles; inside a lambda it would be interpreted per
+    element.  Tokens are already lower case (the text is lowered before the
+    split), so the case-insensitive test needs no second ``lower``.
+    """
+    terms = df.select(*keep, F.explode(tokenize(strip_double_quotes(text_col))).alias("term"))
+    return terms.where(~F.col("term").isin(stop_word_set(stop_words)))

@@ -1,0 +1,22 @@
+"""Input layout: spread an under-split input before CPU-heavy per-row work.
+
+A scan gives one task per file split, and a Parquet row group or an
+unsplittable file (gzip CSV) is never divided.  When the input arrives in
+fewer partitions than the cluster has task slots, a per-row heavy step
+(tokenizing whole documents) would run on a few cores while the rest idle.
+On a large, well-split table the partition count already exceeds the slot
+count and nothing is added - so the extra shuffle is only paid where it
+buys parallelism.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_underpartitioned(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's slots) if it has fewer."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.stopwords import reference_stop_words
-from tessera.functions.text import clean_tokens, strip_double_quotes
+from tessera.functions.text import exploded_terms, strip_double_quotes
+from tessera.operators.layout import spread_if_underpartitioned
 
 # --- fixed values -------------------------------------------------------------
 MIN_DOC_FREQ = 2
@@ -49,11 +50,12 @@ def document_terms(
     With ``num_features`` the term is its hash bucket (an int) instead.  A
     document is one row, so the map-side partial count is already final and
     only distinct (document, term) pairs cross the shuffle.  Rows without an
-    id cannot be matched to anything and are skipped.
+    id cannot be matched to anything and are skipped.  An input split into
+    fewer partitions than task slots is spread first (tokenizing is the
+    CPU-heavy step).
     """
-    tokens = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.explode(clean_tokens(text_col, stop_words)).alias("term")
-    )
+    docs = spread_if_underpartitioned(docs.where(F.col(id_col).isNotNull()))
+    tokens = exploded_terms(docs, text_col, stop_words, keep=[F.col(id_col).alias("id")])
     if num_features:
         tokens = tokens.select("id", F.pmod(F.hash("term"), F.lit(num_features)).alias("term"))
     return tokens.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))

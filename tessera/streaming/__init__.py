@@ -1,0 +1,5 @@
+"""Structured Streaming forms of the reports (the batch plans, run incrementally)."""
+
+from tessera.streaming.balances import balance_stream, start_balance_table
+
+__all__ = ["balance_stream", "start_balance_table"]

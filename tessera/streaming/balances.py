@@ -1,0 +1,61 @@
+"""The balance report (R1) kept current from a stream of transaction files.
+
+The same plan as :func:`tessera.plans.transactions.current_balance` - filter,
+``groupBy(customerid, card)``, ``sum(amount)`` - run by Structured Streaming:
+running sums live in the state store (partitioned by key, checkpointed in
+the shared folder, so a lost executor or a restarted driver resumes where it
+stopped), and each micro-batch's complete result replaces the keyed balance
+table, as the batch programme's full replace did.  Overwriting is
+idempotent, so a re-run micro-batch writes the same table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from tessera.plans.transactions import BALANCE_STATUSES, current_balance
+from tessera.session import shared_dir
+from tessera.sources import tables
+
+
+def balance_stream(spark: SparkSession, tx_path: str, as_of, statuses=BALANCE_STATUSES,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of balances over Parquet transaction files arriving in ``tx_path``."""
+    reader = spark.readStream.schema(tables.TRANSACTIONS.ddl)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return current_balance(reader.parquet(tx_path), as_of, statuses)
+
+
+def start_balance_table(
+    spark: SparkSession,
+    tx_path: str,
+    table_path: str,
+    as_of,
+    checkpoint_location: str | None = None,
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Start the stream; every trigger rewrites ``table_path`` with the current balances.
+
+    ``available_now=True`` processes what is there and stops (a scheduled
+    catch-up job); otherwise the query runs with ``processing_time`` triggers.
+    The checkpoint defaults to a folder under ``spark.checkpoint.dir``.
+    """
+    ckpt = checkpoint_location or f"{shared_dir(spark)}/balance-stream-checkpoint"
+
+    def replace(batch: DataFrame, epoch_id: int) -> None:
+        tables.replace_table(batch, tables.BALANCE, table_path)
+
+    writer = (
+        balance_stream(spark, tx_path, as_of)
+        .writeStream.outputMode("complete")
+        .foreachBatch(replace)
+        .option("checkpointLocation", ckpt)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()

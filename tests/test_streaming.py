@@ -1,0 +1,27 @@
+"""The balance report over a file stream equals the batch report over the same files."""
+
+from tessera.plans.transactions import current_balance
+from tessera.sources import generate, tables
+from tessera.streaming import start_balance_table
+
+
+def test_stream_matches_batch(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "tx"), str(tmp_path / "balance"), str(tmp_path / "ckpt")
+    customers = generate.gen_customers(spark, n=40, seed=11)
+    tx = generate.gen_transactions(spark, customers, n=400, seed=11, as_of="2017-11-01")
+    first, second = tx.where("amount % 2 = 0"), tx.where("amount % 2 != 0")
+    as_of = "2017-11-02"
+
+    first.write.mode("append").parquet(src)
+    q = start_balance_table(spark, src, out, as_of, checkpoint_location=ckpt)
+    q.awaitTermination(120)
+    got1 = {(r.customerid, r.card): r.balance for r in tables.read_keyed(spark, tables.BALANCE, out).collect()}
+    want1 = {(r.customerid, r.card): r.balance for r in current_balance(first, as_of).collect()}
+    assert got1 == want1 and got1
+
+    second.write.mode("append").parquet(src)
+    q = start_balance_table(spark, src, out, as_of, checkpoint_location=ckpt)  # resumes from the checkpoint
+    q.awaitTermination(120)
+    got2 = {(r.customerid, r.card): r.balance for r in tables.read_keyed(spark, tables.BALANCE, out).collect()}
+    want2 = {(r.customerid, r.card): r.balance for r in current_balance(tx, as_of).collect()}
+    assert got2 == want2

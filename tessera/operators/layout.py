@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame
 
 def spread_if_underpartitioned(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over ``min_partitions`` (default: the cluster's slots) if it has fewer."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
+        return df
+    return df.repartition(target) if current < target else df

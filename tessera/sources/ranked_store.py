@@ -63,8 +63,10 @@ def write_ranked(
         ).alias("member"),
         F.lit(batch).cast("bigint").alias("batch"),
     )
-    # one writer task per bucket directory, rows sorted so user_id stats prune
-    rows = rows.repartition(num_buckets, "bucket").sortWithinPartitions("bucket", "user_id")
+    # range partitions over (bucket, user): every task writes one contiguous
+    # slice - into one or two bucket directories - however many rows there
+    # are, and rows sorted by user let min/max statistics prune reads
+    rows = rows.repartitionByRange("bucket", "user_id").sortWithinPartitions("bucket", "user_id")
     mode = "overwrite" if scope == "all" else "append"
     rows.write.mode(mode).partitionBy("bucket").parquet(path)
     return path

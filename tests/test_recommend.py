@@ -140,3 +140,17 @@ def test_top_rated_titles_order(spark, ratings, movies):
     keys = [(-r.rating, r.movieId) for r in top]
     assert keys == sorted(keys)
     assert all(1.0 <= r.rating <= 5.0 and not math.isnan(r.rating) for r in top)
+
+
+def test_empty_test_split_is_not_comparable(spark, ratings):
+    empty = ratings.limit(0)
+    res = R.evaluate_ranks(ratings, empty, ranks=(4,), seed=1).collect()
+    assert res[0].rmse is None
+    assert best_candidate(R.evaluate_ranks(ratings, empty, ranks=(4,), seed=1)).first() is None
+
+
+def test_equal_scores_break_ties_by_film(spark):
+    ratings = spark.createDataFrame([(1, 5, 3.0), (1, 3, 3.0), (1, 4, 3.0)], "user_id int, item int, rating double")
+    movies = spark.createDataFrame([(3, "c", "g"), (4, "d", "g"), (5, "e", "g")], "movieId int, title string, genre string")
+    new = spark.createDataFrame([], "user_id int, item int, rating double")
+    assert [r.movieId for r in R.top_rated_titles(ratings, new, movies, n=2).collect()] == [3, 4]

@@ -62,3 +62,21 @@ def test_as_micros_timezone_aware():
     aware = dt.datetime(1970, 1, 1, 1, 0, tzinfo=dt.timezone(dt.timedelta(hours=1)))
     assert tu.as_micros(aware) == 0
     assert tu.as_micros("1970-01-02") == 86_400_000_000
+
+
+def test_roundtrip_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    drawn = []
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.integers(min_value=0, max_value=(1 << 60) - 1))
+    def collect(t):
+        drawn.append(t)
+
+    collect()
+    df = spark.createDataFrame([(t,) for t in drawn], "t long")
+    out = df.select("t", tu.make_timeuuid("t").alias("u")).select("t", "u", tu.timeuuid_ticks("u").alias("back"))
+    for r in out.collect():
+        assert r.back == r.t and uuid.UUID(r.u).time == r.t and uuid.UUID(r.u).version == 1

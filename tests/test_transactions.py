@@ -145,3 +145,10 @@ def test_replace_table_keeps_first_per_key(spark, tmp_path):
     ).withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
     path = tables.replace_table(df, tables.BALANCE, str(tmp_path / "b"), order_by=[F.col("updated_at").desc()])
     assert [r.balance for r in tables.read_keyed(spark, tables.BALANCE, path).collect()] == [9]
+
+
+def test_bad_reported_at_raises(spark):
+    lost = spark.createDataFrame([("c1", "LOST", "2017-13-45")], files.LOST_CARDS_SCHEMA)
+    tx = _tx(spark, [("1", 2017, 1, as_ticks("2017-01-01"), 1, "c1", "COMPLETED")])
+    with pytest.raises(Exception):
+        T.suspicious_transactions(tx, lost).collect()

@@ -154,3 +154,13 @@ def test_equal_scores_break_ties_by_film(spark):
     movies = spark.createDataFrame([(3, "c", "g"), (4, "d", "g"), (5, "e", "g")], "movieId int, title string, genre string")
     new = spark.createDataFrame([], "user_id int, item int, rating double")
     assert [r.movieId for r in R.top_rated_titles(ratings, new, movies, n=2).collect()] == [3, 4]
+
+
+def test_exclude_seen_still_returns_n(spark, ratings, movies):
+    # a user who rated many films still gets a full list of unseen ones
+    heavy = ratings.groupBy("user_id").count().orderBy(F.desc("count"), "user_id").first()
+    model = R.fit_als(ratings, 4, seed=1)
+    users = spark.createDataFrame([(heavy.user_id,)], "user_id int")
+    n_items = ratings.select("item").distinct().join(movies.select(F.col("movieId").alias("item")), "item").count()
+    recs = R.top_n_for_users(model, users, movies, n=10, exclude_seen=ratings).collect()
+    assert len(recs) == min(10, n_items - heavy["count"])

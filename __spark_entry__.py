@@ -155,6 +155,7 @@ def q_generated_customers(spark, d):
 
 
 def q_generated_transactions(spark, d):
+    _ensure_shared_dir(spark)
     t = _Tables(spark, d)
     customers = generate.gen_customers(_customer_draws(t), seed=GEN_SEED)
     draws = t.orders.select(F.col("o_orderkey").alias("i"))
@@ -167,6 +168,7 @@ def q_planted_suspicious(spark, d):
 
 
 def q_positional_join(spark, d):
+    _ensure_shared_dir(spark)
     t = _Tables(spark, d)
     orders = global_row_number(t.orders.select("o_orderkey"), "o_orderkey", "p")
     cust = global_row_number(t.cust.select(F.col("id").alias("cid")), "cid", "cp")
@@ -281,7 +283,8 @@ def q_ranked_store_roundtrip(spark, d):
     lists = lists.select("user_id", F.col("item").alias("movieId"), "title", "rating")
     path = fresh_path(spark, "ranked")
     ranked_store.write_ranked(lists, path, scope="all", batch=1)
-    back = ranked_store.read_ranked(spark, path, t.ratings.select("user_id"), k=10)
+    every_customer = t.customer.select(F.col("c_custkey").cast("int").alias("user_id"))
+    back = ranked_store.read_ranked(spark, path, every_customer, k=10)
     return back.select("user_id", "movieId", "title", "rating")
 
 

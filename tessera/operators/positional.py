@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import checkpointed
+
 
 def _cols(xs) -> list:
     if isinstance(xs, (str, Column)):
@@ -19,16 +21,21 @@ def _cols(xs) -> list:
     return list(xs)
 
 
-def global_row_number(df: DataFrame, order_by, name: str = "rn") -> DataFrame:
+def global_row_number(df: DataFrame, order_by, name: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row under ``order_by`` (which must be a total order).
 
     Equivalent to ``row_number() over (order by ...)`` but never funnels the
-    data through one task.  Deterministic on recomputation: the range bounds
-    come from a seeded sample and each partition is sorted on the total order.
+    data through one task.  The range-partitioned, locally numbered rows are
+    written once with a reliable ``checkpoint()`` (shared folder from
+    ``spark.checkpoint.dir``): the per-partition counts and the numbering must
+    see the *same* partition boundaries, and two separate range shuffles
+    would each sample their own.  The checkpoint also survives the loss of an
+    executor.  This runs a job when called.
     """
     order = _cols(order_by)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
-        df.repartitionByRange(*order)
+        df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_pid", F.spark_partition_id())
         # monotonically_increasing_id = (partition id << 33) + index within it
@@ -37,6 +44,7 @@ def global_row_number(df: DataFrame, order_by, name: str = "rn") -> DataFrame:
             F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33),
         )
     )
+    ordered = checkpointed(ordered)
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a window over it is tiny
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -63,10 +63,19 @@ def write_ranked(
         ).alias("member"),
         F.lit(batch).cast("bigint").alias("batch"),
     )
-    # range partitions over (bucket, user): every task writes one contiguous
-    # slice - into one or two bucket directories - however many rows there
-    # are, and rows sorted by user let min/max statistics prune reads
-    rows = rows.repartitionByRange("bucket", "user_id").sortWithinPartitions("bucket", "user_id")
+    # each bucket is cut into `slices` by a second, independent hash, so there
+    # are about as many writer tasks as shuffle partitions (not just one per
+    # bucket), each task writes about one file, and no sampling pass
+    # re-evaluates the (possibly expensive) input as range partitioning would;
+    # rows sorted by user let min/max statistics prune reads
+    spark = df.sparkSession
+    slices = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // num_buckets)
+    rows = rows.withColumn("_slice", F.pmod(F.xxhash64(F.col("user_id"), F.lit("slice")), F.lit(slices)))
+    rows = (
+        rows.repartition(num_buckets * slices, "bucket", "_slice")
+        .sortWithinPartitions("bucket", "user_id")
+        .drop("_slice")
+    )
     mode = "overwrite" if scope == "all" else "append"
     rows.write.mode(mode).partitionBy("bucket").parquet(path)
     return path

@@ -104,3 +104,17 @@ def test_word_list_lines_kept_whole(spark, tmp_path):
     assert words == ["a", "jeżeli\tjuż", "mm,"]
     with pytest.raises(ValueError):
         files.word_list_values(files.read_word_list(spark, str(p)), max_words=2)
+
+
+def test_global_row_number_wide_rows_sampled_bounds(spark):
+    # enough rows that range bounds come from a sample, and extra columns the
+    # count branch does not need: the numbering must still be exact
+    df = spark.range(0, 200_000, numPartitions=16).select(
+        (F.col("id") * 48271 % 200_003).alias("k"),
+        F.col("id").cast("string").alias("payload"),
+        (F.col("id") % 7).alias("x"),
+    )
+    ours = global_row_number(df, ["k"], "rn")
+    assert ours.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first() == (1, 200_000, 200_000)
+    ref = df.select("k", F.row_number().over(Window.orderBy("k")).alias("rn2"))
+    assert ours.join(ref, "k").where(F.col("rn") != F.col("rn2")).count() == 0

@@ -164,3 +164,12 @@ def test_exclude_seen_still_returns_n(spark, ratings, movies):
     n_items = ratings.select("item").distinct().join(movies.select(F.col("movieId").alias("item")), "item").count()
     recs = R.top_n_for_users(model, users, movies, n=10, exclude_seen=ratings).collect()
     assert len(recs) == min(10, n_items - heavy["count"])
+
+
+def test_random_split_is_exact_partition(ratings):
+    train, test = R.random_split(ratings, 0.75, seed=5)
+    n, a, b = ratings.count(), train.count(), test.count()
+    assert a + b == n and train.join(test, ["user_id", "item"]).count() == 0
+    assert 0.7 < a / n < 0.8
+    again, _ = R.random_split(ratings.repartition(3), 0.75, seed=5)
+    assert again.exceptAll(train).count() == 0 and train.exceptAll(again).count() == 0

@@ -34,6 +34,7 @@ from tessera.functions.timeuuid import (  # noqa: E402
     timeuuid_timestamp,
 )
 from tessera.functions.vectors import dense_cosine, long_dot  # noqa: E402
+from tessera.operators.layout import spread_if_underpartitioned  # noqa: E402
 from tessera.operators.metrics import best_candidate, rmse  # noqa: E402
 from tessera.operators.positional import cycled_zip, global_row_number  # noqa: E402
 from tessera.plans import content, recommend, transactions  # noqa: E402
@@ -331,6 +332,7 @@ def q_suspicious_from_lost_cards_csv(spark, d):
 def q_tokens_ml_pipeline(spark, d):
     """The Tokenizer + StopWordsRemover pipeline gives the same term counts."""
     docs = _Tables(spark, d).docs.withColumn("description", strip_double_quotes("description"))
+    docs = spread_if_underpartitioned(docs)
     tokens = content.preprocessing_pipeline().fit(docs).transform(docs)
     terms = tokens.select("id", F.explode("tokens").alias("term"))
     return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))

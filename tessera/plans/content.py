@@ -192,7 +192,7 @@ def tfidf_vectors(docs: DataFrame, text_col: str = "description", stop_words=Non
     TF-IDF vector.  ML's hashing differs from the bucket function of the
     long form, so use :func:`tfidf_terms` for the similarity search.
     """
-    cleaned = docs.withColumn(text_col, strip_double_quotes(text_col))
+    cleaned = spread_if_underpartitioned(docs.withColumn(text_col, strip_double_quotes(text_col)))
     words = reference_stop_words() if stop_words is None else list(stop_words)
     pipe = Pipeline(
         stages=[

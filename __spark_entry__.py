@@ -208,6 +208,13 @@ def q_similar_documents_hashed(spark, d):
     return _similar(spark, d, "hashed")
 
 
+def q_similar_documents_top20(spark, d):
+    """K3: the twenty most similar documents, as the programme showed them."""
+    docs = _Tables(spark, d).docs
+    out = content.similar_documents(docs, GIVEN_DOC, k=20)
+    return out.select("id", F.round("similarity", 6).alias("similarity"), "description", "lang", "source", "n_chars")
+
+
 def q_dense_cosine(spark, d):
     emb = _Tables(spark, d).embeddings
     # a scalar subquery may not sit inside a lambda: bind it to a column first
@@ -377,6 +384,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tfidf_norms": q_tfidf_norms,
     "similar_documents": q_similar_documents,
     "similar_documents_hashed": q_similar_documents_hashed,
+    "similar_documents_top20": q_similar_documents_top20,
     "dense_cosine": q_dense_cosine,
     "sparse_dot": q_sparse_dot,
     "sparse_dense_dot": q_sparse_dense_dot,
@@ -659,6 +667,13 @@ select user_id, item as "movieId", title, rating from ranked where rn <= 10""",
 }
 
 
+_ORACLES["similar_documents_top20"] = _ORACLES["similar_documents"].replace(
+    "from documents doc left join sims s on s.id = doc.doc_id",
+    "from documents doc left join sims s on s.id = doc.doc_id\n"
+    "order by round(coalesce(s.similarity, 0.0), 12) desc, doc.doc_id limit 20",
+)
+assert "limit 20" in _ORACLES["similar_documents_top20"]
+
 _ORACLES.update({
     "ratings_file_roundtrip": _ORACLES["ratings"],
     "movies_csv_roundtrip": 'select cast(p_partkey as int) as "movieId", p_name as title, p_type as genre from part',

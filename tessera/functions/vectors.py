@@ -67,16 +67,31 @@ def dense_norm(a) -> Column:
     return F.sqrt(_sum(F.transform(_c(a), lambda x: x.cast("double") * x.cast("double"))))
 
 
+def _divide_each(arr: Column, n: Column) -> Column:
+    """Divide every element by ``n``, evaluating ``n`` once per row.
+
+    An expression inside a lambda is re-evaluated for every element, so the
+    norm is first spread into an array and zipped in (O(d), not O(d^2)).
+    """
+    return F.zip_with(arr, F.array_repeat(n, F.size(arr)), lambda x, m: x.cast("double") / m)
+
+
 def dense_normalize(a) -> Column:
     """divide by the L2 norm; a zero vector is returned unchanged."""
     a = _c(a)
     n = dense_norm(a)
-    return F.when(n == 0, dense(a)).otherwise(F.transform(a, lambda x: x.cast("double") / n))
+    return F.when(n == 0, dense(a)).otherwise(_divide_each(a, n))
 
 
 def dense_cosine(a, b) -> Column:
-    """dot of the two normalised vectors (normalise first, as the reference)."""
-    return dense_dot(dense_normalize(a), dense_normalize(b))
+    """cosine of two dense vectors, ``a.b / (|a| |b|)``; 0 when either is zero.
+
+    Equal to the dot of the normalised vectors (the reference's form) up to
+    rounding in the last place, in O(d).
+    """
+    a, b = _c(a), _c(b)
+    na, nb = dense_norm(a), dense_norm(b)
+    return F.when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(dense_dot(a, b) / (na * nb))
 
 
 # --- sparse (F20, F21) ------------------------------------------------------------
@@ -90,7 +105,7 @@ def sparse_normalize(v) -> Column:
     """F18 for sparse vectors; zero vector unchanged."""
     v = _c(v)
     n = sparse_norm(v)
-    scaled = F.when(n == 0, v["values"]).otherwise(F.transform(v["values"], lambda x: x / n))
+    scaled = F.when(n == 0, v["values"]).otherwise(_divide_each(v["values"], n))
     return sparse(v["size"], v["indices"], scaled)
 
 
@@ -109,13 +124,14 @@ def sparse_dense_dot(s, d) -> Column:
 def sparse_dot(a, b) -> Column:
     """sparse . sparse over the indices present in both; unequal sizes raise."""
     a, b = _c(a), _c(b)
-    lookup = F.map_from_arrays(b["indices"], b["values"])
-    entries = F.arrays_zip(a["indices"].alias("i"), a["values"].alias("v"))
-    prod = F.aggregate(
-        entries,
-        F.lit(0.0).cast("double"),
-        lambda acc, e: acc + e["v"] * F.coalesce(F.element_at(lookup, e["i"]), F.lit(0.0)),
+    # both maps are built once per row; map_zip_with merges their keys
+    # (O(nnz_a + nnz_b)) and indices present on one side only contribute 0
+    merged = F.map_zip_with(
+        F.map_from_arrays(a["indices"], a["values"]),
+        F.map_from_arrays(b["indices"], b["values"]),
+        lambda k, x, y: F.coalesce(x * y, F.lit(0.0)),
     )
+    prod = _sum(F.map_values(merged))
     return F.when(a["size"] != b["size"], _size_mismatch(a["size"], b["size"])).otherwise(prod)
 
 

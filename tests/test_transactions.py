@@ -152,3 +152,43 @@ def test_bad_reported_at_raises(spark):
     tx = _tx(spark, [("1", 2017, 1, as_ticks("2017-01-01"), 1, "c1", "COMPLETED")])
     with pytest.raises(Exception):
         T.suspicious_transactions(tx, lost).collect()
+
+
+def _hot_tx(spark, n=3000):
+    """A third of all transactions belong to customer 0 on one card."""
+    base = as_ticks("2016-01-01")
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("0")).otherwise((F.col("id") % 50).cast("string")).alias("customerid"),
+        F.lit(2016).alias("year"),
+        (F.col("id") % 12 + 1).cast("int").alias("month"),
+        make_timeuuid(F.lit(base) + F.col("id")).alias("id"),
+        (F.col("id") % 100).cast("int").alias("amount"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot card")).otherwise(F.concat(F.lit("c"), (F.col("id") % 50).cast("string"))).alias("card"),
+        F.lit("COMPLETED").alias("status"),
+    )
+
+
+def test_hot_customer_results_exact(spark):
+    tx = _hot_tx(spark)
+    cust = spark.range(50).select(F.col("id").cast("int").alias("id"), F.lit("n").alias("name"),
+                                  F.when(F.col("id") == 0, "Hot").otherwise("Cold").alias("county"))
+    rows = [r.asDict() for r in tx.collect()]
+    want = {}
+    for r in rows:
+        county = "Hot" if r["customerid"] == "0" else "Cold"
+        key = (county, r["year"], r["month"])
+        want[key] = want.get(key, 0) - r["amount"]
+    got = {(r.county, r.year, r.month): r.total_amount for r in T.county_statistics(cust, tx).collect()}
+    assert got == want
+    bal = {(r.customerid, r.card): r.balance for r in T.current_balance(tx, "2030-01-01").collect()}
+    assert bal[("0", "hot card")] == sum(r["amount"] for r in rows if r["card"] == "hot card")
+
+
+def test_county_statistics_aggregates_before_the_join(spark):
+    tx = _hot_tx(spark)
+    cust = spark.range(50).select(F.col("id").cast("int").alias("id"), F.lit("n").alias("name"), F.lit("X").alias("county"))
+    plan = T.county_statistics(cust, tx)._jdf.queryExecution().executedPlan().toString()
+    # the transactions side of the join is the per-customer aggregate, not raw rows
+    join_at = min(i for i in (plan.find("BroadcastHashJoin"), plan.find("SortMergeJoin")) if i >= 0)
+    below = plan[join_at:]
+    assert "partial_sum" in below and "HashAggregate(keys=[_cid" in below

@@ -122,12 +122,27 @@ def draw_transactions(spark_or_draws, n: int | None = None, seed: int = 42, as_o
     )
 
 
+def _draw_positions(drawn: DataFrame) -> DataFrame:
+    """1-based position of each draw in draw order, as ``_p``.
+
+    Draw numbers that are exactly ``0..n-1`` (always so for ``spark.range``)
+    already are the positions; one aggregate checks that, and anything else
+    is numbered with :func:`global_row_number`.
+    """
+    lo, hi, n, distinct = drawn.agg(
+        F.min("i"), F.max("i"), F.count("i"), F.count_distinct("i")
+    ).first()
+    if n and n == distinct and lo == 0 and hi == n - 1:
+        return drawn.withColumn("_p", F.col("i") + 1)
+    return global_row_number(drawn, "i", "_p")
+
+
 def attach_customers(drawn_tx: DataFrame, customers: DataFrame, repeats: int = CUSTOMER_REPEATS) -> DataFrame:
     """Transaction ``p`` (in draw order) gets customer ``(p-1) mod c`` (in id order).
 
     Stops at ``min(n, repeats * c)`` rows like the programme's zip.
     """
-    tx = global_row_number(drawn_tx, "i", "_p")
+    tx = _draw_positions(drawn_tx)
     cust = global_row_number(customers.select(F.col("id").alias("_cid")), "_cid", "_cp")
     zipped = cycled_zip(tx, "_p", cust, "_cp", repeats)
     return zipped.select(

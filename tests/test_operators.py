@@ -118,3 +118,17 @@ def test_global_row_number_wide_rows_sampled_bounds(spark):
     assert ours.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first() == (1, 200_000, 200_000)
     ref = df.select("k", F.row_number().over(Window.orderBy("k")).alias("rn2"))
     assert ours.join(ref, "k").where(F.col("rn") != F.col("rn2")).count() == 0
+
+
+def test_attach_customers_with_sparse_draw_numbers(spark):
+    # draw numbers with gaps take the general numbering path; same pairing rule
+    cust = generate.gen_customers(spark, n=30, seed=2)
+    drawn = generate.draw_transactions(spark.range(0, 400, 7).select(F.col("id").alias("i")), seed=2)
+    tx = generate.attach_customers(drawn, cust).collect()
+    c = cust.count()
+    assert len(tx) == min(drawn.count(), 10 * c)
+    ids = sorted(r.id for r in cust.collect())
+    by_draw = sorted(drawn.select("i", "id").collect())
+    got = {r.id: int(r.customerid) for r in tx}
+    for p, row in enumerate(by_draw[: 10 * c]):
+        assert got[row.id] == ids[p % c]

@@ -5,18 +5,20 @@ one row back in a closure.  Here every step is a distributed relation in
 *long form*, one row per (document, term):
 
     docs --tokens--> (id, term) --count--> tf --join idf--> weight
-    weight --group by id--> norm
-    weight of the given document --join on term--> dot --> cosine
+    weight LEFT JOIN the given document's weights ON term
+           --group by id--> (norm^2, dot) --> cosine
 
 ``idf = ln((N + 1) / (df + 1))``, set to 0 when ``df < min_doc_freq`` (2), as
-MLlib's IDF.  Terms whose weight is 0 (seen in one document only, or in
-every document) are dropped before the joins: they add nothing to a norm
-or a dot product, and they are most of the vocabulary.
-
-``method="hashed"`` replaces each term by ``pmod(hash(term), 2^20)`` - the
-32-bit Murmur3 (seed 42) that Spark SQL's ``hash`` and MLlib's hashing TF
-share - and then runs the same plan on buckets, so colliding terms merge as
-they do in a hashed term-frequency vector.
+MLlib's IDF.  Terms whose idf is 0 (seen in fewer than two documents, or in
+every document) are dropped on the idf side before the join: they add
+nothing to a norm or a dot product, and they are most of the vocabulary.
+The corpus is tokenized once; the tf and df branches share that shuffle.
+
+``method="hashed"`` replaces each term by ``pmod(hash(term), 2^20)`` - Spark
+SQL's 32-bit Murmur3 with seed 42, the hash MLlib's term hashing used in the
+Spark 2 line - and then runs the same plan on buckets, so colliding terms
+merge as in a hashed term-frequency vector.  The idf table then has at most
+2^20 rows whatever the corpus size.
 """
 
 from __future__ import annotations

@@ -90,3 +90,17 @@ def test_positional_queries_at_sf0_01(spark, name):
     res = con.execute(E.oracle_sql()[name])
     o_names = [d[0] for d in res.description]
     assert _bag(df.columns, df.collect()) == _bag(o_names, res.fetchall())
+
+
+@pytest.mark.parametrize("name", ["balance", "timeuuid_roundtrip", "suspicious", "fixture_transactions"])
+def test_time_queries_ignore_session_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = E.queries()[name](spark, SF001)
+        s_names, s_rows = df.columns, df.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(E.oracle_sql()[name])
+    o_names = [d[0] for d in res.description]
+    assert _bag(s_names, s_rows) == _bag(o_names, res.fetchall())

@@ -39,3 +39,19 @@ def checkpointed(df, eager: bool = True):
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=eager)
+
+
+def use_shared_checkpoint_dir(spark: SparkSession) -> bool:
+    """Point RDD checkpoints (used by iterative ML such as ALS) at ``spark.checkpoint.dir``.
+
+    Only a folder the session already names is used; nothing is invented.
+    Returns whether a checkpoint folder is in effect.
+    """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return True
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        sc.setCheckpointDir(base)
+        return True
+    return False

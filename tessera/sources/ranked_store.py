@@ -114,3 +114,20 @@ def read_ranked(
 
 def _bucket_lit(user: int, num_buckets: int):
     return F.pmod(F.xxhash64(F.lit(user).cast("int")), F.lit(num_buckets)).cast("int")
+
+
+def compact_ranked(spark: SparkSession, path: str, out_path: str, num_buckets: int = DEFAULT_BUCKETS,
+                   batch: int | None = None) -> str:
+    """Rewrite the store at ``path`` into ``out_path`` keeping only each user's latest list.
+
+    ``scope="user"`` writes append a batch per write; compaction bounds what a
+    read has to skip.  Readers switch to ``out_path`` afterwards (a path the
+    plan reads cannot be overwritten by the same plan).
+    """
+    stored = spark.read.parquet(path)
+    latest = Window.partitionBy("user_id")
+    current = stored.withColumn("_last", F.max("batch").over(latest)).where(F.col("batch") == F.col("_last"))
+    films = current.select(
+        "user_id", F.from_json("member", MEMBER_SCHEMA).alias("m")
+    ).select("user_id", "m.movieId", "m.title", "m.rating")
+    return write_ranked(films, out_path, scope="all", batch=batch, num_buckets=num_buckets)

@@ -1,5 +1,6 @@
 """Structured Streaming forms of the reports (the batch plans, run incrementally)."""
 
 from tessera.streaming.balances import balance_stream, start_balance_table
+from tessera.streaming.suspicious import start_suspicious_sink, suspicious_stream
 
-__all__ = ["balance_stream", "start_balance_table"]
+__all__ = ["balance_stream", "start_balance_table", "start_suspicious_sink", "suspicious_stream"]

@@ -1,0 +1,49 @@
+"""The lost-card report (R3) over a stream of transaction files.
+
+The batch plan :func:`tessera.plans.transactions.suspicious_transactions`
+is a join with the (static) lost-card table followed by a time test, so it
+runs unchanged as a stream-static join: each micro-batch of new transaction
+files is joined with the lost cards and the hits are appended to a Parquet
+sink.  No state is kept between batches; the file sink and the checkpoint
+(in the shared folder) make the output exactly-once across restarts.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from tessera.plans.transactions import suspicious_transactions
+from tessera.session import shared_dir
+from tessera.sources import tables
+
+
+def suspicious_stream(spark: SparkSession, tx_path: str, lost: DataFrame, compat: str = "correct") -> DataFrame:
+    """Streaming DataFrame of suspicious transactions among Parquet files arriving in ``tx_path``."""
+    stream = spark.readStream.schema(tables.TRANSACTIONS.ddl).parquet(tx_path)
+    return suspicious_transactions(stream, lost, compat)
+
+
+def start_suspicious_sink(
+    spark: SparkSession,
+    tx_path: str,
+    lost: DataFrame,
+    out_path: str,
+    checkpoint_location: str | None = None,
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Append every suspicious transaction to Parquet files under ``out_path``."""
+    ckpt = checkpoint_location or f"{shared_dir(spark)}/suspicious-stream-checkpoint"
+    writer = (
+        suspicious_stream(spark, tx_path, lost)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", out_path)
+        .option("checkpointLocation", ckpt)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()

@@ -173,3 +173,16 @@ def test_random_split_is_exact_partition(ratings):
     assert 0.7 < a / n < 0.8
     again, _ = R.random_split(ratings.repartition(3), 0.75, seed=5)
     assert again.exceptAll(train).count() == 0 and train.exceptAll(again).count() == 0
+
+
+def test_compact_ranked_keeps_latest_lists(spark, tmp_path):
+    path, out = str(tmp_path / "ranked"), str(tmp_path / "compacted")
+    ranked_store.write_ranked(_lists(spark), path, scope="all", batch=1)
+    newer = spark.createDataFrame([(1, 99, "z", 3.0)], "user_id int, movieId int, title string, rating double")
+    ranked_store.write_ranked(newer, path, scope="user", batch=2)
+    ranked_store.compact_ranked(spark, path, out, batch=3)
+    assert spark.read.parquet(out).count() == 2  # user 1: one film; user 2: one film
+    users = spark.createDataFrame([(1,), (2,)], "user_id int")
+    before = sorted(tuple(r) for r in ranked_store.read_ranked(spark, path, users).collect())
+    after = sorted(tuple(r) for r in ranked_store.read_ranked(spark, out, users).collect())
+    assert before == after

@@ -25,3 +25,22 @@ def test_stream_matches_batch(spark, tmp_path):
     got2 = {(r.customerid, r.card): r.balance for r in tables.read_keyed(spark, tables.BALANCE, out).collect()}
     want2 = {(r.customerid, r.card): r.balance for r in current_balance(tx, as_of).collect()}
     assert got2 == want2
+
+
+def test_suspicious_stream_matches_batch(spark, tmp_path):
+    from tessera.plans.transactions import suspicious_transactions
+    from tessera.streaming import start_suspicious_sink
+
+    src, out, ckpt = str(tmp_path / "tx"), str(tmp_path / "susp"), str(tmp_path / "ckpt")
+    lost = spark.createDataFrame(
+        [("1565 2509 3791 4667", "LOST", "2017-10-12"), ("1033 2444 3221 4861", "LOST", "2017-10-12"),
+         ("1416 2498 3103 4822", "LOST", "2017-10-12")], "card string, status string, reported_at string")
+    customers = generate.gen_customers(spark, n=40, seed=4)
+    tx = generate.gen_transactions(spark, customers, n=300, seed=4).unionByName(generate.plant_suspicious(customers, lost))
+    tx.where("amount % 2 = 0").write.mode("append").parquet(src)
+    start_suspicious_sink(spark, src, lost, out, checkpoint_location=ckpt).awaitTermination(120)
+    tx.where("amount % 2 != 0").write.mode("append").parquet(src)
+    start_suspicious_sink(spark, src, lost, out, checkpoint_location=ckpt).awaitTermination(120)
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select("customerid", "card", "id", "amount", "reported_at").collect())
+    want = sorted(tuple(r) for r in suspicious_transactions(tx, lost).collect())
+    assert got == want and len(want) == 4

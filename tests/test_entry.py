@@ -104,3 +104,26 @@ def test_time_queries_ignore_session_zone(spark, duck, name):
     res = duck.execute(E.oracle_sql()[name])
     o_names = [d[0] for d in res.description]
     assert _bag(s_names, s_rows) == _bag(o_names, res.fetchall())
+
+
+@pytest.mark.parametrize(
+    "name", ["county_statistics", "suspicious_with_customer", "similar_documents", "sparse_dot", "positional_join"]
+)
+def test_join_queries_without_broadcast(spark, duck, name):
+    # at scale a side may be too large to broadcast: the shuffle-join plans must agree too
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        df = E.queries()[name](spark, SF001)
+        s_names, s_rows = df.columns, df.collect()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    res = duck.execute(E.oracle_sql()[name])
+    o_names = [d[0] for d in res.description]
+    assert _bag(s_names, s_rows) == _bag(o_names, res.fetchall())

@@ -32,9 +32,9 @@ def test_suspicious_stream_matches_batch(spark, tmp_path):
     from tessera.streaming import start_suspicious_sink
 
     src, out, ckpt = str(tmp_path / "tx"), str(tmp_path / "susp"), str(tmp_path / "ckpt")
-    lost = spark.createDataFrame(
-        [("1565 2509 3791 4667", "LOST", "2017-10-12"), ("1033 2444 3221 4861", "LOST", "2017-10-12"),
-         ("1416 2498 3103 4822", "LOST", "2017-10-12")], "card string, status string, reported_at string")
+    from test_transactions import LOST_ROWS
+
+    lost = spark.createDataFrame(LOST_ROWS, "card string, status string, reported_at string")
     customers = generate.gen_customers(spark, n=40, seed=4)
     tx = generate.gen_transactions(spark, customers, n=300, seed=4).unionByName(generate.plant_suspicious(customers, lost))
     tx.where("amount % 2 = 0").write.mode("append").parquet(src)

@@ -7,13 +7,13 @@ from tessera.functions.timeuuid import as_ticks, make_timeuuid
 from tessera.plans import transactions as T
 from tessera.sources import files, generate, tables
 
-# the three lost cards of the programme's lost-card file
+# --- fixed values: the three rows of the programme's lost-card file ------------
 LOST_ROWS = [
     ("1565 2509 3791 4667", "LOST", "2017-10-12"),
     ("1033 2444 3221 4861", "LOST", "2017-10-12"),
     ("1416 2498 3103 4822", "LOST", "2017-10-12"),
 ]
-TX_DDL = "customerid string, year int, month int, id string, amount int, card string, status string"
+# -------------------------------------------------------------------------------
 
 
 @pytest.fixture()

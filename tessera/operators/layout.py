@@ -14,11 +14,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_if_underpartitioned(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's slots) if it has fewer."""
+def spread_if_underpartitioned(df: DataFrame, min_partitions: int | None = None, by=None) -> DataFrame:
+    """Spread ``df`` over ``min_partitions`` (default: the cluster's slots) if it has fewer.
+
+    With ``by`` (a unique key such as a document id) the rows are hashed on
+    it, so later aggregates keyed by it need no shuffle of their own;
+    otherwise they are dealt round-robin.
+    """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
         return df
-    return df.repartition(target) if current < target else df
+    if current >= target:
+        return df
+    return df.repartition(target, *by) if by else df.repartition(target)

@@ -53,10 +53,11 @@ def document_terms(
     document is one row, so the map-side partial count is already final and
     only distinct (document, term) pairs cross the shuffle.  Rows without an
     id cannot be matched to anything and are skipped.  An input split into
-    fewer partitions than task slots is spread first (tokenizing is the
-    CPU-heavy step).
+    fewer partitions than task slots is first spread by document id
+    (tokenizing is the CPU-heavy step); hashed on the id, the per-document
+    counts then need no shuffle of their own.
     """
-    docs = spread_if_underpartitioned(docs.where(F.col(id_col).isNotNull()))
+    docs = spread_if_underpartitioned(docs.where(F.col(id_col).isNotNull()), by=[id_col])
     tokens = exploded_terms(docs, text_col, stop_words, keep=[F.col(id_col).alias("id")])
     if num_features:
         tokens = tokens.select("id", F.pmod(F.hash("term"), F.lit(num_features)).alias("term"))

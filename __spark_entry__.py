@@ -341,7 +341,7 @@ def q_suspicious_from_lost_cards_csv(spark, d):
 def q_tokens_ml_pipeline(spark, d):
     """The Tokenizer + StopWordsRemover pipeline gives the same term counts."""
     docs = _Tables(spark, d).docs.withColumn("description", strip_double_quotes("description"))
-    docs = spread_if_underpartitioned(docs)
+    docs = spread_if_underpartitioned(docs, by=["id"])
     tokens = content.preprocessing_pipeline().fit(docs).transform(docs)
     terms = tokens.select("id", F.explode("tokens").alias("term"))
     return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))

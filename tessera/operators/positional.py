@@ -2,9 +2,10 @@
 
 ``row_number().over(Window.orderBy(...))`` without a partition moves every
 row into one task.  :func:`global_row_number` instead range-partitions on the
-order, numbers rows inside each partition, and adds the count of all earlier
-partitions.  The table of per-partition counts has one row per partition, so
-broadcasting it is bounded by the partition count, not by the data.
+order, numbers rows inside each partition, writes that once (reliable
+checkpoint), and adds the count of all earlier partitions.  The table of
+per-partition counts has one row per partition, so broadcasting it is
+bounded by the partition count, not by the data.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import checkpointed
+from tessera.session import checkpointed, shuffle_partitions
 
 
 def _cols(xs) -> list:
@@ -34,7 +34,7 @@ def global_row_number(df: DataFrame, order_by, name: str = "rn", num_partitions:
     executor.  This runs a job when called.
     """
     order = _cols(order_by)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or shuffle_partitions(df.sparkSession)
     ordered = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)

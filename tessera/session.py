@@ -55,3 +55,11 @@ def use_shared_checkpoint_dir(spark: SparkSession) -> bool:
         sc.setCheckpointDir(base)
         return True
     return False
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's shuffle partition count (default parallelism if it is not a number)."""
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return spark.sparkContext.defaultParallelism

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.keyed import top_k_per_group
+from tessera.session import shuffle_partitions
 
 # --- fixed values -------------------------------------------------------------
 KEY_PREFIX = "cfr:movie:"
@@ -68,8 +69,7 @@ def write_ranked(
     # bucket), each task writes about one file, and no sampling pass
     # re-evaluates the (possibly expensive) input as range partitioning would;
     # rows sorted by user let min/max statistics prune reads
-    spark = df.sparkSession
-    slices = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // num_buckets)
+    slices = max(1, shuffle_partitions(df.sparkSession) // num_buckets)
     rows = rows.withColumn("_slice", F.pmod(F.xxhash64(F.col("user_id"), F.lit("slice")), F.lit(slices)))
     rows = (
         rows.repartition(num_buckets * slices, "bucket", "_slice")

@@ -132,3 +132,22 @@ def test_attach_customers_with_sparse_draw_numbers(spark):
     got = {r.id: int(r.customerid) for r in tx}
     for p, row in enumerate(by_draw[: 10 * c]):
         assert got[row.id] == ids[p % c]
+
+
+def test_global_row_number_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None)
+    @given(
+        st.lists(st.integers(min_value=0, max_value=3), min_size=1, max_size=300),  # hot first key
+        st.integers(min_value=1, max_value=9),
+    )
+    def check(firsts, parts):
+        rows = [(f, i) for i, f in enumerate(firsts)]  # (hot key, unique tie-break)
+        df = spark.createDataFrame(rows, "f int, u int").repartition(parts)
+        got = {(r.f, r.u): r.rn for r in global_row_number(df, ["f", "u"], "rn", num_partitions=4).collect()}
+        want = {key: k + 1 for k, key in enumerate(sorted(rows))}
+        assert got == want
+
+    check()

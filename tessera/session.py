@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import SparkSession
@@ -63,3 +64,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except (TypeError, ValueError):
         return spark.sparkContext.defaultParallelism
+
+
+def stable_path(spark: SparkSession, name: str, *keys: str) -> str:
+    """A path under the shared folder that is the same for the same ``keys``.
+
+    Used for streaming checkpoints: a restarted query must find its own
+    checkpoint, and two queries over different inputs must not share one.
+    """
+    digest = hashlib.sha256("\0".join(keys).encode()).hexdigest()[:16]
+    return f"{shared_dir(spark)}/{name}-{digest}"

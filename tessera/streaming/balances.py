@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.plans.transactions import BALANCE_STATUSES, current_balance
-from tessera.session import shared_dir
+from tessera.session import stable_path
 from tessera.sources import tables
 
 
@@ -43,7 +43,7 @@ def start_balance_table(
     catch-up job); otherwise the query runs with ``processing_time`` triggers.
     The checkpoint defaults to a folder under ``spark.checkpoint.dir``.
     """
-    ckpt = checkpoint_location or f"{shared_dir(spark)}/balance-stream-checkpoint"
+    ckpt = checkpoint_location or stable_path(spark, "balance-stream", tx_path, table_path)
 
     def replace(batch: DataFrame, epoch_id: int) -> None:
         tables.replace_table(batch, tables.BALANCE, table_path)

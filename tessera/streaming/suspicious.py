@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.plans.transactions import suspicious_transactions
-from tessera.session import shared_dir
+from tessera.session import stable_path
 from tessera.sources import tables
 
 
@@ -34,7 +34,7 @@ def start_suspicious_sink(
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Append every suspicious transaction to Parquet files under ``out_path``."""
-    ckpt = checkpoint_location or f"{shared_dir(spark)}/suspicious-stream-checkpoint"
+    ckpt = checkpoint_location or stable_path(spark, "suspicious-stream", tx_path, out_path)
     writer = (
         suspicious_stream(spark, tx_path, lost)
         .writeStream.outputMode("append")

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.keyed import top_k_per_group
@@ -105,13 +105,23 @@ def read_ranked(
         # literal-only bucket expressions fold to constants: partition pruning
         buckets = [_bucket_lit(u, num_buckets) for u in ids]
         stored = stored.where(F.col("bucket").isin(buckets) & F.col("user_id").isin(ids))
-    latest = Window.partitionBy("user_id")
-    current = stored.withColumn("_last", F.max("batch").over(latest)).where(F.col("batch") == F.col("_last"))
+    current = _latest_lists(stored)
     parsed = current.select("user_id", "score", "member", F.from_json("member", MEMBER_SCHEMA).alias("m"))
     top = top_k_per_group(parsed, "user_id", [F.col("score").desc(), F.col("member").desc()], k)
     return top.select("user_id", "rank", "m.movieId", "m.title", "m.rating")
 
 
+def _latest_lists(stored: DataFrame) -> DataFrame:
+    """Rows of each user's latest batch.
+
+    The latest batch per user is a grouped max (partially aggregated, so a
+    user rewritten many times costs one row per task), joined back on
+    (user, batch) - a key that spreads that user's old batches over tasks.
+    """
+    latest = stored.groupBy("user_id").agg(F.max("batch").alias("batch"))
+    return stored.join(latest, ["user_id", "batch"], "left_semi")
+
+
 def _bucket_lit(user: int, num_buckets: int):
     return F.pmod(F.xxhash64(F.lit(user).cast("int")), F.lit(num_buckets)).cast("int")
 
@@ -124,9 +134,7 @@ def compact_ranked(spark: SparkSession, path: str, out_path: str, num_buckets: i
     read has to skip.  Readers switch to ``out_path`` afterwards (a path the
     plan reads cannot be overwritten by the same plan).
     """
-    stored = spark.read.parquet(path)
-    latest = Window.partitionBy("user_id")
-    current = stored.withColumn("_last", F.max("batch").over(latest)).where(F.col("batch") == F.col("_last"))
+    current = _latest_lists(spark.read.parquet(path))
     films = current.select(
         "user_id", F.from_json("member", MEMBER_SCHEMA).alias("m")
     ).select("user_id", "m.movieId", "m.title", "m.rating")

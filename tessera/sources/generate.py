@@ -169,11 +169,13 @@ def plant_suspicious(customers: DataFrame, lost: DataFrame, as_of="2017-11-15")
     """
     first = customers.select("id").orderBy("id").limit(3)
     cards = lost.select("card").orderBy("card").limit(3)
+    # numbering the three rows left after each top-3 (a window over 3 rows)
     c = first.withColumn("_k", F.row_number().over(Window.orderBy("id")))
     k = cards.withColumn("_k", F.row_number().over(Window.orderBy("card")))
     pairs = c.join(k, "_k")
-    # the third customer's second hit: slot 4 reuses pair 3
-    slots = pairs.withColumn("_seq", F.explode(F.when(F.col("_k") == 3, F.array(F.lit(2), F.lit(3))).otherwise(F.array(F.col("_k") - 1))))
+    # sequence numbers 0, 1, 2 - and 3 for the third customer's second hit
+    seqs = F.when(F.col("_k") == 3, F.array(F.lit(2), F.lit(3))).otherwise(F.array(F.col("_k") - 1))
+    slots = pairs.withColumn("_seq", F.explode(seqs))
     return slots.select(
         F.col("id").cast("string").alias("customerid"),
         F.lit(PLANTED_YEAR).alias("year"),

@@ -16,7 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.timeuuid import created_before, made_on_or_after_day, ntz_literal, timeuuid_ticks
+from tessera.functions.timeuuid import (
+    created_before,
+    made_on_or_after_day,
+    micros_before,
+    ntz_literal,
+    timeuuid_ticks,
+)
 from tessera.operators.keyed import dedupe_by_key
 from tessera.sources import tables
 
@@ -47,7 +53,18 @@ def current_balance(tx: DataFrame, as_of, statuses=BALANCE_STATUSES) -> DataFram
     store's int wrapped silently).  Partial aggregation before the shuffle
     makes a hot card cost one row per task.
     """
-    kept = tx.where(created_before("id", as_of) & F.col("status").isin(list(statuses)))
+    # a stored transactions table carries the UUID's time as event_us; rows
+    # without it fall back to parsing the UUID text.  The first conjunct only
+    # uses event_us, so it reaches the Parquet scan (LessThan OR IsNull) and
+    # row groups outside the bound are skipped.
+    if "event_us" in tx.columns:
+        t = F.col("event_us")
+        pushable = micros_before(t, as_of) | t.isNull()
+        exact = F.when(t.isNull(), created_before("id", as_of)).otherwise(micros_before(t, as_of))
+        before = pushable & exact
+    else:
+        before = created_before("id", as_of)
+    kept = tx.where(before & F.col("status").isin(list(statuses)))
     return (
         kept.groupBy("customerid", "card")
         .agg(F.sum(F.col("amount").cast("bigint")).alias("balance"))

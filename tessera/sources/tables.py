@@ -11,11 +11,13 @@ customer.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.timeuuid import timeuuid_micros
 from tessera.operators.keyed import dedupe_by_key
 
 
@@ -26,6 +28,8 @@ class TableSpec:
     partition_key: tuple[str, ...]
     clustering_key: tuple[str, ...] = ()
     storage_partitions: tuple[str, ...] = ()  # directory partitioning on disk
+    # columns computed from the others when the input lacks them
+    derived: dict[str, Callable[[], Column]] = field(default_factory=dict, compare=False)
 
     @property
     def primary_key(self) -> tuple[str, ...]:
@@ -39,9 +43,23 @@ class TableSpec:
     def ddl(self) -> str:
         return ", ".join(f"{c} {t}" for c, t in self.columns)
 
+    @property
+    def source_ddl(self) -> str:
+        """Schema of incoming rows: the declared columns without the derived ones."""
+        return ", ".join(f"{c} {t}" for c, t in self.columns if c not in self.derived)
+
     def conform(self, df: DataFrame) -> DataFrame:
-        """Select the declared columns in order, cast to the declared types."""
-        return df.select(*[F.col(c).cast(t).alias(c) for c, t in self.columns])
+        """Select the declared columns in order, cast to the declared types.
+
+        A declared column missing from ``df`` is computed from its rule in
+        ``derived`` (e.g. the time of a transaction's UUID).
+        """
+        def col(c: str) -> Column:
+            if c not in df.columns and c in self.derived:
+                return self.derived[c]()
+            return F.col(c)
+
+        return df.select(*[col(c).cast(t).alias(c) for c, t in self.columns])
 
 
 # --- fixed values: the five tables of the transaction programme --------------
@@ -53,10 +71,13 @@ CUSTOMERS = TableSpec(
 TRANSACTIONS = TableSpec(
     "transactions",
     (("customerid", "string"), ("year", "int"), ("month", "int"), ("id", "string"),
-     ("amount", "int"), ("card", "string"), ("status", "string")),
+     ("amount", "int"), ("card", "string"), ("status", "string"), ("event_us", "bigint")),
     partition_key=("customerid", "year", "month"),
     clustering_key=("id",),
     storage_partitions=("year", "month"),
+    # the UUID's time as a number: Parquet min/max statistics can prune on it,
+    # which they cannot on the UUID text
+    derived={"event_us": lambda: timeuuid_micros("id")},
 )
 BALANCE = TableSpec(
     "balance",

@@ -22,7 +22,7 @@ from tessera.sources import tables
 def balance_stream(spark: SparkSession, tx_path: str, as_of, statuses=BALANCE_STATUSES,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of balances over Parquet transaction files arriving in ``tx_path``."""
-    reader = spark.readStream.schema(tables.TRANSACTIONS.ddl)
+    reader = spark.readStream.schema(tables.TRANSACTIONS.source_ddl)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return current_balance(reader.parquet(tx_path), as_of, statuses)

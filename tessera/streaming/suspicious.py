@@ -20,7 +20,7 @@ from tessera.sources import tables
 
 def suspicious_stream(spark: SparkSession, tx_path: str, lost: DataFrame, compat: str = "correct") -> DataFrame:
     """Streaming DataFrame of suspicious transactions among Parquet files arriving in ``tx_path``."""
-    stream = spark.readStream.schema(tables.TRANSACTIONS.ddl).parquet(tx_path)
+    stream = spark.readStream.schema(tables.TRANSACTIONS.source_ddl).parquet(tx_path)
     return suspicious_transactions(stream, lost, compat)
 
 

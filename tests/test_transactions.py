@@ -192,3 +192,26 @@ def test_county_statistics_aggregates_before_the_join(spark):
     join_at = min(i for i in (plan.find("BroadcastHashJoin"), plan.find("SortMergeJoin")) if i >= 0)
     below = plan[join_at:]
     assert "partial_sum" in below and "HashAggregate(keys=[_cid" in below
+
+
+def test_stored_transactions_prune_on_event_time(spark, tmp_path):
+    from tessera.functions.timeuuid import as_micros
+
+    customers = generate.gen_customers(spark, n=60, seed=8)
+    tx = generate.gen_transactions(spark, customers, n=500, seed=8, as_of="2017-11-01")
+    # event_us is derived from the id while writing
+    path = tables.replace_table(tx, tables.TRANSACTIONS, str(tmp_path / "tx"))
+    stored = tables.read_keyed(spark, tables.TRANSACTIONS, path)
+    from tessera.functions.timeuuid import timeuuid_micros
+
+    assert stored.where(F.col("event_us") != timeuuid_micros("id")).count() == 0
+    bound = "2017-11-01 00:00:00.000250"  # between generated ids (1 tick apart)
+    got = {(r.customerid, r.card): r.balance for r in T.current_balance(stored, bound).collect()}
+    want = {(r.customerid, r.card): r.balance for r in T.current_balance(tx, bound).collect()}
+    assert got == want
+    plan = T.current_balance(stored, bound)._jdf.queryExecution().executedPlan().toString()
+    assert f"LessThan(event_us,{(as_micros(bound) // 1000) * 1000})" in plan
+    # rows stored without the derived time still count, via the UUID text
+    no_time = stored.withColumn("event_us", F.lit(None).cast("bigint"))
+    got = {(r.customerid, r.card): r.balance for r in T.current_balance(no_time, bound).collect()}
+    assert got == want

@@ -347,6 +347,15 @@ def q_tokens_ml_pipeline(spark, d):
     return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def q_balance_from_store(spark, d):
+    """S8 + S6 + R1: transactions stored as the keyed table (with the UUID time as
+    ``event_us``), read back, balance bound pushed to the Parquet scan."""
+    _ensure_shared_dir(spark)
+    path = fresh_path(spark, "transactions")
+    tables.replace_table(_Tables(spark, d).tx, tables.TRANSACTIONS, path)
+    return transactions.current_balance(tables.read_keyed(spark, tables.TRANSACTIONS, path), BALANCE_AS_OF)
+
+
 def q_county_statistics_from_store(spark, d):
     """S8 + S6: county statistics written as a keyed table and scanned back."""
     _ensure_shared_dir(spark)
@@ -403,6 +412,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "documents_csv_roundtrip": q_documents_csv_roundtrip,
     "suspicious_from_lost_cards_csv": q_suspicious_from_lost_cards_csv,
     "tokens_ml_pipeline": q_tokens_ml_pipeline,
+    "balance_from_store": q_balance_from_store,
     "county_statistics_from_store": q_county_statistics_from_store,
     "suspicious_with_customer_from_store": q_suspicious_with_customer_from_store,
 }
@@ -682,6 +692,7 @@ _ORACLES.update({
     "documents_csv_roundtrip": "select doc_id as id, text as description, lang, source, n_chars from documents",
     "suspicious_from_lost_cards_csv": _ORACLES["suspicious"],
     "tokens_ml_pipeline": _ORACLES["tokens"],
+    "balance_from_store": _ORACLES["balance"],
     "county_statistics_from_store": _ORACLES["county_statistics"],
     "suspicious_with_customer_from_store": _ORACLES["suspicious_with_customer"],
 })

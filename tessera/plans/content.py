@@ -37,6 +37,8 @@ MIN_DOC_FREQ = 2
 NUM_FEATURES = 1 << 20  # MLlib HashingTF default size
 # similarities equal to this many decimals are ties (summation-order noise)
 TIE_DECIMALS = 12
+# up to this many top documents, their ids are pushed into the document scan
+TOP_K_COLLECT_LIMIT = 10_000
 # -------------------------------------------------------------------------------
 
 
@@ -158,9 +160,10 @@ def similar_documents(
     Every document appears (0.0 when nothing is shared), with all its
     columns.  With ``k`` only the ``k`` most similar are kept (values equal
     to ``TIE_DECIMALS`` places are ties, broken by id, so the given document
-    precedes its duplicates whatever the rounding noise):
-    the top-k runs on ``(id, similarity)`` and only those ``k`` rows are
-    joined back to the documents, so the text is not shuffled.  ``k=None``
+    precedes its duplicates whatever the rounding noise): the top-k runs on
+    ``(id, similarity)``, and for ``k <= TOP_K_COLLECT_LIMIT`` the k ids are
+    pushed into the document scan as an ``IN`` filter (this runs the
+    similarity job when called); the text is never shuffled.  ``k=None``
     returns every row, unsorted.  The given document has similarity 1
     (exact duplicates of it too).
     """
@@ -172,7 +175,16 @@ def similar_documents(
         return named.join(scores, "id", "left").select("id", sim, *[c for c in named.columns if c != "id"])
     order = [F.round("similarity", TIE_DECIMALS).desc(), F.col("id").asc()]
     best = named.select("id").join(scores, "id", "left").select("id", sim).orderBy(*order).limit(k)
-    return best.join(named, "id").orderBy(*order)
+    if k > TOP_K_COLLECT_LIMIT:
+        return best.join(named, "id").orderBy(*order)
+    # k ids (bounded) come to the driver, so the document scan for the output
+    # columns gets a pushed `id IN (...)` filter and Parquet skips row groups,
+    # instead of reading the whole corpus again for k rows
+    top = best.collect()
+    spark = docs.sparkSession
+    chosen = spark.createDataFrame(top, "id " + named.schema["id"].dataType.simpleString() + ", similarity double")
+    wanted = named.where(F.col("id").isin([r.id for r in top])) if top else named.limit(0)
+    return chosen.join(wanted, "id").orderBy(*order)
 
 
 # --- pyspark.ml forms (M7, M10) ----------------------------------------------------

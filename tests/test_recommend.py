@@ -186,3 +186,11 @@ def test_compact_ranked_keeps_latest_lists(spark, tmp_path):
     before = sorted(tuple(r) for r in ranked_store.read_ranked(spark, path, users).collect())
     after = sorted(tuple(r) for r in ranked_store.read_ranked(spark, out, users).collect())
     assert before == after
+
+
+def test_few_users_path_equals_join_path(spark, ratings, movies):
+    model = R.fit_als(ratings, 4, seed=2)
+    users = ratings.select("user_id").distinct().orderBy("user_id").limit(3)
+    a = sorted(tuple(r) for r in R.top_n_for_users(model, users, movies, n=10).collect())
+    b = sorted(tuple(r) for r in R.top_n_for_users(model, users, movies, n=10, few_users=True).collect())
+    assert a == b and len(a) > 0

@@ -338,7 +338,7 @@ def q_suspicious_from_lost_cards_csv(spark, d):
     return transactions.suspicious_transactions(t.tx, files.read_lost_cards(spark, path))
 
 
-def q_tokens_ml_pipeline(spark, d):
+def q_tokens_ml_stages(spark, d):
     """The Tokenizer + StopWordsRemover pipeline gives the same term counts."""
     docs = _Tables(spark, d).docs.withColumn("description", strip_double_quotes("description"))
     docs = spread_if_underpartitioned(docs, by=["id"])
@@ -411,7 +411,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "movies_csv_roundtrip": q_movies_csv_roundtrip,
     "documents_csv_roundtrip": q_documents_csv_roundtrip,
     "suspicious_from_lost_cards_csv": q_suspicious_from_lost_cards_csv,
-    "tokens_ml_pipeline": q_tokens_ml_pipeline,
+    "tokens_ml_stages": q_tokens_ml_stages,
     "balance_from_store": q_balance_from_store,
     "county_statistics_from_store": q_county_statistics_from_store,
     "suspicious_with_customer_from_store": q_suspicious_with_customer_from_store,
@@ -691,7 +691,7 @@ _ORACLES.update({
     "movies_csv_roundtrip": 'select cast(p_partkey as int) as "movieId", p_name as title, p_type as genre from part',
     "documents_csv_roundtrip": "select doc_id as id, text as description, lang, source, n_chars from documents",
     "suspicious_from_lost_cards_csv": _ORACLES["suspicious"],
-    "tokens_ml_pipeline": _ORACLES["tokens"],
+    "tokens_ml_stages": _ORACLES["tokens"],
     "balance_from_store": _ORACLES["balance"],
     "county_statistics_from_store": _ORACLES["county_statistics"],
     "suspicious_with_customer_from_store": _ORACLES["suspicious_with_customer"],

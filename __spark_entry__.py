@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tessera.functions.stopwords import reference_stop_words  # noqa: E402
+from tessera.functions.stopwords import ENGLISH, EXTRA, POLISH, reference_stop_words  # noqa: E402
 from tessera.functions.text import strip_double_quotes  # noqa: E402
 from tessera.functions.timeuuid import (  # noqa: E402
     GREGORIAN_OFFSET_TICKS,
@@ -338,6 +338,22 @@ def q_suspicious_from_lost_cards_csv(spark, d):
     return transactions.suspicious_transactions(t.tx, files.read_lost_cards(spark, path))
 
 
+def q_tokens_with_stop_word_file(spark, d):
+    """S5 + U3: the Polish list as a word file (one entry per line), read back and
+    concatenated with the English list and the extras, then the term counts."""
+    _ensure_shared_dir(spark)
+    path = fresh_path(spark, "stop-words")
+    spark.createDataFrame([(w,) for w in POLISH], "value string").coalesce(1).write.text(path)
+    from_file = files.word_list_values(files.read_word_list(spark, path))
+    return content.document_terms(_Tables(spark, d).docs, stop_words=ENGLISH + from_file + EXTRA)
+
+
+def q_county_statistics_sql(spark, d):
+    """S7 + R2: the same report as SQL text over temp views."""
+    t = _Tables(spark, d)
+    return transactions.county_statistics_sql(t.cust, t.tx)
+
+
 def q_tokens_ml_stages(spark, d):
     """The Tokenizer + StopWordsRemover pipeline gives the same term counts."""
     docs = _Tables(spark, d).docs.withColumn("description", strip_double_quotes("description"))
@@ -412,6 +428,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "documents_csv_roundtrip": q_documents_csv_roundtrip,
     "suspicious_from_lost_cards_csv": q_suspicious_from_lost_cards_csv,
     "tokens_ml_stages": q_tokens_ml_stages,
+    "tokens_with_stop_word_file": q_tokens_with_stop_word_file,
+    "county_statistics_sql": q_county_statistics_sql,
     "balance_from_store": q_balance_from_store,
     "county_statistics_from_store": q_county_statistics_from_store,
     "suspicious_with_customer_from_store": q_suspicious_with_customer_from_store,
@@ -692,6 +710,8 @@ _ORACLES.update({
     "documents_csv_roundtrip": "select doc_id as id, text as description, lang, source, n_chars from documents",
     "suspicious_from_lost_cards_csv": _ORACLES["suspicious"],
     "tokens_ml_stages": _ORACLES["tokens"],
+    "tokens_with_stop_word_file": _ORACLES["tokens"],
+    "county_statistics_sql": _ORACLES["county_statistics"],
     "balance_from_store": _ORACLES["balance"],
     "county_statistics_from_store": _ORACLES["county_statistics"],
     "suspicious_with_customer_from_store": _ORACLES["suspicious_with_customer"],

@@ -160,3 +160,31 @@ def run_reports(tx: DataFrame, customers: DataFrame, lost: DataFrame, out_dir: s
     paths["suspicious_with_customer"] = f"{out}/suspicious_with_customer"
     suspicious_with_customer(stored, customers).write.mode("overwrite").parquet(paths["suspicious_with_customer"])
     return paths
+
+
+COUNTY_STATISTICS_SQL = """
+WITH per_customer AS (
+  SELECT CAST(customerid AS BIGINT) AS cid, year, month, SUM(CAST(amount AS BIGINT)) AS amount
+  FROM {tx}
+  WHERE status = '{status}'
+  GROUP BY CAST(customerid AS BIGINT), year, month
+)
+SELECT c.county AS county, p.year AS year, p.month AS month, CAST(-SUM(p.amount) AS INT) AS total_amount
+FROM per_customer p JOIN {customers} c ON CAST(c.id AS BIGINT) = p.cid
+GROUP BY c.county, p.year, p.month
+"""
+
+
+def county_statistics_sql(customers: DataFrame, tx: DataFrame, status: str = COUNTY_STATUS,
+                          views: tuple[str, str] = ("tessera_customers", "tessera_transactions")) -> DataFrame:
+    """R2 through the SQL API (S7): the inputs become temp views and one SQL text runs.
+
+    Same plan as :func:`county_statistics` - Catalyst compiles both to the
+    same pre-aggregate, join and aggregate.
+    """
+    from tessera.sources.files import register_view
+
+    cust_view, tx_view = views
+    register_view(customers, cust_view)
+    register_view(tx, tx_view)
+    return tx.sparkSession.sql(COUNTY_STATISTICS_SQL.format(tx=tx_view, customers=cust_view, status=status))

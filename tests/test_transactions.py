@@ -215,3 +215,12 @@ def test_stored_transactions_prune_on_event_time(spark, tmp_path):
     no_time = stored.withColumn("event_us", F.lit(None).cast("bigint"))
     got = {(r.customerid, r.card): r.balance for r in T.current_balance(no_time, bound).collect()}
     assert got == want
+
+
+def test_county_statistics_sql_equals_dataframe_form(spark):
+    tx = _hot_tx(spark)
+    cust = spark.range(50).select(F.col("id").cast("int").alias("id"), F.lit("n").alias("name"),
+                                  (F.col("id") % 4).cast("string").alias("county"))
+    a = sorted(tuple(r) for r in T.county_statistics(cust, tx).collect())
+    b = sorted(tuple(r) for r in T.county_statistics_sql(cust, tx).collect())
+    assert a == b and a

@@ -48,7 +48,10 @@ def use_shared_checkpoint_dir(spark: SparkSession) -> bool:
     Only a folder the session already names is used; nothing is invented.
     Returns whether a checkpoint folder is in effect.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's settings apply
+        return False
     if sc.getCheckpointDir():
         return True
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -58,12 +61,20 @@ def use_shared_checkpoint_dir(spark: SparkSession) -> bool:
     return False
 
 
+def default_parallelism(spark: SparkSession) -> int | None:
+    """The cluster's task slots, or None where the session does not expose them."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return None
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """The session's shuffle partition count (default parallelism if it is not a number)."""
     try:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except (TypeError, ValueError):
-        return spark.sparkContext.defaultParallelism
+        return default_parallelism(spark) or 200
 
 
 def stable_path(spark: SparkSession, name: str, *keys: str) -> str:

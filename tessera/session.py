@@ -42,10 +42,10 @@ def checkpointed(df, eager: bool = True):
     spark = df.sparkSession
     try:
         sc = spark.sparkContext
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(shared_dir(spark))
     except Exception:  # noqa: BLE001 - Spark Connect: the server checkpoints
-        pass
+        sc = None
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_dir(spark))  # raises clearly when none is configured
     return df.checkpoint(eager=eager)
 
 

@@ -151,3 +151,20 @@ def test_global_row_number_property(spark):
         assert got == want
 
     check()
+
+
+def test_read_documents_inferred_and_read_table(spark, tmp_path):
+    p = tmp_path / "docs.csv"
+    p.write_text('id,description,extra\n1,"first, with a comma",x\n2,"a ""quoted"" word",y\n')
+    docs = files.read_documents(spark, str(p), escape='"')
+    assert dict(docs.dtypes)["id"] == "int"
+    rows = {r.id: r.description for r in docs.collect()}
+    assert rows == {1: "first, with a comma", 2: 'a "quoted" word'}
+
+    out = str(tmp_path / "t")
+    docs.write.parquet(out)
+    only = files.read_table(spark, out, ["id"])
+    assert only.columns == ["id"]
+    assert "ReadSchema: struct<id:int>" in only._jdf.queryExecution().executedPlan().toString()
+    view = files.register_view(docs, "tessera_docs_view")
+    assert spark.sql("select count(*) from tessera_docs_view").first()[0] == 2 and view is docs

@@ -127,3 +127,14 @@ def test_join_queries_without_broadcast(spark, duck, name):
     res = duck.execute(E.oracle_sql()[name])
     o_names = [d[0] for d in res.description]
     assert _bag(s_names, s_rows) == _bag(o_names, res.fetchall())
+
+
+def test_no_query_plan_has_a_cartesian_product(spark):
+    bad = []
+    for name, fn in E.queries().items():
+        if name.startswith("als_"):
+            continue  # results of pyspark.ml, built as a small DataFrame
+        plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+            bad.append(name)
+    assert bad == []

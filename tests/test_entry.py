@@ -129,12 +129,12 @@ def test_join_queries_without_broadcast(spark, duck, name):
     assert _bag(s_names, s_rows) == _bag(o_names, res.fetchall())
 
 
-def test_no_query_plan_has_a_cartesian_product(spark):
+def test_no_query_plan_has_a_cartesian_product_or_python_udf(spark):
+    forbidden = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
     bad = []
     for name, fn in E.queries().items():
         if name.startswith("als_"):
             continue  # results of pyspark.ml, built as a small DataFrame
         plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
-        if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
-            bad.append(name)
+        bad += [(name, f) for f in forbidden if f in plan]
     assert bad == []

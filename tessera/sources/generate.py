@@ -80,7 +80,8 @@ def draw_customers(spark_or_draws, n: int | None = None, seed: int = 42, id_max=
     """
     d = _draws(spark_or_draws, n)
     if id_max is None:
-        id_max = d.select(F.count(F.lit(1))).scalar()
+        # n draws from spark.range: the count is known; otherwise one scalar subquery
+        id_max = n if not isinstance(spark_or_draws, DataFrame) else d.select(F.count(F.lit(1))).scalar()
     i = F.col("i")
     return d.select(
         i.alias("draw_no"),

@@ -268,8 +268,8 @@ def q_best_of_candidates(spark, d):
 
 
 def q_als_rank_selection(spark, d):
-    _, results = recommend.select_best_rank(_Tables(spark, d).ratings, seed=42)
-    return results
+    best, results = recommend.select_best_rank(_Tables(spark, d).ratings, seed=42)
+    return results.withColumn("chosen", F.col("rank") == F.lit(best))
 
 
 def q_als_top_n(spark, d):

@@ -21,13 +21,13 @@ def test_global_row_number_equals_single_window(spark):
     assert sorted(r.rn for r in ours.select("rn").collect()) == list(range(1, 5001))
 
 
-@pytest.mark.parametrize("n,c", [(25, 3), (30, 3), (31, 3), (5, 10)])
+@pytest.mark.parametrize("n,c", [(25, 3), (30, 3), (31, 3), (5, 10), (5, 0)])
 def test_cycled_zip_counts(spark, n, c):
     left = spark.range(1, n + 1).select(F.col("id").alias("p"))
     right = spark.range(1, c + 1).select(F.col("id").alias("cp"), (F.col("id") * 100).alias("val"))
     out = cycled_zip(left, "p", right, "cp", repeats=10).collect()
     assert len(out) == min(n, 10 * c)
-    assert all(r.val == ((r.p - 1) % c + 1) * 100 for r in out)
+    assert all(r.val == ((r.p - 1) % c + 1) * 100 for r in out)  # empty when c == 0
 
 
 def test_dedupe_keeps_first_under_order(spark):

@@ -99,17 +99,26 @@ SUSPICIOUS = TableSpec(
 # -----------------------------------------------------------------------------
 
 
-def replace_table(df: DataFrame, spec: TableSpec, path: str, order_by=None) -> str:
+def replace_table(df: DataFrame, spec: TableSpec, path: str, order_by=None, files_per_directory: int | None = None) -> str:
     """S8 (+S9, S10): replace the whole table at ``path`` with ``df``.
 
     With ``order_by``, rows sharing a primary key collapse to the first under
     that order - the store's "last write wins", made deterministic.  Without
     it the caller asserts the key is already unique.  Writing to a path the
     same plan reads fails in Spark; stage through another path first.
+
+    A directory-partitioned write needs no shuffle, but each task writes one
+    file per directory it touches.  For input not clustered by those columns,
+    ``files_per_directory=k`` hashes rows on the directory columns plus a salt
+    from the primary key first: each directory gets at most ``k`` files, and a
+    directory holding a third of the rows is still written by ``k`` tasks.
     """
     rows = spec.conform(df)
     if order_by is not None:
         rows = dedupe_by_key(rows, list(spec.primary_key), order_by)
+    if files_per_directory and spec.storage_partitions:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in spec.primary_key]), F.lit(files_per_directory))
+        rows = rows.repartition(*[F.col(c) for c in spec.storage_partitions], salt)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if spec.storage_partitions:
         writer = writer.partitionBy(*spec.storage_partitions)

@@ -224,3 +224,15 @@ def test_county_statistics_sql_equals_dataframe_form(spark):
     a = sorted(tuple(r) for r in T.county_statistics(cust, tx).collect())
     b = sorted(tuple(r) for r in T.county_statistics_sql(cust, tx).collect())
     assert a == b and a
+
+
+def test_replace_table_bounds_files_per_directory(spark, tmp_path):
+    import glob
+
+    customers = generate.gen_customers(spark, n=60, seed=8)
+    tx = generate.gen_transactions(spark, customers, n=600, seed=8).repartition(16)
+    path = tables.replace_table(tx, tables.TRANSACTIONS, str(tmp_path / "tx"), files_per_directory=2)
+    dirs = glob.glob(f"{path}/year=*/month=*")
+    assert dirs and all(len(glob.glob(f"{d}/*.parquet")) <= 2 for d in dirs)
+    back = tables.read_keyed(spark, tables.TRANSACTIONS, path).drop("event_us")
+    assert back.exceptAll(tx).count() == 0 and tx.exceptAll(back).count() == 0

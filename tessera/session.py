@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,6 +30,18 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def ensure_shared_dir(spark: SparkSession) -> None:
+    """Give a one-machine session (``local[...]``) a scratch folder if it names none.
+
+    On a cluster the setting is required: executors would write to their own disks.
+    """
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        shared_dir(spark)  # raises with the reason
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-shared-"))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

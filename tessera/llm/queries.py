@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup
+from tessera.llm import exact_dedup, html_extract, packing
 from tessera.llm.common import read
 from tessera.session import ensure_shared_dir
 
@@ -20,6 +20,8 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[S
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": _over("pages", html_extract.op1_html_extraction),
+    "op2_best_fit_packing": _over("documents", packing.op2_best_fit_packing),
     "op7_exact_dedup": _over("documents", exact_dedup.op7_exact_dedup),
 }
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, html_extract, packing
+from tessera.llm import decontaminate, exact_dedup, html_extract, packing, simhash
 from tessera.llm.common import read
 from tessera.session import ensure_shared_dir
 
@@ -19,10 +19,17 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[S
     return query
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_shared_dir(spark)
+    return decontaminate.op10_decontamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": _over("pages", html_extract.op1_html_extraction),
     "op2_best_fit_packing": _over("documents", packing.op2_best_fit_packing),
+    "op6_simhash_dedup": _over("documents", simhash.op6_simhash_dedup),
     "op7_exact_dedup": _over("documents", exact_dedup.op7_exact_dedup),
+    "op10_decontamination": _decontamination,
 }
 
 ORACLES: dict[str, str] = {

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, exact_dedup, html_extract, packing, simhash
+from tessera.llm import decontaminate, exact_dedup, html_extract, packing, sharding, simhash, training_order
 from tessera.llm.common import read
 from tessera.session import ensure_shared_dir
 
@@ -27,6 +27,8 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": _over("pages", html_extract.op1_html_extraction),
     "op2_best_fit_packing": _over("documents", packing.op2_best_fit_packing),
+    "op3_training_order": _over("documents", training_order.op3_training_order),
+    "op5_sharding": _over("documents", sharding.op5_sharding),
     "op6_simhash_dedup": _over("documents", simhash.op6_simhash_dedup),
     "op7_exact_dedup": _over("documents", exact_dedup.op7_exact_dedup),
     "op10_decontamination": _decontamination,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, exact_dedup, html_extract, packing, sharding, simhash, training_order
+from tessera.llm import decontaminate, exact_dedup, html_extract, packing, quality, sharding, simhash, toxicity, training_order
 from tessera.llm.common import read
 from tessera.session import ensure_shared_dir
 
@@ -19,6 +19,14 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[S
     return query
 
 
+def _labelled(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_shared_dir(spark)
+        return operator(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+    return query
+
+
 def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_shared_dir(spark)
     return decontaminate.op10_decontamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -28,9 +36,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": _over("pages", html_extract.op1_html_extraction),
     "op2_best_fit_packing": _over("documents", packing.op2_best_fit_packing),
     "op3_training_order": _over("documents", training_order.op3_training_order),
+    "op4_quality": _labelled(quality.op4_quality),
     "op5_sharding": _over("documents", sharding.op5_sharding),
     "op6_simhash_dedup": _over("documents", simhash.op6_simhash_dedup),
     "op7_exact_dedup": _over("documents", exact_dedup.op7_exact_dedup),
+    "op9_toxicity": _labelled(toxicity.op9_toxicity),
     "op10_decontamination": _decontamination,
 }
 

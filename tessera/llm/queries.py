@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, exact_dedup, html_extract, packing, quality, sharding, simhash, toxicity, training_order
+from tessera.llm import decontaminate, exact_dedup, html_extract, packing, quality, sharding, simhash, tool_calls, toxicity, training_order
 from tessera.llm.common import read
 from tessera.session import ensure_shared_dir
 
@@ -40,10 +40,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": _over("documents", sharding.op5_sharding),
     "op6_simhash_dedup": _over("documents", simhash.op6_simhash_dedup),
     "op7_exact_dedup": _over("documents", exact_dedup.op7_exact_dedup),
+    "op8_tool_calls": _over("conversations", tool_calls.op8_tool_calls),
     "op9_toxicity": _labelled(toxicity.op9_toxicity),
     "op10_decontamination": _decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op8_tool_calls": tool_calls.ORACLE_SQL,
 }

@@ -61,15 +61,25 @@ def numbered(df: DataFrame, part: Column, order: list[str], group: str | None =
     return ranked.join(starts, by).withColumn(alias, F.col("_start") + F.col("_rank")).drop("_part", "_rank", "_start")
 
 
+def masked(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns renamed c0_, c1_, ..., so none clashes with an operator's own; and the names."""
+    names = {c: f"c{k}_" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def unmasked(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def row_hash(df: DataFrame) -> Column:
-    """A hash of the whole row (columns that hold maps have none)."""
-    return F.xxhash64(*[df[c] for c, kind in df.dtypes if "map<" not in kind])
+    """A hash of the whole row (columns that hold maps or variants have none)."""
+    return F.xxhash64(*[df[c] for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
 
 
 def keep_rows(docs: DataFrame, keepers: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``docs`` named by ``keepers`` (_kid, _ktie: id and row hash); of equal rows one."""
-    names = docs.columns
-    rows = docs.select("*", docs[id_col].cast("long").alias("_i"), row_hash(docs).alias("_tie"))
+    hidden, names = masked(docs)
+    rows = hidden.select("*", F.col(names[id_col]).cast("long").alias("_i"), row_hash(hidden).alias("_tie"))
     met = rows.join(keepers, (F.col("_tie") == F.col("_ktie")) & F.col("_i").eqNullSafe(F.col("_kid")), "left_semi")
     first = W.partitionBy("_tie", "_i").orderBy("_tie")
-    return met.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").select(*names)
+    return unmasked(met.withColumn("_rn", F.row_number().over(first)).where("_rn = 1"), names)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import stored
+from tessera.llm.common import masked, stored
 
 PHRASE = 10
 BLOCK_PHRASES = 100_000
@@ -331,17 +331,15 @@ def without_spans(text: bytes, spans: list[list[int]]) -> bytes:
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", bench_id: str = "item_id", bench_text: str = "text",
                    chars_col: str = "n_chars") -> DataFrame:
     """``docs`` without their removal spans (and with ``chars_col``, if there is one, counted anew)."""
-    names = [f"_c{k}" for k in range(len(docs.columns))]
-    text_at = docs.columns.index(text_col)
-    renamed = docs.toDF(*names)
-    carried = [n for k, n in enumerate(names) if k != text_at]
-    found = _searched(renamed, benchmark, carried, names[text_at], bench_id, bench_text, clean=True)
+    hidden, names = masked(docs)
+    carried = [n for c, n in names.items() if c != text_col]
+    found = _searched(hidden, benchmark, carried, names[text_col], bench_id, bench_text, clean=True)
     hit = F.size("_spans") > 0
     spanned = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     found = found.where(~hit | (spanned < F.col("_words"))).withColumn("_new", F.col("_text").cast("string"))
     out = []
-    for k, (old, new) in enumerate(zip(docs.columns, names, strict=True)):
-        if k == text_at:
+    for old, new in names.items():
+        if old == text_col:
             out.append(F.col("_new").alias(old))
         elif old == chars_col:
             out.append(F.when(hit, F.length("_new")).otherwise(F.col(new)).cast(docs.schema[old].dataType).alias(old))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import attach, stored
+from tessera.llm.common import attach, masked, row_hash, stored, unmasked
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -230,14 +230,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     keep = stored(build_index(docs, id_col, text_col), "cuckoo-index")
     keep = keep.select(F.col("digest").alias("_kd"), F.col("keep_id").alias("_kid"))
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    names = docs.columns
-    rows = docs.select(
-        "*", F.unhex(F.sha2(text, 256)).alias("_d"), docs[id_col].cast("long").alias("_i"), F.xxhash64(*names).alias("_tie")
-    )
+    hidden, names = masked(docs)
+    text = F.coalesce(F.col(names[text_col]).cast("string"), F.lit(""))
+    rows = hidden.select("*", F.unhex(F.sha2(text, 256)).alias("_d"), F.col(names[id_col]).cast("long").alias("_i"), row_hash(hidden).alias("_tie"))
     met = rows.join(keep, (F.col("_d") == F.col("_kd")) & F.col("_i").eqNullSafe(F.col("_kid")), "left_semi")
     first = W.partitionBy("_d", "_i").orderBy("_tie")
-    return met.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").select(*names)
+    return unmasked(met.withColumn("_rn", F.row_number().over(first)).where("_rn = 1"), names)
 
 
 def op7_exact_dedup(documents: DataFrame) -> DataFrame:

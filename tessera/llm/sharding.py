@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import masked, stored
 
 SHARDS = 16
 RANGES = 1024
@@ -145,14 +145,14 @@ def sharded(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> None:
     """``docs`` as Parquet, one folder a shard (``_shard=k``), with ``_slot``."""
-    names = docs.columns
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    rows = docs.select("*", docs[id_col].cast("long").alias("_i"), F.xxhash64(text).alias("_h"))
+    hidden, names = masked(docs)
+    text = F.coalesce(F.col(names[text_col]).cast("string"), F.lit(""))
+    rows = hidden.select("*", F.col(names[id_col]).cast("long").alias("_i"), F.xxhash64(text).alias("_h"))
     rows = rows.withColumn("_k", F.row_number().over(W.partitionBy("_i", "_h").orderBy("_h")))
     places = sharded(docs, shards, id_col, text_col).select(F.col("doc_id").alias("_pi"), F.col("h").alias("_ph"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
     places = places.withColumn("_pk", F.row_number().over(W.partitionBy("_pi", "_ph").orderBy("_slot")))
     met = rows.join(places, (F.col("_h") == F.col("_ph")) & F.col("_i").eqNullSafe(F.col("_pi")) & (F.col("_k") == F.col("_pk")))
-    met.select(*names, "_shard", "_slot").write.partitionBy("_shard").parquet(path)
+    met.select(*[F.col(n).alias(c) for c, n in names.items()], "_shard", "_slot").write.partitionBy("_shard").parquet(path)
 
 
 def op5_sharding(documents: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import masked, unmasked
 from tessera.llm.labelled import held_out, labelled_sample
 
 SAMPLE = 8000
@@ -248,11 +249,9 @@ def scored(documents: DataFrame, model: Model, carried: list[str] | None = None,
 
 def rejected_out(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``documents`` without the rows scored at or above ``threshold``."""
-    model = trained(documents, labels)
-    names = [f"_c{k}" for k in range(len(documents.columns))]
-    renamed = documents.toDF(*names)
-    kept = scored(renamed, model, names, names[documents.columns.index("text")]).where(F.col("score") < threshold)
-    return kept.select(*[F.col(n).alias(c) for n, c in zip(names, documents.columns, strict=True)])
+    hidden, names = masked(documents)
+    found = scored(hidden, trained(documents, labels), list(names.values()), names["text"])
+    return unmasked(found.where(F.col("score") < threshold), names)
 
 
 def op9_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:

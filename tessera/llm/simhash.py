@@ -74,21 +74,25 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return given.mapInArrow(work, "doc long, tie long, fp long")
 
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
 def _forest(found: list[int], max_bits: int) -> list[tuple[int, int]]:
     """Links that connect what the complete distance connects."""
     if len(found) == 2:
         a, b = found
         return [(a, b)] if ((a ^ b) & 0xFFFFFFFFFFFFFFFF).bit_count() <= max_bits else []
-    rest = np.unique(np.array(found, np.int64))
+    rest = np.unique(np.array(found, np.int64)).view(np.uint64)  # bitwise_count takes absolute values of signed numbers
     links = []
     while rest.size > 1:
         todo, rest = [int(rest[0])], rest[1:]
         while todo and rest.size:
             a = todo.pop()
-            near = np.bitwise_count(rest ^ np.int64(a)) <= max_bits
+            near = np.bitwise_count(rest ^ np.uint64(a)) <= max_bits
             if near.any():
                 new = rest[near].tolist()
-                links += [(a, b) for b in new]
+                links += [(_signed(a), _signed(b)) for b in new]
                 todo += new
                 rest = rest[~near]
     return links

@@ -1,0 +1,105 @@
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tessera.llm import decontaminate as X
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(docs, items):
+    phrases = {}
+    for item, text in items:
+        w = words(text)
+        for k in range(max(1, len(w) - 9) if w and item is not None else 0):
+            phrases.setdefault(tuple(w[k:k + 10]), set()).add(item)
+    out = Counter()
+    for doc, text in docs:
+        w, found = words(text), set()
+        hit = [False] * len(w)
+        for size in {len(p) for p in phrases}:
+            for k in range(len(w) - size + 1):
+                if items_ := phrases.get(tuple(w[k:k + size])):
+                    found |= items_
+                    hit[k:k + size] = [True] * size
+        joined = ",".join(sorted(map(str, found)))
+        out[(doc, len(w), sum(hit), len(found), hashlib.sha256(joined.encode()).hexdigest(), any(hit))] += 1
+    return out
+
+
+def rows_of(df, *cols):
+    return [tuple(r) for r in df.select(*cols).collect()]
+
+
+def check(docs, bench):
+    found = Counter(tuple(r) for r in X.op10_decontamination(docs, bench).collect())
+    assert found == brute(rows_of(docs, "doc_id", "text"), rows_of(bench, "item_id", "text"))
+
+
+def short_items(spark, bench):
+    more = spark.createDataFrame([(900, "of the"), (901, "the"), (902, ""), (903, None), (904, "!!!"), (None, "and"), (900, "of the")], "item_id long, text string")
+    return bench.select("item_id", "text").unionByName(more)
+
+
+def test_query_against_brute_force(documents, table):
+    check(documents, table("benchmark"))
+
+
+@pytest.mark.parametrize("name, value", [("BLOCK_PHRASES", 100), ("SHARD_WORDS", 50)])
+def test_short_items_in_blocks_and_shards(spark, documents, table, monkeypatch, name, value):
+    monkeypatch.setattr(X, name, value)
+    check(documents, short_items(spark, table("benchmark")))
+
+
+def test_awkward_rows(spark, awkward, no_documents):
+    bench = spark.createDataFrame([(1, "text, twice"), (2, "word5 and5 word6 and6 word7 and7 word8 and8 word9 and9 word10"), (3, "日本語")], "item_id long, text string")
+    check(awkward, bench)
+    check(awkward, spark.createDataFrame([], "item_id long, text string"))
+    check(no_documents, bench)
+
+
+def test_cleaned_documents(spark, awkward, no_documents):
+    bench = spark.createDataFrame([(1, "text, twice"), (2, "two words"), (3, "id nine")], "item_id long, text string")
+    clean = X.decontaminated(awkward, bench)
+    assert clean.columns == awkward.columns and clean.dtypes == awkward.dtypes
+    rows = Counter(rows_of(clean, "doc_id", "text", "n_chars"))
+    expected = Counter()
+    for doc, text, n in rows_of(awkward, "doc_id", "text", "n_chars"):
+        if text == "two words":
+            continue  # nothing is left
+        new = (text or "").replace("text, twice", "").replace("id nine", "")
+        expected[(doc, text if text is None else new, n if new == (text or "") else len(new))] += 1
+    rows = Counter({(d, t if t or d not in (4, None) else None, n): k for (d, t, n), k in rows.items()})
+    assert rows == expected
+    assert X.decontaminated(no_documents, bench).count() == 0
+
+
+def test_removed_spans():
+    assert X.without_spans("One, TWO three. Four".encode(), [[1, 3]]) == b"One, . Four"
+    assert X.without_spans("é b c".encode(), [[0, 1], [2, 3]]) == b" b "
+
+
+def test_index_against_plain_search():
+    rng = random.Random(4)
+    for _ in range(30):
+        runs = [[rng.randint(1, 4) for _ in range(rng.randint(1, 30))] for _ in range(rng.randint(1, 6))]
+        text = np.array([s for r in runs for s in (0, *r)], np.int64)
+        assert X.suffix_array(text).tolist() == sorted(range(len(text)), key=lambda k: [(x, j) if x == 0 else (x, 0) for j, x in enumerate(text.tolist()[k:], k)])
+        index = X.FmIndex(text, 5)
+        wanted = sorted({tuple(rng.randint(1, 5) for _ in range(rng.randint(1, 4))) for _ in range(20)})
+        symbols = np.zeros((len(wanted), X.PHRASE), np.int64)
+        for k, p in enumerate(wanted):
+            symbols[k, X.PHRASE - len(p):] = p
+        phrases = X.Phrases({}, symbols, np.array([len(p) for p in wanted]), [[k] for k in range(len(wanted))])
+        low, high = index.search(phrases)
+        for k, p in enumerate(wanted):
+            places = sorted(index.locate(np.arange(low[k], high[k])).tolist())
+            assert places == [a for a in range(len(text)) if tuple(text[a:a + len(p)].tolist()) == p]

@@ -36,8 +36,9 @@ from tessera.llm.common import numbered, stored
 from tessera.llm.tokens import pieces, vocabulary_path
 
 SEQUENCE = 2048
-ROUNDS = 60
-RATE = 1.0
+#: Rounds: so many for a full histogram, more for few lengths, which are cheap and need them.
+LEAST_ROUNDS, MOST_ROUNDS, ROUNDS_BY_LENGTHS = 60, 300, 60_000
+DECAY = 3.0
 SLACK = 0.02
 #: Parts in which the pieces of one length are numbered.
 PARTS = 256
@@ -69,22 +70,25 @@ def _columns(lengths: np.ndarray, prices: np.ndarray, capacity: int, slack: floa
     return list(dict.fromkeys(tuple(sorted(h)) for h in held))
 
 
-def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
+def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int) -> dict[tuple[int, ...], float]:
     """A fractional solution: configuration (indices into ``lengths``) -> how often."""
-    covered, x = np.zeros(len(lengths)), defaultdict(float)
-    for _ in range(rounds):
-        prices = lengths / capacity * np.exp(-RATE * (covered - covered.min()))
+    covered, kept, x = np.zeros(len(lengths)), np.zeros(len(lengths)), defaultdict(float)
+    for turn in range(rounds):
+        prices = lengths / capacity * np.exp(covered.min() - covered)
         found = _columns(lengths, prices, capacity, SLACK)
         use, step = np.zeros(len(lengths)), {}
         for c in found:
             ks, times = np.unique(c, return_counts=True)
             step[c] = float((counts[ks] / times).min())
             use[ks] += times * step[c]
-        share = 1 / max(1.0, float((use / counts).max()))  # no length is covered more than once a round
-        for c, n in step.items():
-            x[c] += n * share
+        # no length is covered more than once a round, and later rounds weigh less
+        share = 1 / max(1.0, float((use / counts).max())) / (1 + DECAY * turn / rounds)
         covered += use * share / counts
-    scale = float((covered * counts * lengths).sum() / (counts * lengths).sum())
+        if turn >= rounds // 3:  # the first prices are still far off
+            kept += use * share
+            for c, n in step.items():
+                x[c] += n * share
+    scale = float((kept * lengths).sum() / (counts * lengths).sum())
     return {c: n / scale for c, n in x.items()}
 
 
@@ -123,12 +127,13 @@ def _best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tupl
     return [(n, c) for groups in room.values() for n, c in groups]
 
 
-def plan(histogram: dict[int, int], capacity: int = SEQUENCE, rounds: int = ROUNDS) -> list[tuple[int, tuple[int, ...]]]:
+def plan(histogram: dict[int, int], capacity: int = SEQUENCE) -> list[tuple[int, tuple[int, ...]]]:
     """How many sequences of which lengths: [(how many, lengths)]."""
     if not histogram:
         return []
     lengths = np.array(sorted(histogram))
     counts = np.array([histogram[int(n)] for n in lengths])
+    rounds = min(MOST_ROUNDS, max(LEAST_ROUNDS, ROUNDS_BY_LENGTHS // len(lengths)))
     x = solve(lengths, counts, capacity, rounds)
     order = sorted(x.items(), key=lambda c: (-int(lengths[list(c[0])].sum()), -c[1], c[0]))
     full = [(c, np.inf) for c, _ in order if lengths[list(c)].sum() == capacity]

@@ -1,0 +1,100 @@
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from tessera.llm import packing as X
+from tessera.llm.tokens import WordIds, vocabulary_path
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(vocabulary_path())
+
+
+def expected_pieces(rows, tokenizer):
+    out = Counter()
+    for doc, text in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        for k in range(0, len(ids), 2048):
+            part = ids[k:k + 2048]
+            out[(doc, k // 2048, k, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))] += 1
+    return out
+
+
+def check(docs, tokenizer):
+    rows = X.op2_best_fit_packing(docs).collect()
+    given = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert Counter(tuple(r)[:5] for r in rows) == expected_pieces(given, tokenizer)
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for placed in sequences.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    return len(sequences), sum(r.length for r in rows)
+
+
+def test_query_is_gapless_and_near_the_bound(documents, tokenizer):
+    used, tokens = check(documents, tokenizer)
+    assert used <= 1.02 * tokens / 2048 + 1
+
+
+def test_awkward_rows(awkward, no_documents, tokenizer):
+    check(awkward, tokenizer)
+    assert X.op2_best_fit_packing(no_documents).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_plan_covers_the_histogram(seed):
+    rng = np.random.default_rng(seed)
+    capacity = 100
+    lengths = rng.choice(np.arange(1, capacity + 1), rng.integers(1, 40), replace=False)
+    histogram = {int(n): int(rng.integers(1, 500)) for n in lengths}
+    runs = X.plan(histogram, capacity)
+    counts = Counter()
+    for n, held in runs:
+        assert sum(held) <= capacity
+        for length in held:
+            counts[length] += n
+    assert counts == histogram
+    left = np.array([histogram[n] for n in sorted(histogram)])
+    plain = sum(n for n, _ in X._best_fit(np.array(sorted(histogram)), left, capacity))
+    assert sum(n for n, _ in runs) <= plain
+
+
+def test_program_beats_best_fit_on_triples():
+    # lengths that only fill a sequence in the right threes
+    histogram = {34: 300, 33: 300, 50: 100, 25: 200}
+    left = np.array([histogram[n] for n in sorted(histogram)])
+    plain = sum(n for n, _ in X._best_fit(np.array(sorted(histogram)), left, 100))
+    assert sum(n for n, _ in X.plan(histogram, 100)) < plain - 3
+
+
+def test_knapsack_against_all_multisets():
+    lengths, prices = np.array([3, 5, 7]), np.array([0.3, 0.55, 0.7])
+    best, _ = X._knapsack(lengths, prices, 20)
+    brute = max(a * 0.3 + b * 0.55 + c * 0.7 for a in range(7) for b in range(5) for c in range(3) if 3 * a + 5 * b + 7 * c <= 20)
+    assert best[20] == pytest.approx(brute)
+
+
+def test_ids_equal_the_tokenizers(tokenizer):
+    words = WordIds(vocabulary_path())
+    tricky = [
+        "It's a test, don't 'so !!'s <|endoftext|> x²y ½ a\tb\r\nc\x1cd \xa0 é É ǅ Straße “quotes” ΑΣ ΟΔΟΣ İstanbul 12345 foo_bar __x__",
+        "é a b", "日本語 tèst's", "", "  ", "\n", "'", "'sx 'S IT'S", "ªº µ x¹ a\xadb", "a" * 3000, "<|startoftext|>a", "ABC.\n.\n..,!?", "ﬁ ①", "\x00a\x7f", "'ve'll'd're",
+    ]
+    for text in tricky * 2:
+        assert np.frombuffer(words.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_full_memory_starts_anew(tokenizer, monkeypatch):
+    monkeypatch.setattr("tessera.llm.tokens.REMEMBERED", 3)
+    words = WordIds(vocabulary_path())
+    text = "one two three four five, six seven one two!"
+    assert np.frombuffer(words.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids

@@ -1,0 +1,75 @@
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from tessera.llm import sharding as X
+
+
+def check(docs, shards=16):
+    given = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    rows = X.op5_sharding(docs).collect()
+    data = [(d, (t or "").encode()) for d, t in given]
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == Counter((d, len(t) + 1, zlib.crc32(t)) for d, t in data)
+    by = defaultdict(list)
+    for r in rows:
+        assert 0 <= r.shard < shards and r.law == "bytes" and r.grown_shard is None
+        by[r.shard].append(r)
+    for part in by.values():
+        assert sorted(r.slot for r in part) == list(range(len(part)))
+    return rows, [sum(r.size for r in by[k]) for k in range(shards)]
+
+
+def test_sizes_are_near_equal_and_equal_texts_stay_together(documents):
+    rows, sizes = check(documents)
+    largest = max(r.size for r in rows)
+    mean = sum(sizes) / 16
+    assert max(sizes) <= mean + largest and min(sizes) >= mean - largest
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r.text_crc32].append(r)
+    total, n = sum(sizes), len(rows)
+    for part in groups.values():
+        if len(part) * X.OVERFULL <= n and sum(r.size for r in part) * X.OVERFULL <= total:
+            assert len({r.shard for r in part}) == 1
+
+
+def test_awkward_rows(awkward, no_documents):
+    check(awkward)
+    assert X.op5_sharding(no_documents).count() == 0
+
+
+def test_a_hot_text_is_subdivided(spark):
+    rows = [(k, "hot text " * 10) for k in range(4000)] + [(10_000 + k, f"text number {k} " * 5) for k in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found, sizes = check(docs)
+    assert max(sizes) - min(sizes) <= 400
+    assert len({r.shard for r in found if r.doc_id < 10_000}) > 4
+
+
+def test_overfull_ranges_are_subdivided(spark, monkeypatch):
+    monkeypatch.setattr(X, "SAMPLE", 4)  # far too few draws
+    monkeypatch.setattr(X, "RANGES", 64)
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(3000)], "doc_id long, text string")
+    _, sizes = check(docs)
+    assert max(sizes) - min(sizes) <= 24
+    rows, units, n, b = X._units(X._rows(docs, "doc_id", "text"))
+    _, totals = X.split(units, n, b)
+    assert max(t[2] for t in totals) * 64 <= X.TOO_HEAVY * 3000
+
+
+def test_quantiles():
+    drawn = [((k, 0), 1.0) for k in range(100)]
+    assert X._quantiles(drawn, 4) == [(25, 0), (50, 0), (75, 0)]
+    assert X._quantiles([((1, 0), 50.0), ((2, 0), 1.0)], 4) == [(2, 0)]
+    assert X._quantiles([], 4) == []
+
+
+def test_written_shards(spark, awkward, tmp_path):
+    X.write_shards(awkward, f"file://{tmp_path}/out", 4)
+    back = spark.read.parquet(f"file://{tmp_path}/out")
+    assert Counter(map(tuple, back.select(*awkward.columns).collect())) == Counter(map(tuple, awkward.collect()))
+    slots = defaultdict(list)
+    for r in back.select("_shard", "_slot").collect():
+        slots[r["_shard"]].append(r["_slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())

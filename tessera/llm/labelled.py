@@ -27,7 +27,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, bound:
     share = {y: min(1.0, bound / 2 / n) for y, n in counts.items()}
     unit = F.shiftrightunsigned(F.xxhash64("_lid", F.lit(SEED)), 11) / float(1 << 53)
     chance = F.when(F.col("y") == 1, F.lit(share.get(1, 0.0))).otherwise(F.lit(share.get(0, 0.0)))
-    drawn = one.where(unit < chance).withColumn("weight", 1 / chance)
+    weight = F.when(F.col("y") == 1, F.lit(1 / share.get(1, 1.0))).otherwise(F.lit(1 / share.get(0, 1.0)))
+    drawn = one.where(unit < chance).withColumn("weight", weight)
     text = F.coalesce(documents["text"].cast("string"), F.lit("")).alias("text")
     given = documents.select(documents["doc_id"].cast("long").alias("_lid"), text)
     return given.join(F.broadcast(drawn), "_lid").select(F.col("_lid").alias("doc"), "text", "y", "weight")

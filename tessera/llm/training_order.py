@@ -1,24 +1,25 @@
 """Training-order materialisation: token sequences in a keyed order, in fixed-stride binary shards.
 
-1. Documents become sequences of at most ``length`` token ids (each document ends with the end
-   id), written once as a table.  A sequence's number is its place in that table: the files in the
-   order of their names, then the rows; only the files' counts are summed up, so nothing is
-   shuffled for it.
+1. Documents become sequences of at most ``length`` token ids (each document ends with the end id).
+   A sequence's number is (doc_id - least id) * PIECES + piece: known to its task alone, the same
+   on every cluster, with gaps.
 2. A keyed Feistel network permutes the smallest even power of two that holds all numbers; a value
-   beyond the last number walks on along its cycle.  The result is the global slot: a bijection on
-   0..n-1 that any task computes by itself, without sorting.
-3. Range partitions of the shard number (slot // rows of a shard) write one file each shard: records
-   of a fixed stride, header (doc_id i64, piece i32, length i32) and ids (u16, zeros behind the
-   last).  A shard is written under an attempt's own name and then renamed, so a retried or
-   duplicated task leaves whole files only.
-
-Slot s is at byte (s % rows) * stride of shard s // rows: readers start and resume anywhere by
-seeking.  The order is a function of the key and the written table; another key permutes the same
-table anew.
-
-Defined results: null and empty texts give one sequence with the end id; a null doc_id is written
-as the least long and read as null; repeated rows are sequences of their own; an empty table writes
-no shard.
+   beyond the last number walks on along its cycle.  So every sequence has its place in one keyed
+   order of all numbers, without a sort or a counting pass.
+3. Equal ranges of that order are the shards.  One task a range sorts its sequences and writes them
+   as records of a fixed stride: header (doc_id i64, piece i32, length i32) and ids (u16, zeros
+   behind the last).  A shard is written under an attempt's own name and then renamed, so a retried
+   or duplicated task leaves whole files only.
+4. The shards' counts (one row each) close the gaps: a sequence's global slot is its shard's first
+   slot plus its record's number.  They are kept beside the shards.
+
+Slot s is at byte (s - first slot) * stride of its shard: readers start and resume anywhere by
+seeking.  The order is a function of the key and the ids.  Tokens are shuffled once; no copy of
+them is kept besides.
+
+Defined results: null and empty texts give one sequence with the end id; a null doc_id comes before
+the least id in number, is written as the least long and read as null; sequences of equal number
+(repeated ids) stand next to each other, ordered by their ids; an empty table writes no shard.
 """
 
 from __future__ import annotations
@@ -32,14 +33,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.tokens import pieces, vocabulary_path
 from tessera.session import fresh_path
 
 LENGTH = 512
-SHARD_ROWS = 16_384
+#: Bytes of text for each shard.
+SHARD_TEXT = 16_000_000
+#: Numbers kept for each document's sequences; further ones share the last.
+PIECES = 1 << 20
+#: Numbers stay below this; ids that spread wider are hashed into fewer.
+MOST_NUMBERS = 1 << 61
 KEY = 0x5EED
 ROUNDS = 6
 HEADER = struct.Struct("<qii")
@@ -87,39 +92,39 @@ def stride(length: int) -> int:
     return HEADER.size + 2 * length
 
 
-def sequences(docs: DataFrame, path: str, length: int, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The sequence table, written at ``path``, with the sequences' numbers."""
-    made = pieces(docs, length, vocabulary, with_ids=True, id_col=id_col, text_col=text_col).select("doc_id", "piece", "ids")
-    made.write.option("compression", "zstd").parquet(path)
-    table = docs.sparkSession.read.schema(made.schema).parquet(path)
-    placed = table.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    counts = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # one row a file
-    before = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return placed.join(F.broadcast(starts), "_file").select("doc_id", "piece", "ids", (F.col("_start") + F.col("_row")).alias("number"))
-
-
 def _shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
-def write_shards(numbered: DataFrame, n: int, path: str, length: int = LENGTH, rows: int = SHARD_ROWS, key: int = KEY) -> int:
-    """Write the shards of ``numbered`` (doc_id, piece, ids, number) into ``path``; how many records."""
-    def slots(number: pd.Series) -> pd.Series:
+def write_shards(docs: DataFrame, path: str, length: int = LENGTH, key: int = KEY, shard_text: int = SHARD_TEXT, vocabulary: str | None = None,
+                 id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, int]]:
+    """Write the sequences of ``docs`` into ``path``: (shard, records) of every shard, ordered."""
+    doc = F.col("doc_id")
+    least, most, size = docs.select(docs[id_col].cast("long").alias("doc_id"), F.octet_length(docs[text_col].cast("string")).alias("n")).agg(
+        F.coalesce(F.min(doc), F.lit(0)), F.coalesce(F.max(doc), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    wide = (most - least + 2) * PIECES > MOST_NUMBERS
+    documents = MOST_NUMBERS // PIECES if wide else most - least + 2
+    ordinal = F.pmod(F.xxhash64(doc), F.lit(documents)) if wide else F.coalesce(doc - least + 1, F.lit(0))
+    n = documents * PIECES
+    shards = max(1, -(-size // shard_text))
+    width = -(-n // shards)
+
+    def places(number: pd.Series) -> pd.Series:
         return pd.Series(permute(number.to_numpy(np.int64), n, key))
 
-    slot = F.pandas_udf(slots, "long")
-    shards = -(-n // rows)
-    ordered = numbered.withColumn("slot", slot("number")).withColumn("shard", F.floor(F.col("slot") / rows).cast("long"))
-    ordered = ordered.select("shard", "slot", "doc_id", "piece", "ids").repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot")
-    size = 2 * length
+    made = pieces(docs, length, vocabulary or vocabulary_path(), with_ids=True, id_col=id_col, text_col=text_col)
+    number = ordinal.cast("long") * PIECES + F.least("piece", F.lit(PIECES - 1))
+    placed = made.select("doc_id", "piece", "ids", F.pandas_udf(places, "long")(number).alias("place"))
+    placed = placed.withColumn("shard", F.expr(f"cast(place div {width} as int)"))
+    ordered = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place", "doc_id", "piece", "ids").drop("place")
+    record_size = 2 * length
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(path)
         store.create_dir(base, recursive=True)
-        attempt, now, sink, written = uuid.uuid4().hex, None, None, 0
+        attempt, now, sink, counts = uuid.uuid4().hex, None, None, {}
 
         def close() -> None:
             if sink is not None:
@@ -131,19 +136,28 @@ def write_shards(numbered: DataFrame, n: int, path: str, length: int = LENGTH, r
                 if shard != now:
                     close()
                     now, sink = shard, store.open_output_stream(f"{base}/_{attempt}-{shard}")
-                sink.write(_record(doc, piece, ids, size))
-                written += 1
+                sink.write(_record(doc, piece, ids, record_size))
+                counts[shard] = counts.get(shard, 0) + 1
         close()
-        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], names=["written"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (counts.keys(), counts.values())], names=["shard", "records"])
+
+    return sorted((r["shard"], r["records"]) for r in ordered.mapInArrow(write, "shard long, records long").collect())
+
 
-    return ordered.mapInArrow(write, "written long").agg(F.coalesce(F.sum("written"), F.lit(0))).first()[0]
+def first_slots(written: list[tuple[int, int]]) -> dict[int, int]:
+    """The global slot of each shard's first record."""
+    out, at = {}, 0
+    for shard, records in written:
+        out[shard] = at
+        at += records
+    return out
 
 
-def read_shards(spark: SparkSession, path: str, length: int = LENGTH, rows: int = SHARD_ROWS) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, written: list[tuple[int, int]], length: int = LENGTH) -> DataFrame:
     """Every record of the shards: doc_id, piece, n_tokens, slot, shard, byte_offset, ids_crc32 (of 32-bit ids)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(path)
     files = files.select(F.regexp_extract("path", r"shard-(\d+)\.bin$", 1).cast("long").alias("shard"), "content")
-    size = stride(length)
+    size, first = stride(length), first_slots(written)
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     names = ["doc_id", "piece", "n_tokens", "slot", "shard", "byte_offset", "ids_crc32"]
 
@@ -156,44 +170,42 @@ def read_shards(spark: SparkSession, path: str, length: int = LENGTH, rows: int
                 found = []
                 for at in range(0, len(content), size):
                     doc, piece, ids = _parsed(content, at)
-                    found.append((doc, piece, len(ids), shard * rows + at // size, shard, at, zlib.crc32(ids.astype("<u4").tobytes())))
+                    found.append((doc, piece, len(ids), first[shard] + at // size, shard, at, zlib.crc32(ids.astype("<u4").tobytes())))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
 
     return files.mapInArrow(parse, "doc_id long, piece int, n_tokens int, slot long, shard long, byte_offset long, ids_crc32 long")
 
 
-def resume(path: str, slot: int, length: int = LENGTH, rows: int = SHARD_ROWS) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
+def resume(path: str, written: list[tuple[int, int]], slot: int, length: int = LENGTH) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
     """(slot, doc_id, piece, ids) from ``slot`` on, reading sequentially: what a training job does."""
     from pyarrow import fs
 
     store, base = fs.FileSystem.from_uri(path)
-    size = stride(length)
-    while store.get_file_info(f"{base}/{_shard_name(slot // rows)}").is_file:
-        with store.open_input_file(f"{base}/{_shard_name(slot // rows)}") as f:
-            f.seek(slot % rows * size)
+    size, first = stride(length), first_slots(written)
+    for shard, records in written:
+        if slot >= first[shard] + records:
+            continue
+        with store.open_input_file(f"{base}/{_shard_name(shard)}") as f:
+            f.seek((slot - first[shard]) * size)
             while record := f.read(size):
                 yield slot, *_parsed(record, 0)
                 slot += 1
-        if slot % rows:
-            return
 
 
-def materialised(docs: DataFrame, length: int = LENGTH, rows: int = SHARD_ROWS, key: int = KEY, vocabulary: str | None = None) -> tuple[str, int]:
-    """Write ``docs`` in training order; the shards' folder and the number of sequences."""
+def materialised(docs: DataFrame, length: int = LENGTH, key: int = KEY, shard_text: int = SHARD_TEXT, vocabulary: str | None = None) -> tuple[str, list[tuple[int, int]]]:
+    """Write ``docs`` in training order; the shards' folder and (shard, records), also kept in its folder ``counts``."""
     spark = docs.sparkSession
-    table = sequences(docs, fresh_path(spark, "sequences"), length, vocabulary or vocabulary_path())
-    n = table.count()
     path = fresh_path(spark, "training-order")
-    if n and write_shards(table, n, path, length, rows, key) != n:
-        raise RuntimeError("the shards don't hold every sequence")
-    return path, n
+    written = write_shards(docs, path, length, key, shard_text, vocabulary)
+    spark.createDataFrame(written, "shard long, records long").coalesce(1).write.json(f"{path}/counts")
+    return path, written
 
 
 def op3_training_order(documents: DataFrame) -> DataFrame:
     """The sequences as read back from the written shards."""
     spark = documents.sparkSession
-    path, n = materialised(documents)
-    if not n:
+    path, written = materialised(documents)
+    if not written:
         return spark.createDataFrame([], "doc_id long, piece int, n_tokens int, slot long, shard long, byte_offset long, ids_crc32 long")
-    return read_shards(spark, path)
+    return read_shards(spark, path, written)

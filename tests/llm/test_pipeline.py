@@ -1,0 +1,135 @@
+import zlib
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline as P
+from tessera.llm import decontaminate, toxicity
+from tessera.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def steps(spark, tmp_path_factory):
+    """Each stage's input and result, written and read again."""
+    docs, out = spark.read.parquet(f"{SF}/documents.parquet"), []
+    for name, stage in P.STAGES:
+        path = f"file://{tmp_path_factory.mktemp(name)}/out"
+        stage(spark, docs, SF).write.parquet(path)
+        made = spark.read.parquet(path)
+        out.append((name, docs, made))
+        docs = made
+    return {name: (given, made) for name, given, made in out}
+
+
+def rows(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_stages_in_order():
+    assert [name for name, _ in P.STAGES] == ["toxicity", "exact_dedup", "simhash_dedup", "decontamination", "packing"]
+
+
+def test_all_but_the_last_keep_the_columns(steps):
+    for name, (given, made) in steps.items():
+        if name != "packing":
+            assert made.columns == given.columns == COLUMNS and made.dtypes == given.dtypes
+
+
+def test_toxicity(spark, steps):
+    given, made = steps["toxicity"]
+    scores = {r.doc_id: r.predicted for r in toxicity.op9_toxicity(given, spark.read.parquet(f"{SF}/labels.parquet")).collect()}
+    kept = rows(made)
+    assert {d for d, p in scores.items() if not p} == set(kept)
+    before = rows(given)
+    assert all(before[d] == r for d, r in kept.items())
+
+
+def test_exact_dedup(steps):
+    given, made = steps["exact_dedup"]
+    largest = {}
+    for r in given.collect():
+        largest[r.text] = max(r.doc_id, largest.get(r.text, r.doc_id))
+    assert {(r.doc_id, r.text) for r in made.collect()} == {(d, t) for t, d in largest.items()} and made.count() == len(largest)
+
+
+def test_simhash_dedup(steps):
+    from test_simhash import plain_components, plain_fingerprint
+
+    given, made = steps["simhash_dedup"]
+    texts = {d: r.text for d, r in rows(given).items()}
+    ids = sorted(texts)
+    found = plain_components([plain_fingerprint(texts[d]) for d in ids], ids)
+    assert {r.doc_id: r.text for r in made.collect()} == {d: texts[d] for d, c in zip(ids, found) if d == c}
+
+
+def test_decontamination(spark, steps):
+    from test_decontaminate import brute, words
+
+    given, made = steps["decontamination"]
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    before, after = rows(given), rows(made)
+    hits = {k[0]: k for k in brute([(d, r.text) for d, r in before.items()], items)}
+    for d, r in before.items():
+        _, n_words, n_hit, _, _, hit = hits[d]
+        if not hit:
+            assert after[d] == r
+        elif n_hit == n_words:
+            assert d not in after
+        else:
+            assert len(words(after[d].text)) == n_words - n_hit and after[d].n_chars == len(after[d].text)
+    assert decontaminate.op10_decontamination(made, bench).where("contaminated").isEmpty()
+
+
+def test_packing(steps):
+    given, made = steps["packing"]
+    pieces = Counter(r.doc_id for r in made.collect())
+    assert set(pieces) == set(rows(given))
+
+
+def test_run_applies_the_stages(spark, steps):
+    result = P.run(spark, SF)
+    want = steps["packing"][1]
+    assert result.columns == want.columns
+    assert Counter(tuple(r)[:5] for r in result.collect()) == Counter(tuple(r)[:5] for r in want.collect())
+
+
+def test_clashing_columns_pass_through(spark, awkward):
+    docs = awkward
+    for name, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == awkward.columns, name
+    assert docs.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_against_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
+    got = QUERIES[name](spark, SF)
+    want = con.execute(ORACLES[name])
+    names = [d[0] for d in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert Counter(tuple(r[n] for n in names) for r in got.collect()) == Counter(want.fetchall())
+
+
+def test_query_names():
+    import __spark_entry__ as E
+
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert set(E.queries()) == {*E.core_queries(), *QUERIES, "pipeline"}
+
+
+def test_held_out_rows_are_those_of_the_contract(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.llm.labelled import held_out
+
+    df = spark.createDataFrame([(k,) for k in [*range(50), -3, None]], "doc_id long").select("doc_id", held_out(F.col("doc_id")).alias("h"))
+    assert all(r.h == (zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 3 == 1) for r in df.collect())

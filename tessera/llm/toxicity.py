@@ -2,10 +2,10 @@
 
 A text's features are its different words and their beginnings of four and five characters (so a
 stem is known with endings never seen).  On a bounded sample of labelled rows the features whose
-log odds differ most between the classes (by the likelihood ratio) are chosen; a logistic regression with an L1 penalty
+log odds differ most between the classes (by the likelihood ratio) are chosen; a logistic regression with L1 and L2 penalties
 gets their weights.  Counterfactuals: in the sentences of the sample that mention a group, the
-identity term is replaced by every other term of its kind and by a neutral word, and the squared
-change of the sentence's score is penalised.  So a group's mention alone moves no score.
+identity term is replaced by every other term of its kind and left out, and the squared change of
+the sentence's score is penalised.  So a group's mention alone moves no score.
 
 The fit runs on the driver over the sample's chosen features only (``SAMPLE`` rows at most by
 expectation, documented bound); scoring is one pass over the whole texts with the weights sent to
@@ -19,6 +19,7 @@ alike; columns other than doc_id and text are never read for a score.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -37,34 +38,39 @@ LEAST_DOCS = 4
 #: Likelihood ratio of a feature, at least (chance exceeds it once in 10,000 features).
 LEAST_RATIO = 15.1
 PREFIXES = (4, 5)
-#: The L1 penalty is this over the root of the number of rows.
-L1 = 0.02
+#: Penalties, each over the root of the number of rows; L2 spreads weight over words that stand together.
+L1, L2 = 0.002, 0.017
 COUNTERFACTUAL = 1.0
 STEPS = 400
 THRESHOLD = 0.7
 #: Pieces of text whose features a worker remembers; beyond that its memory starts anew.
 REMEMBERED = 200_000
 
-#: Identity terms by kind, and the kind's neutral word.
-IDENTITY: dict[str, tuple[list[str], str]] = {
-    "gender": (["women", "men", "girls", "boys", "transgender", "nonbinary"], "people"),
-    "person": (["woman", "man", "girl", "boy", "wife", "husband", "mother", "father"], "person"),
-    "religion": (["muslim", "christian", "jewish", "hindu", "buddhist", "sikh", "catholic", "atheist"], "religious"),
-    "believers": (["muslims", "christians", "jews", "hindus", "buddhists", "sikhs", "catholics", "atheists"], "people"),
-    "orientation": (["gay", "lesbian", "bisexual", "straight", "queer", "homosexual"], "person"),
-    "origin": (["black", "white", "asian", "african", "european", "american", "mexican", "chinese", "indian", "arab", "latino"], "local"),
-    "status": (["immigrants", "refugees", "foreigners", "natives", "citizens"], "people"),
-    "ability": (["disabled", "deaf", "blind", "autistic"], "person"),
-    "age": (["old", "young", "elderly"], "adult"),
+#: Identity terms by kind.
+IDENTITY: dict[str, list[str]] = {
+    "gender": ["women", "men", "girls", "boys", "transgender", "nonbinary"],
+    "person": ["woman", "man", "girl", "boy", "wife", "husband", "mother", "father"],
+    "religion": ["muslim", "christian", "jewish", "hindu", "buddhist", "sikh", "catholic", "atheist"],
+    "believers": ["muslims", "christians", "jews", "hindus", "buddhists", "sikhs", "catholics", "atheists"],
+    "orientation": ["gay", "lesbian", "bisexual", "straight", "queer", "homosexual"],
+    "origin": ["black", "white", "asian", "african", "european", "american", "mexican", "chinese", "indian", "arab", "latino"],
+    "status": ["immigrants", "refugees", "foreigners", "natives", "citizens"],
+    "ability": ["disabled", "deaf", "blind", "autistic"],
+    "age": ["old", "young", "elderly"],
 }
+_TERMS = frozenset(t for terms in IDENTITY.values() for t in terms)
 
 _WORDS = re.compile(r"\w+")
 _SENTENCES = re.compile(r"[.!?\n]+")
 
 
-def features_of(word: str) -> list[str]:
-    """A lower-case word's features."""
-    return [word, *(f"{word[:n]}-" for n in PREFIXES if len(word) >= n)]
+def features_of(word: str) -> list[int]:
+    """A lower-case word's features, as hashes of 32 bits."""
+    return [zlib.crc32(f.encode()) for f in (word, *(f"{word[:n]}-" for n in PREFIXES if len(word) >= n))]
+
+
+def all_features(words: Iterable[str]) -> set[int]:
+    return {f for w in words for f in features_of(w)}
 
 
 def sentences(text: str) -> list[list[str]]:
@@ -72,37 +78,50 @@ def sentences(text: str) -> list[list[str]]:
 
 
 def counterfactuals(words: list[str]) -> list[list[str]]:
-    """The sentence with each of its identity terms replaced: by the other terms of its kind and its neutral word."""
+    """The sentence with each of its identity terms replaced by the other terms of its kind, and without it."""
     out = []
     for k, w in enumerate(words):
-        for terms, neutral in IDENTITY.values():
+        for terms in IDENTITY.values():
             if w in terms:
-                out += [[*words[:k], other, *words[k + 1:]] for other in [*terms, neutral] if other != w]
+                out += [[*words[:k], other, *words[k + 1:]] for other in terms if other != w]
+                out.append([*words[:k], *words[k + 1:]])
     return out
 
 
-def _all_features(words: Iterable[str]) -> set[str]:
-    return {f for w in words for f in features_of(w)}
+Change = tuple[int, ...]
+
+
+def changes(text: str) -> Counter[Change]:
+    """How often each change of features occurs among the text's counterfactuals: f + 1 where a feature goes, -f - 1 where one comes."""
+    found: Counter[Change] = Counter()
+    for words in sentences(text):
+        if _TERMS.intersection(words):
+            base = all_features(words)
+            for other in counterfactuals(words):
+                new = all_features(other)
+                if change := (*sorted(f + 1 for f in base - new), *sorted(-f - 1 for f in new - base)):
+                    found[change] += 1
+    return found
 
 
 @dataclass
 class Model:
     intercept: float
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[int, float] = field(default_factory=dict)
 
     def score_words(self, words: Iterable[str]) -> float:
-        z = self.intercept + sum(self.weights.get(f, 0.0) for f in _all_features(words))
+        z = self.intercept + sum(self.weights.get(f, 0.0) for f in all_features(words))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 class _Known(dict):
     """A blank-separated piece of text -> the model's features in it."""
 
-    def __init__(self, weights: dict[str, float]):
+    def __init__(self, weights: dict[int, float]):
         super().__init__()
         self.weights = weights
 
-    def __missing__(self, piece: str) -> tuple[str, ...]:
+    def __missing__(self, piece: str) -> tuple[int, ...]:
         found = tuple(f for w in _WORDS.findall(piece.lower()) for f in features_of(w) if f in self.weights)
         if len(self) >= REMEMBERED:
             self.clear()
@@ -110,59 +129,58 @@ class _Known(dict):
         return found
 
 
-def _likelihood_ratio(a: float, b: float, of_a: float, of_b: float) -> float:
-    """G² of a feature found in a of of_a rows of one class and b of of_b rows of the other."""
+def _likelihood_ratio(a: np.ndarray, b: np.ndarray, of_a: int, of_b: int) -> np.ndarray:
+    """G² of features found in a of of_a rows of one class and in b of of_b rows of the other."""
     n, both = of_a + of_b, a + b
     cells = ((a, both * of_a / n), (b, both * of_b / n), (of_a - a, (n - both) * of_a / n), (of_b - b, (n - both) * of_b / n))
-    return 2 * sum(x * np.log(x / e) for x, e in cells if x > 0)
+    return 2 * sum(x * np.log(np.maximum(x, 1e-12) / np.maximum(e, 1e-12)) for x, e in cells)
 
 
-def _chosen(rows: list[tuple[set[str], int, float]]) -> list[str]:
+def _chosen(found: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """The features that tell the classes apart best, by the likelihood ratio."""
-    counts = (Counter(), Counter())
-    seen = Counter()
-    totals = [0, 0]
-    for found, y, w in rows:
-        seen.update(found)
-        for f in found:
-            counts[y][f] += 1
-        totals[y] += 1
-    scored = []
-    for f, n in seen.items():
-        if n >= LEAST_DOCS and (g := _likelihood_ratio(counts[1][f], counts[0][f], *reversed(totals))) >= LEAST_RATIO:
-            scored.append((-g, f))
-    return [f for _, f in sorted(scored)[:FEATURES]]
+    of = [int((y == c).sum()) for c in (1, 0)]
+    one, zero = (np.unique(np.concatenate([f for f, t in zip(found, y, strict=True) if t == c]), return_counts=True) for c in (1, 0))
+    names = np.union1d(one[0], zero[0])
+    a, b = np.zeros(len(names)), np.zeros(len(names))
+    a[np.searchsorted(names, one[0])] = one[1]
+    b[np.searchsorted(names, zero[0])] = zero[1]
+    usable = np.nonzero(a + b >= LEAST_DOCS)[0]
+    ratio = _likelihood_ratio(a[usable], b[usable], *of)
+    best = np.argsort(-ratio, kind="stable")[:FEATURES]
+    return names[usable[best[ratio[best] >= LEAST_RATIO]]]
 
 
 def fit(examples: Iterable[tuple[str, int, float]], strength: float = COUNTERFACTUAL) -> Model:
     """A model from (text, label, weight)."""
-    rows, pairs = [], []
-    identity = {t for terms, _ in IDENTITY.values() for t in terms}
-    for text, y, weight in examples:
-        words = set(_WORDS.findall(text.lower()))
-        rows.append((_all_features(words), int(y), float(weight)))
-        if words & identity:
-            for s in sentences(text):
-                base = _all_features(s)
-                pairs += [(base, _all_features(c)) for c in counterfactuals(s)]
-    total = sum(w for _, _, w in rows)
-    positive = sum(w for _, y, w in rows if y)
+    found, y, weight, pairs = [], [], [], Counter()
+    for text, label, w in examples:
+        found.append(np.array(sorted(all_features(_WORDS.findall(text.lower()))), np.uint32))
+        pairs.update(changes(text))
+        y.append(label)
+        weight.append(w)
+    return fit_described(found, np.array(y), np.array(weight, float), pairs, strength)
+
+
+def fit_described(found: list[np.ndarray], y: np.ndarray, weight: np.ndarray, pairs: Counter[Change], strength: float = COUNTERFACTUAL) -> Model:
+    """A model from every text's features, labels, weights and all counterfactual changes."""
+    total, positive = float(weight.sum()), float((weight * y).sum())
     if not 0 < positive < total:
         share = np.clip(positive / total if total else 0.0, 1e-6, 1 - 1e-6)
         return Model(float(np.log(share / (1 - share))))
-    changed = {f for a, b in pairs for f in a ^ b}
-    names = list(dict.fromkeys([*_chosen(rows), *sorted(changed)]))
-    at = {f: k for k, f in enumerate(names)}
-
-    def matrix(sets: list[list[tuple[int, float]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        r = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        return r, np.array([k for s in sets for k, _ in s], np.int64), np.array([v for s in sets for _, v in s])
-
-    n, m, width = len(rows), len(pairs), len(names)
-    l1 = L1 / np.sqrt(n)
-    xr, xc, xv = matrix([[(at[f], 1.0) for f in sorted(found & at.keys())] for found, _, _ in rows])
-    dr, dc, dv = matrix([[(at[f], 1.0 if f in a else -1.0) for f in sorted(a ^ b)] for a, b in pairs])
-    y = np.array([r[1] for r in rows], float)
+    changed = sorted({abs(f) - 1 for p in pairs for f in p})
+    names = np.union1d(_chosen(found, y), np.array(changed, np.uint32)).astype(np.uint32)
+    n, m, width = len(found), len(pairs), len(names)
+    l1, l2 = L1 / np.sqrt(n), L2 / np.sqrt(n)
+    kept = [np.searchsorted(names, f[np.isin(f, names, assume_unique=True)]) for f in found]
+    xr, xc = np.repeat(np.arange(n), [len(k) for k in kept]), np.concatenate([np.zeros(0, np.int64), *kept])
+    xv = np.ones(len(xc))
+    listed = sorted(pairs)
+    # a change that occurs c times weighs c in the mean of the squares, so its row is scaled by sqrt(c)
+    dr = np.repeat(np.arange(m), [len(p) for p in listed])
+    flat = np.array([f for p in listed for f in p], np.int64)
+    dc = np.searchsorted(names, (np.abs(flat) - 1).astype(np.uint32))
+    dv = np.sign(flat) * np.repeat(np.sqrt([pairs[p] for p in listed]), [len(p) for p in listed]) if m else np.zeros(0)
+    pull = 2 * strength / max(1, pairs.total())
     # Balanced classes: a score is the likelihood where both classes are equally common.
     cw = np.where(y == 1, 0.5 / y.sum(), 0.5 / (n - y.sum()))
 
@@ -177,7 +195,7 @@ def fit(examples: Iterable[tuple[str, int, float]], strength: float = COUNTERFAC
         e = cw * (p - y)
         g = back(xr, xc, xv, e)
         if m:
-            g = g + 2 * strength / m * back(dr, dc, dv, forward(dr, dc, dv, m, w))
+            g = g + pull * back(dr, dc, dv, forward(dr, dc, dv, m, w))
         return g, float(e.sum())
 
     u = np.ones(width + 1)
@@ -185,7 +203,7 @@ def fit(examples: Iterable[tuple[str, int, float]], strength: float = COUNTERFAC
         f = cw * 0.25 * (forward(xr, xc, xv, n, u[:-1]) + u[-1])
         g = back(xr, xc, xv, f)
         if m:
-            g = g + 2 * strength / m * back(dr, dc, dv, forward(dr, dc, dv, m, u[:-1]))
+            g = g + pull * back(dr, dc, dv, forward(dr, dc, dv, m, u[:-1]))
         u = np.append(g, f.sum())
         top = float(np.linalg.norm(u))
         u /= top
@@ -196,31 +214,38 @@ def fit(examples: Iterable[tuple[str, int, float]], strength: float = COUNTERFAC
     for _ in range(STEPS):  # accelerated proximal gradient
         g, gb = gradient(z, zb)
         new = z - step * g
-        new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0)
+        new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0) / (1 + step * l2)
         nb = zb - step * gb
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         z, zb = new + (t - 1) / nt * (new - w), nb + (t - 1) / nt * (nb - b)
         w, b, t = new, nb, nt
-    return Model(b, {f: float(x) for f, x in zip(names, w, strict=True) if x})
+    return Model(float(b), {int(f): float(x) for f, x in zip(names, w, strict=True) if x})
 
 
 def trained(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
-    """A model of ``labels.toxic``; texts of the bounded sample pass through the driver one by one."""
+    """A model of ``labels.toxic``; the driver gets the sample's feature hashes and counted changes, no text."""
     sample = labelled_sample(documents, labels, "toxic", bound)
 
-    def reduce(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each text as its sentences that mention a group and then its different words: all that ``fit`` reads."""
-        terms = {t for words, _ in IDENTITY.values() for t in words}
+    def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            features, change, times = [], [], []
             for text in batch.column("text").to_pylist():
-                kept = [" ".join(s) for s in sentences(text) if terms.intersection(s)]
-                out.append(". ".join([*dict.fromkeys(kept), " ".join(sorted(set(_WORDS.findall(text.lower())) - terms))]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(out, pa.string()), batch.column("y"), batch.column("weight")], names=["doc", "text", "y", "weight"])
-
-    rows = sample.mapInArrow(reduce, "doc long, text string, y int, weight double").collect()
-    rows.sort(key=lambda r: (r["doc"], r["text"]))
-    return fit((r["text"], r["y"], r["weight"]) for r in rows)
+                features.append(np.array(sorted(all_features(set(_WORDS.findall(text.lower())))), "<u4").tobytes())
+                found = changes(text)
+                change.append([list(c) for c in found])
+                times.append(list(found.values()))
+            columns = [pa.array(features, pa.binary()), pa.array(change, pa.list_(pa.list_(pa.int64()))), pa.array(times, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc", "y", "weight")), *columns], names=["doc", "y", "weight", "features", "changes", "times"])
+
+    rows = sample.mapInArrow(describe, "doc long, y int, weight double, features binary, changes array<array<long>>, times array<long>")
+    found, y, weight, pairs = [], [], [], Counter()
+    for r in sorted(rows.toLocalIterator(), key=lambda r: (r["doc"], bytes(r["features"]))):
+        found.append(np.frombuffer(r["features"], "<u4"))
+        y.append(r["y"])
+        weight.append(r["weight"])
+        for c, t in zip(r["changes"], r["times"], strict=True):
+            pairs[tuple(c)] += t
+    return fit_described(found, np.array(y, int), np.array(weight, float), pairs)
 
 
 def scored(documents: DataFrame, model: Model, carried: list[str] | None = None, text_col: str = "text") -> DataFrame:
@@ -236,7 +261,7 @@ def scored(documents: DataFrame, model: Model, carried: list[str] | None = None,
         for batch in batches:
             text, out = batch.column(batch.num_columns - 1), []
             for k in range(batch.num_rows):
-                found: set[str] = set()
+                found: set[int] = set()
                 for piece in set(text[k].as_py().split()):
                     if here := known[piece]:
                         found.update(here)

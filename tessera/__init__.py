@@ -18,8 +18,6 @@ Sub-packages:
 ``plans``      end-to-end reports: balances, county statistics, suspicious
                transactions; TF-IDF and document similarity; ALS rank
                selection and top-N recommendation.
-``streaming``  the balance and lost-card reports over a file stream (same
-               plans, run incrementally).
 """
 
-__all__ = ["sources", "functions", "operators", "plans", "streaming"]
+__all__ = ["sources", "functions", "operators", "plans"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.stopwords import reference_stop_words
@@ -57,14 +57,18 @@ def stop_word_set(stop_words: Iterable[str] | None = None) -> list[str]:
     return sorted({w.lower() for w in words})
 
 
-def exploded_terms(df, text_col, stop_words: Iterable[str] | None = None, keep=()):
+def exploded_terms(df, text_col, stop_words: Iterable[str] | DataFrame | None = None, keep=()):
     """F1 -> F3 -> explode -> F4: one row per kept token.
 
     Same tokens as ``explode(clean_tokens(...))``, but the stop-word test is
     a plain ``NOT IN`` set predicate on the exploded column, which whole-stage
     code generation compiles; inside a lambda it would be interpreted per
     element.  Tokens are already lower case (the text is lowered before the
-    split), so the case-insensitive test needs no second ``lower``.
+    split), so the case-insensitive test needs no second ``lower``.  A stop
+    list given as a DataFrame (column ``word``) is an anti join, whatever its
+    length.
     """
     terms = df.select(*keep, F.explode(tokenize(strip_double_quotes(text_col))).alias("term"))
+    if isinstance(stop_words, DataFrame):
+        return terms.join(stop_words.select(F.lower("word").alias("term")).distinct(), "term", "left_anti")
     return terms.where(~F.col("term").isin(stop_word_set(stop_words)))

@@ -42,9 +42,9 @@ def timeuuid_ticks(uuid_col) -> Column:
 
 def timeuuid_micros(uuid_col) -> Column:
     """Microseconds since 1970-01-01 UTC of a version-1 UUID string."""
-    # exact floor division: a double would round ticks beyond 2**53
-    since_epoch = (timeuuid_ticks(uuid_col) - F.lit(GREGORIAN_OFFSET_TICKS)).cast("decimal(20,0)")
-    return F.floor(since_epoch / F.lit(10)).cast("bigint")
+    # exact floor division in integers (a double would round beyond 2**53), also before 1970
+    since_epoch = timeuuid_ticks(uuid_col) - F.lit(GREGORIAN_OFFSET_TICKS)
+    return F.call_function("div", since_epoch - F.pmod(since_epoch, F.lit(10)), F.lit(10))
 
 
 def timeuuid_timestamp(uuid_col) -> Column:
@@ -57,10 +57,6 @@ def ntz_micros(ts_col) -> Column:
     return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(ts_col))
 
 
-def ticks_from_micros(micros_col) -> Column:
-    return _c(micros_col) * F.lit(10) + F.lit(GREGORIAN_OFFSET_TICKS)
-
-
 def make_timeuuid(ticks_col, clock_node: str = DEFAULT_CLOCK_NODE) -> Column:
     """canonical version-1 UUID string for the given 100-ns tick count.
 

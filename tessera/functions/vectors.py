@@ -167,29 +167,24 @@ def long_dot(
     left: DataFrame,
     right: DataFrame,
     left_keys: Sequence[str],
-    right_keys: Sequence[str] = (),
     index: str = "index",
     value: str = "value",
     out: str = "dot",
     how: str = "inner",
 ) -> DataFrame:
-    """Dot products of long-form vectors: one row per (left key, right key).
-
-    ``left`` and ``right`` hold one row per non-zero entry:
-    ``(*keys, index, value)``.  With ``how="inner"`` only pairs sharing an
-    index appear; with ``how="left"`` (one right vector, no right keys) every
-    left vector appears, 0.0 when nothing is shared - one join and one
-    aggregate, no separate key list.  The join has no size hint: when one
-    side is small (a query vector) Spark's size check broadcasts it,
-    otherwise it is a shuffle join whose skewed partitions AQE splits.  The
-    sum is partially aggregated before its shuffle.
+    """Dot products of every long-form ``left`` vector with the one vector ``right``.
+
+    ``left`` holds one row per non-zero entry, ``(*keys, index, value)``;
+    ``right`` one row per index.  With ``how="inner"`` only vectors sharing an
+    index appear; with ``how="left"`` every left vector does, 0.0 when nothing
+    is shared - one join and one aggregate, no separate key list.  The join
+    has no size hint: when the right side is small (a query vector) Spark's
+    size check broadcasts it, otherwise it is a shuffle join whose skewed
+    partitions AQE splits.  The sum is partially aggregated before its shuffle.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    if how == "left" and right_keys:
-        raise ValueError("how='left' takes a single right vector (no right keys)")
     lk = [F.col(f"l.{k}").alias(k) for k in left_keys]
-    rk = [F.col(f"r.{k}").alias(k) for k in right_keys]
     joined = left.alias("l").join(right.alias("r"), F.col(f"l.{index}") == F.col(f"r.{index}"), how)
     prod = F.coalesce(F.col(f"l.{value}").cast("double") * F.col(f"r.{value}").cast("double"), F.lit(0.0))
-    return joined.select(*lk, *rk, prod.alias("_p")).groupBy(*left_keys, *right_keys).agg(F.sum("_p").alias(out))
+    return joined.select(*lk, prod.alias("_p")).groupBy(*left_keys).agg(F.sum("_p").alias(out))

@@ -1,13 +1,11 @@
 """Reusable relational operators built from DataFrame primitives."""
 
-from tessera.operators.layout import spread_if_underpartitioned
-from tessera.operators.keyed import dedupe_by_key, top_k, top_k_per_group
+from tessera.operators.keyed import dedupe_by_key, top_k_per_group
 from tessera.operators.metrics import best_candidate, join_actual_predicted, rmse
 from tessera.operators.positional import cycled_zip, global_row_number
 
 __all__ = [
-    "dedupe_by_key", "top_k", "top_k_per_group",
+    "dedupe_by_key", "top_k_per_group",
     "best_candidate", "join_actual_predicted", "rmse",
     "cycled_zip", "global_row_number",
-    "spread_if_underpartitioned",
 ]

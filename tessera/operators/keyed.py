@@ -41,8 +41,3 @@ def top_k_per_group(
     if rank_col:
         return ranked.withColumnRenamed("_rn", rank_col)
     return ranked.drop("_rn")
-
-
-def top_k(df: DataFrame, order_by: Sequence, k: int) -> DataFrame:
-    """Global top-k (``TakeOrderedAndProject``): each task keeps its best k."""
-    return df.orderBy(*_cols(order_by)).limit(k)

@@ -62,17 +62,18 @@ def cycled_zip(
     left_pos: str,
     right: DataFrame,
     right_pos: str,
-    repeats: int = 10,
+    repeats: int | None,
 ) -> DataFrame:
-    """Zip ``left`` with ``right`` repeated ``repeats`` times, by position.
+    """Zip ``left`` with ``right`` repeated ``repeats`` times (None: without end), by position.
 
     Both positions are 1-based.  Left row ``p`` pairs with right row
     ``((p - 1) mod c) + 1`` where ``c`` is the number of right rows, and the
-    zip stops at the shorter list: only ``p <= repeats * c`` survive.  ``c`` is
-    a scalar subquery, evaluated once; the pairing is an equi-join, so each
-    right row meets at most ``repeats`` left rows (no hot key).
+    zip stops at the shorter list: only ``p <= repeats * c`` survive, which the
+    caller has to ask for.  ``c`` is a scalar subquery, evaluated once; the
+    pairing is an equi-join that spreads the left rows evenly over the right.
     """
     c = right.select(F.count(F.lit(1))).scalar()
     lp = F.col(left_pos)
-    keyed = left.where(lp <= F.lit(repeats) * c).withColumn("_slot", F.pmod(lp - 1, c) + 1)
+    kept = left if repeats is None else left.where(lp <= F.lit(repeats) * c)
+    keyed = kept.withColumn("_slot", F.when(c > 0, F.pmod(lp - 1, F.nullif(c, F.lit(0))) + 1))
     return keyed.join(right, keyed["_slot"] == right[right_pos]).drop("_slot")

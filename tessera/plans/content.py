@@ -24,21 +24,18 @@ merge as in a hashed term-frequency vector.  The idf table then has at most
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.stopwords import reference_stop_words
-from tessera.functions.text import exploded_terms, strip_double_quotes
-from tessera.operators.layout import spread_if_underpartitioned
+from tessera.functions.text import exploded_terms
 
 # --- fixed values -------------------------------------------------------------
 MIN_DOC_FREQ = 2
 NUM_FEATURES = 1 << 20  # MLlib HashingTF default size
 # similarities equal to this many decimals are ties (summation-order noise)
 TIE_DECIMALS = 12
-# up to this many top documents, their ids are pushed into the document scan
-TOP_K_COLLECT_LIMIT = 10_000
 # -------------------------------------------------------------------------------
 
 
@@ -48,27 +45,30 @@ def document_terms(
     text_col: str = "description",
     stop_words=None,
     num_features: int | None = None,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Term counts per document, ``(id, term, tf)``.
 
     With ``num_features`` the term is its hash bucket (an int) instead.  A
     document is one row, so the map-side partial count is already final and
     only distinct (document, term) pairs cross the shuffle.  Rows without an
-    id cannot be matched to anything and are skipped.  An input split into
-    fewer partitions than task slots is first spread by document id
-    (tokenizing is the CPU-heavy step); hashed on the id, the per-document
-    counts then need no shuffle of their own.
+    id cannot be matched to anything and are skipped.  The scan's splits give
+    the tasks; an input in few splits (one unsplittable file) can be spread by
+    document id over ``num_partitions``.  ``stop_words`` may be a DataFrame
+    with a column ``word`` of any length.
     """
-    docs = spread_if_underpartitioned(docs.where(F.col(id_col).isNotNull()), by=[id_col])
+    docs = docs.where(F.col(id_col).isNotNull())
+    if num_partitions:
+        docs = docs.repartition(num_partitions, id_col)
     tokens = exploded_terms(docs, text_col, stop_words, keep=[F.col(id_col).alias("id")])
     if num_features:
         tokens = tokens.select("id", F.pmod(F.hash("term"), F.lit(num_features)).alias("term"))
     return tokens.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def document_count(docs: DataFrame) -> Column:
-    """N for the IDF, as a scalar subquery (evaluated once, no join)."""
-    return docs.select(F.count(F.lit(1))).scalar()
+def document_count(docs: DataFrame, id_col: str = "id") -> Column:
+    """N for the IDF, as a scalar subquery (evaluated once, no join): the documents with an id, as in the terms."""
+    return docs.select(F.count(F.col(id_col))).scalar()
 
 
 def inverse_document_frequency(terms: DataFrame, n_docs, min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
@@ -105,9 +105,11 @@ def tfidf_terms(
         raise ValueError("method must be 'exact' or 'hashed'")
     buckets = num_features if method == "hashed" else None
     terms = document_terms(docs, id_col, text_col, stop_words, buckets)
-    idf = inverse_document_frequency(terms, document_count(docs), min_doc_freq)
+    idf = inverse_document_frequency(terms, document_count(docs, id_col), min_doc_freq)
     if nonzero:
         idf = idf.where(F.col("idf") != 0)
+    if buckets:
+        idf = F.broadcast(idf)  # at most num_features rows, a parameter: some tens of MB for the default
     return terms.join(idf, "term").withColumn("weight", F.col("tf") * F.col("idf"))
 
 
@@ -161,11 +163,9 @@ def similar_documents(
     columns.  With ``k`` only the ``k`` most similar are kept (values equal
     to ``TIE_DECIMALS`` places are ties, broken by id, so the given document
     precedes its duplicates whatever the rounding noise): the top-k runs on
-    ``(id, similarity)``, and for ``k <= TOP_K_COLLECT_LIMIT`` the k ids are
-    pushed into the document scan as an ``IN`` filter (this runs the
-    similarity job when called); the text is never shuffled.  ``k=None``
-    returns every row, unsorted.  The given document has similarity 1
-    (exact duplicates of it too).
+    ``(id, similarity)`` and joins the documents afterwards, so it decides
+    before any text moves.  ``k=None`` returns every row, unsorted.  The given
+    document has similarity 1 (exact duplicates of it too).
     """
     weights = tfidf_terms(docs, id_col, text_col, stop_words, method, num_features=num_features, nonzero=True)
     scores = similarity_scores(weights, given_id)
@@ -175,19 +175,10 @@ def similar_documents(
         return named.join(scores, "id", "left").select("id", sim, *[c for c in named.columns if c != "id"])
     order = [F.round("similarity", TIE_DECIMALS).desc(), F.col("id").asc()]
     best = named.select("id").join(scores, "id", "left").select("id", sim).orderBy(*order).limit(k)
-    if k > TOP_K_COLLECT_LIMIT:
-        return best.join(named, "id").orderBy(*order)
-    # k ids (bounded) come to the driver, so the document scan for the output
-    # columns gets a pushed `id IN (...)` filter and Parquet skips row groups,
-    # instead of reading the whole corpus again for k rows
-    top = best.collect()
-    spark = docs.sparkSession
-    chosen = spark.createDataFrame(top, "id " + named.schema["id"].dataType.simpleString() + ", similarity double")
-    wanted = named.where(F.col("id").isin([r.id for r in top])) if top else named.limit(0)
-    return chosen.join(wanted, "id").orderBy(*order)
+    return best.join(named, "id").orderBy(*order)
 
 
-# --- pyspark.ml forms (M7, M10) ----------------------------------------------------
+# --- pyspark.ml form (M10) ----------------------------------------------------
 
 def preprocessing_pipeline(input_col: str = "description", stop_words=None) -> Pipeline:
     """Tokenizer + case-insensitive StopWordsRemover as one ML Pipeline."""
@@ -198,25 +189,3 @@ def preprocessing_pipeline(input_col: str = "description", stop_words=None) -> P
             StopWordsRemover(inputCol="rawDesc", outputCol="tokens", stopWords=words, caseSensitive=False),
         ]
     )
-
-
-def tfidf_vectors(docs: DataFrame, text_col: str = "description", stop_words=None, num_features: int = NUM_FEATURES):
-    """M7 as ML vectors: quotes removed, tokenized, hashed TF, IDF(minDocFreq=2), L2-normalised.
-
-    Returns ``(model, transformed)``; ``features`` holds the normalised
-    TF-IDF vector.  ML's hashing differs from the bucket function of the
-    long form, so use :func:`tfidf_terms` for the similarity search.
-    """
-    cleaned = spread_if_underpartitioned(docs.withColumn(text_col, strip_double_quotes(text_col)))
-    words = reference_stop_words() if stop_words is None else list(stop_words)
-    pipe = Pipeline(
-        stages=[
-            Tokenizer(inputCol=text_col, outputCol="rawDesc"),
-            StopWordsRemover(inputCol="rawDesc", outputCol="tokens", stopWords=words, caseSensitive=False),
-            HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features),
-            IDF(inputCol="tf", outputCol="tfidf", minDocFreq=MIN_DOC_FREQ),
-            Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
-        ]
-    )
-    model = pipe.fit(cleaned)
-    return model, model.transform(cleaned)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 import uuid
 
@@ -81,27 +80,9 @@ def use_shared_checkpoint_dir(spark: SparkSession) -> bool:
     return False
 
 
-def default_parallelism(spark: SparkSession) -> int | None:
-    """The cluster's task slots, or None where the session does not expose them."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - Spark Connect
-        return None
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
-    """The session's shuffle partition count (default parallelism if it is not a number)."""
+    """The session's shuffle partition count (Spark's default of 200 if it is not a number)."""
     try:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except (TypeError, ValueError):
-        return default_parallelism(spark) or 200
-
-
-def stable_path(spark: SparkSession, name: str, *keys: str) -> str:
-    """A path under the shared folder that is the same for the same ``keys``.
-
-    Used for streaming checkpoints: a restarted query must find its own
-    checkpoint, and two queries over different inputs must not share one.
-    """
-    digest = hashlib.sha256("\0".join(keys).encode()).hexdigest()[:16]
-    return f"{shared_dir(spark)}/{name}-{digest}"
+        return 200

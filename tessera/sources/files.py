@@ -11,20 +11,21 @@ MOVIES_SCHEMA = "movieId int, title string, genre string"
 LOST_CARDS_SCHEMA = "card string, status string, reported_at string"
 
 
-def read_ratings(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
+def read_ratings(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
     """``user,item,rating,timestamp`` lines -> (user_id int, item int, rating double).
 
-    Exactly four comma-separated fields per line, otherwise the read raises
-    (the reference's pattern match fails).  The CSV reader cannot enforce
-    this once the timestamp column is pruned, so the line is split here.
-    With ``header=True`` the first line of each file is skipped.
+    Exactly four non-empty comma-separated fields per line, otherwise the read
+    raises (the reference's pattern match fails).  The CSV reader cannot
+    enforce this once the timestamp column is pruned, so the line is split
+    here.  ``header`` is the header line's text where files have one; lines
+    equal to it are skipped.
     """
     lines = spark.read.text(path)
-    if header:
-        lines = lines.where(F.col("value") != lines.select(F.first("value")).scalar())
+    if header is not None:
+        lines = lines.where(F.trim("value") != header.strip())
     fields = F.split(F.col("value"), ",")
     checked = F.when(
-        F.size(fields) != 4,
+        (F.size(fields) != 4) | F.exists(fields, lambda f: F.trim(f) == ""),
         F.raise_error(F.concat(F.lit("ratings line needs 4 fields: "), F.col("value"))),
     ).otherwise(fields)
     return lines.select(checked.alias("_f")).select(
@@ -34,13 +35,26 @@ def read_ratings(spark: SparkSession, path: str, header: bool = False) -> DataFr
     )
 
 
-def read_movies(spark: SparkSession, path: str) -> DataFrame:
-    """``movieId,title,genre`` without header.
+def _strict_csv(spark: SparkSession, path: str, schema: str, drop_malformed: bool, **options) -> DataFrame:
+    """CSV whose bad lines (a value of another type, fields missing or left over) raise, or are dropped on request.
+
+    Column pruning is off: the parser would not look at fields nobody reads.
+    """
+    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED" if drop_malformed else "FAILFAST").option("columnPruning", False)
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    return reader.csv(path)
+
+
+def read_movies(spark: SparkSession, path: str, drop_malformed: bool = False) -> DataFrame:
+    """``movieId,title,genre`` without header; a bad line (also one without an id) raises unless ``drop_malformed``.
 
     The CSV reader keeps a quoted title that contains a comma in one field;
     the reference's naive split cut it in two (quirk Q5).
     """
-    return spark.read.schema(MOVIES_SCHEMA).csv(path)
+    films = _strict_csv(spark, path, MOVIES_SCHEMA, drop_malformed)
+    has_id = F.col("movieId").isNotNull()  # also makes the reader look at the id when nobody selects it
+    return films.where(has_id if drop_malformed else has_id | F.raise_error(F.lit("film line without an id")).cast("boolean"))
 
 
 def read_documents(spark: SparkSession, path: str, schema: str | None = None, **options) -> DataFrame:
@@ -53,28 +67,16 @@ def read_documents(spark: SparkSession, path: str, schema: str | None = None, **
     return reader.option("inferSchema", True).csv(path)
 
 
-def read_lost_cards(spark: SparkSession, path: str) -> DataFrame:
-    """``card,status,reported_at`` with a header; every field a string."""
-    return spark.read.option("header", True).schema(LOST_CARDS_SCHEMA).csv(path)
+def read_lost_cards(spark: SparkSession, path: str, drop_malformed: bool = False) -> DataFrame:
+    """``card,status,reported_at`` with a header, every field a string; a bad line raises unless ``drop_malformed``."""
+    return _strict_csv(spark, path, LOST_CARDS_SCHEMA, drop_malformed, header=True)
 
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
-    """One word per line as ``word``; lines are kept whole (quirk Q8)."""
+    """One word per line as ``word``; lines are kept whole (quirk Q8).  Stays a DataFrame: see ``exploded_terms``."""
     return spark.read.text(path).select(F.col("value").alias("word"))
 
 
-def word_list_values(words: DataFrame, max_words: int = 100_000) -> list[str]:
-    """Bring a word list to the driver, refusing one that is not small.
-
-    The stop list becomes a literal of the plan (an ``InSet``), so its size
-    is checked before it is collected.
-    """
-    n = words.count()
-    if n > max_words:
-        raise ValueError(f"word list has {n} entries, more than max_words={max_words}")
-    return [r[0] for r in words.collect()]
-
-
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Scan a stored table; Catalyst prunes to the named columns."""
     df = spark.read.parquet(path)

@@ -58,11 +58,6 @@ def seeded_choice(seed: int, field: str, i: Column, values: list[str]) -> Column
     return F.element_at(F.array(*[F.lit(v) for v in values]), (seeded_value(seed, field, i, len(values)) + 1).cast("int"))
 
 
-def local_to_df(spark: SparkSession, rows, schema) -> DataFrame:
-    """A small driver-side literal (e.g. one user's ratings) as a DataFrame."""
-    return spark.createDataFrame(rows, schema)
-
-
 def _draws(spark_or_draws, n: int | None) -> DataFrame:
     if isinstance(spark_or_draws, DataFrame):
         return spark_or_draws.select(F.col("i").cast("bigint").alias("i"))
@@ -123,27 +118,15 @@ def draw_transactions(spark_or_draws, n: int | None = None, seed: int = 42, as_o
     )
 
 
-def _draw_positions(drawn: DataFrame) -> DataFrame:
-    """1-based position of each draw in draw order, as ``_p``.
-
-    Draw numbers that are exactly ``0..n-1`` (always so for ``spark.range``)
-    already are the positions; one aggregate checks that, and anything else
-    is numbered with :func:`global_row_number`.
-    """
-    lo, hi, n, distinct = drawn.agg(
-        F.min("i"), F.max("i"), F.count("i"), F.count_distinct("i")
-    ).first()
-    if n and n == distinct and lo == 0 and hi == n - 1:
-        return drawn.withColumn("_p", F.col("i") + 1)
-    return global_row_number(drawn, "i", "_p")
-
-
-def attach_customers(drawn_tx: DataFrame, customers: DataFrame, repeats: int = CUSTOMER_REPEATS) -> DataFrame:
+def attach_customers(drawn_tx: DataFrame, customers: DataFrame, repeats: int | None, dense: bool = False) -> DataFrame:
     """Transaction ``p`` (in draw order) gets customer ``(p-1) mod c`` (in id order).
 
-    Stops at ``min(n, repeats * c)`` rows like the programme's zip.
+    With ``repeats`` it stops at ``min(n, repeats * c)`` rows, as the
+    programme's zip of the list repeated ``CUSTOMER_REPEATS`` times did; None
+    keeps every draw.  ``dense=True`` is the caller's word that the draw
+    numbers are exactly ``0..n-1`` and saves numbering them.
     """
-    tx = _draw_positions(drawn_tx)
+    tx = drawn_tx.withColumn("_p", F.col("i") + 1) if dense else global_row_number(drawn_tx, "i", "_p")
     cust = global_row_number(customers.select(F.col("id").alias("_cid")), "_cid", "_cp")
     zipped = cycled_zip(tx, "_p", cust, "_cp", repeats)
     return zipped.select(
@@ -153,11 +136,12 @@ def attach_customers(drawn_tx: DataFrame, customers: DataFrame, repeats: int = C
 
 
 def gen_transactions(
-    spark_or_draws, customers: DataFrame, n: int | None = None, seed: int = 42, as_of="2017-11-01",
-    repeats: int = CUSTOMER_REPEATS,
+    spark_or_draws, customers: DataFrame, n: int | None = None, seed: int = 42, as_of="2017-11-01", *,
+    repeats: int | None,
 ) -> DataFrame:
-    """Generated transactions with customers attached by the cycled zip."""
-    return attach_customers(draw_transactions(spark_or_draws, n, seed, as_of), customers, repeats)
+    """Generated transactions with customers attached by the cycled zip (``repeats``: see there)."""
+    dense = not isinstance(spark_or_draws, DataFrame)  # spark.range counts from 0
+    return attach_customers(draw_transactions(spark_or_draws, n, seed, as_of), customers, repeats, dense)
 
 
 def plant_suspicious(customers: DataFrame, lost: DataFrame, as_of="2017-11-15") -> DataFrame:

@@ -5,9 +5,11 @@ The reference kept each user's top list in a sorted set under the key
 flushing the *whole* store before each write.  Here the store is an
 append-only Parquet table:
 
-* rows ``(bucket, user_id, key, score, member, batch)``, directory-partitioned
-  by ``bucket = pmod(xxhash64(user_id), num_buckets)`` - bounded directory
-  count however many users there are;
+* rows ``(buckets, bucket, user_id, key, score, member, batch)``,
+  directory-partitioned by ``buckets``, the writer's bucket count, and ``bucket
+  = pmod(xxhash64(user_id), buckets)`` - bounded directory count however many
+  users there are.  The count is stored with the data, so a reader needs no
+  setting and writes with different counts may share a store;
 * ``scope="user"`` appends a new ``batch``; a read takes each user's latest
   batch, so writing one user's list replaces only that user's list;
 * ``scope="all"`` overwrites everything (the reference's flush).
@@ -16,6 +18,7 @@ append-only Parquet table:
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,12 +29,13 @@ from tessera.session import shuffle_partitions
 # --- fixed values -------------------------------------------------------------
 KEY_PREFIX = "cfr:movie:"
 MEMBER_SCHEMA = "movieId int, title string, rating double"
+STORE_SCHEMA = "user_id int, key string, score double, member string, batch bigint, buckets int, bucket int"
 # -------------------------------------------------------------------------------
 DEFAULT_BUCKETS = 64
 
 
-def _bucket(user_col, num_buckets: int):
-    return F.pmod(F.xxhash64(F.col(user_col).cast("int")), F.lit(num_buckets)).cast("int")
+def _bucket(user, buckets):
+    return F.pmod(F.xxhash64(user.cast("int")), buckets).cast("int")
 
 
 def write_ranked(
@@ -51,7 +55,8 @@ def write_ranked(
         raise ValueError("scope must be 'user' or 'all'")
     batch = time.time_ns() if batch is None else batch
     rows = df.select(
-        _bucket(user_col, num_buckets).alias("bucket"),
+        F.lit(num_buckets).alias("buckets"),
+        _bucket(F.col(user_col), F.lit(num_buckets)).alias("bucket"),
         F.col(user_col).cast("int").alias("user_id"),
         F.concat(F.lit(KEY_PREFIX), F.col(user_col).cast("string")).alias("key"),
         F.col("rating").cast("double").alias("score"),
@@ -77,7 +82,7 @@ def write_ranked(
         .drop("_slice")
     )
     mode = "overwrite" if scope == "all" else "append"
-    rows.write.mode(mode).partitionBy("bucket").parquet(path)
+    rows.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("buckets", "bucket").parquet(path)
     return path
 
 
@@ -87,24 +92,22 @@ def read_ranked(
     users,
     k: int = 10,
     user_col: str = "user_id",
-    num_buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """Each requested user's ``k`` best films, highest score first.
+    """Each requested user's ``k`` best films, highest score first, with their rank.
 
     ``users`` is an id, a list of ids, or a DataFrame with a ``user_id``
     column.  Ties are ordered by member text, descending, as a sorted set's
     reverse range does.  Unknown users give no rows.
     """
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(STORE_SCHEMA).parquet(path)
     if isinstance(users, DataFrame):
         wanted = users.select(F.col(user_col).cast("int").alias("user_id")).distinct()
-        wanted = wanted.withColumn("bucket", _bucket("user_id", num_buckets))
-        stored = stored.join(wanted, ["bucket", "user_id"], "left_semi")
+        stored = stored.join(wanted, "user_id", "left_semi")
     else:
         ids = [int(users)] if isinstance(users, int) else [int(u) for u in users]
-        # literal-only bucket expressions fold to constants: partition pruning
-        buckets = [_bucket_lit(u, num_buckets) for u in ids]
-        stored = stored.where(F.col("bucket").isin(buckets) & F.col("user_id").isin(ids))
+        # a bucket predicate over the directory columns alone: partition pruning
+        places = [F.col("bucket") == _bucket(F.lit(u), F.col("buckets")) for u in ids]
+        stored = stored.where(F.col("user_id").isin(ids) & reduce(lambda a, b: a | b, places, F.lit(False)))
     current = _latest_lists(stored)
     parsed = current.select("user_id", "score", "member", F.from_json("member", MEMBER_SCHEMA).alias("m"))
     top = top_k_per_group(parsed, "user_id", [F.col("score").desc(), F.col("member").desc()], k)
@@ -122,10 +125,6 @@ def _latest_lists(stored: DataFrame) -> DataFrame:
     return stored.join(latest, ["user_id", "batch"], "left_semi")
 
 
-def _bucket_lit(user: int, num_buckets: int):
-    return F.pmod(F.xxhash64(F.lit(user).cast("int")), F.lit(num_buckets)).cast("int")
-
-
 def compact_ranked(spark: SparkSession, path: str, out_path: str, num_buckets: int = DEFAULT_BUCKETS,
                    batch: int | None = None) -> str:
     """Rewrite the store at ``path`` into ``out_path`` keeping only each user's latest list.
@@ -134,7 +133,7 @@ def compact_ranked(spark: SparkSession, path: str, out_path: str, num_buckets: i
     read has to skip.  Readers switch to ``out_path`` afterwards (a path the
     plan reads cannot be overwritten by the same plan).
     """
-    current = _latest_lists(spark.read.parquet(path))
+    current = _latest_lists(spark.read.schema(STORE_SCHEMA).parquet(path))
     films = current.select(
         "user_id", F.from_json("member", MEMBER_SCHEMA).alias("m")
     ).select("user_id", "m.movieId", "m.title", "m.rating")

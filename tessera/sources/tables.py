@@ -17,10 +17,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.timeuuid import timeuuid_micros
+from tessera.functions.timeuuid import timeuuid_micros, timeuuid_ticks
 from tessera.operators.keyed import dedupe_by_key
 
 
+# files that a write makes in one directory, at most
+FILES_PER_DIRECTORY = 8
+
+
 @dataclass(frozen=True)
 class TableSpec:
     name: str
@@ -28,6 +32,8 @@ class TableSpec:
     partition_key: tuple[str, ...]
     clustering_key: tuple[str, ...] = ()
     storage_partitions: tuple[str, ...] = ()  # directory partitioning on disk
+    # which of the rows with one key stays: the first in this order (default: the other columns, ascending)
+    order: Callable[[], list[Column]] | None = field(default=None, compare=False)
     # columns computed from the others when the input lacks them
     derived: dict[str, Callable[[], Column]] = field(default_factory=dict, compare=False)
 
@@ -39,6 +45,12 @@ class TableSpec:
     def column_names(self) -> list[str]:
         return [c for c, _ in self.columns]
 
+    @property
+    def key_order(self) -> list[Column]:
+        if self.order:
+            return self.order()
+        return [F.col(c).asc_nulls_last() for c in self.column_names if c not in self.primary_key]
+
     @property
     def ddl(self) -> str:
         return ", ".join(f"{c} {t}" for c, t in self.columns)
@@ -95,27 +107,31 @@ SUSPICIOUS = TableSpec(
     (("customerid", "string"), ("card", "string"), ("id", "string"), ("amount", "int"),
      ("reported_at", "string")),
     partition_key=("customerid",),
+    # the latest transaction, and of its reports the first
+    order=lambda: [timeuuid_ticks("id").desc_nulls_last(), F.col("id").desc_nulls_last(), F.col("card"), F.col("amount"), F.col("reported_at")],
 )
 # -----------------------------------------------------------------------------
 
 
-def replace_table(df: DataFrame, spec: TableSpec, path: str, order_by=None, files_per_directory: int | None = None) -> str:
+def replace_table(df: DataFrame, spec: TableSpec, path: str, order_by=None, unique: bool = False,
+                  files_per_directory: int | None = FILES_PER_DIRECTORY) -> str:
     """S8 (+S9, S10): replace the whole table at ``path`` with ``df``.
 
-    With ``order_by``, rows sharing a primary key collapse to the first under
-    that order - the store's "last write wins", made deterministic.  Without
-    it the caller asserts the key is already unique.  Writing to a path the
-    same plan reads fails in Spark; stage through another path first.
-
-    A directory-partitioned write needs no shuffle, but each task writes one
-    file per directory it touches.  For input not clustered by those columns,
-    ``files_per_directory=k`` hashes rows on the directory columns plus a salt
-    from the primary key first: each directory gets at most ``k`` files, and a
-    directory holding a third of the rows is still written by ``k`` tasks.
+    Rows sharing a primary key collapse to the first under ``order_by``
+    (default: the table's declared order) - the store's "last write wins",
+    made deterministic.  ``unique=True`` is the caller's word that no key
+    repeats and saves that shuffle.  Writing to a path the same plan reads
+    fails in Spark; stage through another path first.
+
+    In a directory-partitioned write each task writes one file per directory
+    it touches.  So rows are first hashed on the directory columns plus a salt
+    from the primary key: each directory gets at most ``files_per_directory``
+    files, and one holding a third of the rows is still written by that many
+    tasks.  ``None`` writes the input as it is clustered.
     """
     rows = spec.conform(df)
-    if order_by is not None:
-        rows = dedupe_by_key(rows, list(spec.primary_key), order_by)
+    if not unique:
+        rows = dedupe_by_key(rows, list(spec.primary_key), spec.key_order if order_by is None else order_by)
     if files_per_directory and spec.storage_partitions:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in spec.primary_key]), F.lit(files_per_directory))
         rows = rows.repartition(*[F.col(c) for c in spec.storage_partitions], salt)
@@ -129,9 +145,10 @@ def replace_table(df: DataFrame, spec: TableSpec, path: str, order_by=None, file
 def truncate_table(spark: SparkSession, spec: TableSpec, path: str) -> str:
     """Delete every row, keeping the declared schema."""
     empty = spark.createDataFrame([], spec.ddl)
-    return replace_table(empty, spec, path)
+    return replace_table(empty, spec, path, unique=True, files_per_directory=None)
 
 
 def read_keyed(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """Read a table written by :func:`replace_table`, columns in declared order."""
-    return spec.conform(spark.read.parquet(path))
+    # with the declared schema nothing is inferred, so a table without rows (and without files) reads too
+    return spec.conform(spark.read.schema(spec.ddl).parquet(path))

@@ -87,9 +87,30 @@ def test_norms_cover_every_document(spark):
     assert norms.where(F.col("norm") < 0).count() == 0
 
 
-def test_tfidf_vectors_pipeline_runs(spark):
-    model, out = content.tfidf_vectors(_docs(spark, "/root/testdata/sf0.001"))
-    row = out.select("features").first()
-    assert row.features.size == content.NUM_FEATURES
-    n = math.sqrt(sum(v * v for v in row.features.values))
-    assert n == 0 or math.isclose(n, 1.0, rel_tol=1e-9)
+def test_stop_words_as_a_table_of_any_length(spark):
+    docs = _docs(spark, "/root/testdata/sf0.001")
+    words = spark.createDataFrame([(w.upper(),) for w in stopwords.reference_stop_words()] + [(None,), (None,)], "word string")
+    a = content.document_terms(docs, stop_words=words)
+    b = content.document_terms(docs)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_documents_without_an_id_are_not_counted(spark):
+    df = spark.createDataFrame([(1, "apple pear"), (2, "apple plum"), (3, "kiwi"), (None, "apple")], "id long, description string")
+    idf = content.inverse_document_frequency(content.document_terms(df), content.document_count(df))
+    assert math.isclose({r.term: r.idf for r in idf.collect()}["apple"], math.log(4 / 3))
+
+
+def test_explicit_spread_gives_the_same_terms(spark):
+    docs = _docs(spark, "/root/testdata/sf0.001")
+    a, b = content.document_terms(docs, num_partitions=3), content.document_terms(docs)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_top_k_runs_no_job_until_asked(spark):
+    docs = _docs(spark, "/root/testdata/sf0.001")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-top-k", "")
+    content.similar_documents(docs, 1, k=5)
+    assert list(tracker.getJobIdsForGroup("lazy-top-k")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

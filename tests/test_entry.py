@@ -17,7 +17,7 @@ from tessera.sources.fixtures import TABLES
 
 from conftest import SF001
 
-ROWS_ONLY = {"als_rank_selection", "als_top_n", "similar_documents_hashed"}
+ROWS_ONLY = {"als_rank_selection", "als_top_n"}
 
 
 def _norm(v):

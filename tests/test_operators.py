@@ -62,7 +62,7 @@ def test_generated_customers_first_draw_wins(spark):
 
 def test_generated_transactions_ranges(spark):
     cust = generate.gen_customers(spark, n=100, seed=9)
-    tx = generate.gen_transactions(spark, cust, n=2000, seed=9)
+    tx = generate.gen_transactions(spark, cust, n=2000, seed=9, repeats=10)
     c = cust.count()
     assert tx.count() == min(2000, 10 * c)
     s = tx.agg(F.min("year"), F.max("year"), F.min("amount"), F.max("amount"), F.min("month"), F.max("month")).first()
@@ -72,7 +72,7 @@ def test_generated_transactions_ranges(spark):
     assert b[0] >= 1000 and b[4] <= 2000 and b[3] >= 4000 and b[7] <= 5000
     share = tx.where("status = 'COMPLETED'").count() / tx.count()
     assert 0.55 < share < 0.70  # 5/8
-    again = generate.gen_transactions(spark, cust, n=2000, seed=9)
+    again = generate.gen_transactions(spark, cust, n=2000, seed=9, repeats=10)
     assert tx.exceptAll(again).count() == 0
 
 
@@ -87,7 +87,7 @@ def test_read_ratings_field_count(spark, tmp_path):
         files.read_ratings(spark, str(bad)).collect()
     with_header = tmp_path / "h.csv"
     with_header.write_text("user,item,rating,ts\n1,10,4.5,999\n")
-    assert files.read_ratings(spark, str(with_header), header=True).count() == 1
+    assert files.read_ratings(spark, str(with_header), header="user,item,rating,ts").count() == 1
 
 
 def test_read_movies_keeps_quoted_comma(spark, tmp_path):
@@ -100,10 +100,40 @@ def test_read_movies_keeps_quoted_comma(spark, tmp_path):
 def test_word_list_lines_kept_whole(spark, tmp_path):
     p = tmp_path / "w.txt"
     p.write_text("a\njeżeli\tjuż\nmm,\n")
-    words = files.word_list_values(files.read_word_list(spark, str(p)))
-    assert words == ["a", "jeżeli\tjuż", "mm,"]
-    with pytest.raises(ValueError):
-        files.word_list_values(files.read_word_list(spark, str(p)), max_words=2)
+    assert [r.word for r in files.read_word_list(spark, str(p)).collect()] == ["a", "jeżeli\tjuż", "mm,"]
+
+
+@pytest.mark.parametrize("line", ["x,Bad,G", "2,Good", "2,Good,G,more", "2"])
+def test_bad_movie_lines_raise_or_are_dropped(spark, tmp_path, line):
+    p = tmp_path / "m.csv"
+    p.write_text(f"1,Heat,Action\n{line}\n")
+    with pytest.raises(Exception):
+        files.read_movies(spark, str(p)).select("title").collect()
+    assert [r.title for r in files.read_movies(spark, str(p), drop_malformed=True).collect()] == ["Heat"]
+
+
+@pytest.mark.parametrize("line", ["c,LOST", "c,LOST,2017-10-12,more"])
+def test_bad_lost_card_lines_raise(spark, tmp_path, line):
+    p = tmp_path / "l.csv"
+    p.write_text(f"card,status,reported_at\nc0,LOST,2017-10-12\n{line}\n")
+    with pytest.raises(Exception):
+        files.read_lost_cards(spark, str(p)).select("card").collect()
+
+
+@pytest.mark.parametrize("line", ["1,1,3", "1,1,3,", "1,,3,0", "1,1,3,0,0", ""])
+def test_bad_rating_lines_raise(spark, tmp_path, line):
+    p = tmp_path / "r.txt"
+    p.write_text(f"1,2,3.0,0\n{line}\n2,2,4.0,0\n")
+    with pytest.raises(Exception, match="needs 4 fields"):
+        files.read_ratings(spark, str(p)).collect()
+
+
+def test_only_header_lines_are_skipped(spark, tmp_path):
+    p = tmp_path / "r.txt"
+    p.write_text("1,1,3,0\n1,1,3,0\n2,1,3,0\n")
+    assert files.read_ratings(spark, str(p), header="user,item,rating,ts").count() == 3
+    p.write_text("user,item,rating,ts\n1,1,3,0\nuser,item,rating,ts\n")
+    assert files.read_ratings(spark, str(p), header="user,item,rating,ts").count() == 1
 
 
 def test_global_row_number_wide_rows_sampled_bounds(spark):
@@ -124,7 +154,7 @@ def test_attach_customers_with_sparse_draw_numbers(spark):
     # draw numbers with gaps take the general numbering path; same pairing rule
     cust = generate.gen_customers(spark, n=30, seed=2)
     drawn = generate.draw_transactions(spark.range(0, 400, 7).select(F.col("id").alias("i")), seed=2)
-    tx = generate.attach_customers(drawn, cust).collect()
+    tx = generate.attach_customers(drawn, cust, repeats=10).collect()
     c = cust.count()
     assert len(tx) == min(drawn.count(), 10 * c)
     ids = sorted(r.id for r in cust.collect())

@@ -188,9 +188,46 @@ def test_compact_ranked_keeps_latest_lists(spark, tmp_path):
     assert before == after
 
 
-def test_few_users_path_equals_join_path(spark, ratings, movies):
-    model = R.fit_als(ratings, 4, seed=2)
-    users = ratings.select("user_id").distinct().orderBy("user_id").limit(3)
-    a = sorted(tuple(r) for r in R.top_n_for_users(model, users, movies, n=10).collect())
-    b = sorted(tuple(r) for r in R.top_n_for_users(model, users, movies, n=10, few_users=True).collect())
-    assert a == b and len(a) > 0
+def test_same_model_on_any_parallelism(spark, ratings):
+    def factors(n):
+        model = R.fit_als(ratings.repartition(n, "user_id").sortWithinPartitions("user_id", "item"), 4, seed=2)
+        return {r.id: r.features for r in model.itemFactors.collect()}
+
+    one, other = factors(1), factors(7)
+    assert max(abs(a - b) for k in one for a, b in zip(one[k], other[k])) < 1e-3
+    assert R.als(4).getNumUserBlocks() == R.USER_BLOCKS and R.als(4, item_blocks=3).getNumItemBlocks() == 3
+
+
+def test_the_callers_cache_survives(spark, ratings):
+    kept = ratings.where("user_id % 3 = 0").cache()
+    R.select_best_rank(kept, ranks=(4,), seed=1)
+    assert kept.is_cached
+    kept.unpersist()
+    other = ratings.where("user_id % 3 = 1")
+    R.select_best_rank(other, ranks=(4,), seed=1)
+    assert not other.is_cached
+
+
+def test_store_keeps_its_bucket_count(spark, tmp_path):
+    path = str(tmp_path / "ranked")
+    lists = spark.createDataFrame([(u, f, "t", float(f)) for u in range(50) for f in range(3)], "user_id int, movieId int, title string, rating double")
+    ranked_store.write_ranked(lists, path, scope="all", batch=1, num_buckets=8)
+    ranked_store.write_ranked(lists.where("user_id < 5"), path, scope="user", batch=2, num_buckets=64)
+    users = lists.select("user_id").distinct()
+    assert ranked_store.read_ranked(spark, path, users).count() == 150
+    assert ranked_store.read_ranked(spark, path, [3, 49]).count() == 6
+    assert ranked_store.read_ranked(spark, path, []).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_flush_leaves_the_new_users_only(spark, tmp_path, mode):
+    path = str(tmp_path / "ranked")
+    lists = spark.createDataFrame([(u, 1, "t", 1.0) for u in range(50)], "user_id int, movieId int, title string, rating double")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        ranked_store.write_ranked(lists, path, scope="all", batch=1)
+        ranked_store.write_ranked(lists.where("user_id = 7"), path, scope="all", batch=2)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert [r.user_id for r in ranked_store.read_ranked(spark, path, lists.select("user_id")).collect()] == [7]

@@ -39,14 +39,21 @@ def test_shared_folder_from_conf_or_context():
     assert session.shared_dir(_Session(ckpt="s3a://b/ckpt")) == "s3a://b/ckpt"
 
 
-def test_stable_and_fresh_paths():
+def test_fresh_paths_differ():
     s = _Session({"spark.checkpoint.dir": "hdfs://nn/ckpt"})
-    a = session.stable_path(s, "balance-stream", "in", "out")
-    assert a == session.stable_path(s, "balance-stream", "in", "out")
-    assert a != session.stable_path(s, "balance-stream", "in", "other")
     assert session.fresh_path(s, "x") != session.fresh_path(s, "x")
 
 
+def test_only_one_machine_sessions_get_a_scratch_folder():
+    s = _Session()
+    s.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_shared_dir(s)
+    s.sparkContext.master = "local[8]"
+    session.ensure_shared_dir(s)
+    assert s.sparkContext.ckpt
+
+
 def test_use_shared_checkpoint_dir_only_from_session():
     s = _Session()
     assert session.use_shared_checkpoint_dir(s) is False and s.sparkContext.ckpt is None
@@ -56,4 +63,4 @@ def test_use_shared_checkpoint_dir_only_from_session():
 
 def test_shuffle_partitions_fallback():
     assert session.shuffle_partitions(_Session({"spark.sql.shuffle.partitions": "64"})) == 64
-    assert session.shuffle_partitions(_Session({"spark.sql.shuffle.partitions": "auto"})) == 8
+    assert session.shuffle_partitions(_Session({"spark.sql.shuffle.partitions": "auto"})) == 200

@@ -31,7 +31,7 @@ def _tx(spark, rows):
 
 def test_planted_known_answer(spark, lost_csv):
     customers = generate.gen_customers(spark, n=100, seed=7)
-    tx = generate.gen_transactions(spark, customers, n=1000, seed=7, as_of="2017-11-01")
+    tx = generate.gen_transactions(spark, customers, n=1000, seed=7, as_of="2017-11-01", repeats=10)
     lost = files.read_lost_cards(spark, lost_csv)
     planted = generate.plant_suspicious(customers, lost, as_of="2017-11-15")
     assert planted.count() == 4
@@ -126,7 +126,7 @@ def test_dirty_customer_ids(spark):
 def test_run_reports_writes_keyed_tables(spark, lost_csv, tmp_path):
     customers = generate.gen_customers(spark, n=50, seed=3)
     lost = files.read_lost_cards(spark, lost_csv)
-    tx = generate.gen_transactions(spark, customers, n=300, seed=3).unionByName(
+    tx = generate.gen_transactions(spark, customers, n=300, seed=3, repeats=10).unionByName(
         generate.plant_suspicious(customers, lost))
     paths = T.run_reports(tx, customers, lost, str(tmp_path / "out"), as_of="2018-01-01")
     susp = tables.read_keyed(spark, tables.SUSPICIOUS, paths["suspicious"])
@@ -198,7 +198,7 @@ def test_stored_transactions_prune_on_event_time(spark, tmp_path):
     from tessera.functions.timeuuid import as_micros
 
     customers = generate.gen_customers(spark, n=60, seed=8)
-    tx = generate.gen_transactions(spark, customers, n=500, seed=8, as_of="2017-11-01")
+    tx = generate.gen_transactions(spark, customers, n=500, seed=8, as_of="2017-11-01", repeats=10)
     # event_us is derived from the id while writing
     path = tables.replace_table(tx, tables.TRANSACTIONS, str(tmp_path / "tx"))
     stored = tables.read_keyed(spark, tables.TRANSACTIONS, path)
@@ -230,9 +230,24 @@ def test_replace_table_bounds_files_per_directory(spark, tmp_path):
     import glob
 
     customers = generate.gen_customers(spark, n=60, seed=8)
-    tx = generate.gen_transactions(spark, customers, n=600, seed=8).repartition(16)
+    tx = generate.gen_transactions(spark, customers, n=600, seed=8, repeats=10).repartition(16)
     path = tables.replace_table(tx, tables.TRANSACTIONS, str(tmp_path / "tx"), files_per_directory=2)
     dirs = glob.glob(f"{path}/year=*/month=*")
     assert dirs and all(len(glob.glob(f"{d}/*.parquet")) <= 2 for d in dirs)
     back = tables.read_keyed(spark, tables.TRANSACTIONS, path).drop("event_us")
     assert back.exceptAll(tx).count() == 0 and tx.exceptAll(back).count() == 0
+
+
+@pytest.mark.parametrize("spec", [tables.CUSTOMERS, tables.TRANSACTIONS, tables.BALANCE, tables.COUNTY_STATISTICS, tables.SUSPICIOUS], ids=lambda s: s.name)
+def test_every_table_survives_truncation_and_repeated_keys(spark, tmp_path, spec):
+    path = str(tmp_path / spec.name)
+    one = spark.range(1).select(*[F.lit("2016-01-01").cast("date").cast(t).alias(c) if "timestamp" in t else F.lit("1").cast(t).alias(c) for c, t in spec.columns])
+    tables.replace_table(one.unionByName(one), spec, path)
+    assert tables.read_keyed(spark, spec, path).count() == 1
+    tables.truncate_table(spark, spec, path)
+    empty = tables.read_keyed(spark, spec, path)
+    assert empty.count() == 0 and empty.columns == spec.column_names
+    tables.replace_table(one.limit(0), spec, path)
+    assert tables.read_keyed(spark, spec, path).count() == 0
+    tables.replace_table(one, spec, path, unique=True)
+    assert tables.read_keyed(spark, spec, path).count() == 1

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -103,12 +103,13 @@ def word_ids(path: str) -> WordIds:
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, size: int, path: str, with_ids: bool = False,
+def pieces(docs: DataFrame, size: int, path: str, with_ids: bool = False, place: Callable[[list, list], np.ndarray] | None = None,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of at most ``size`` tokens; each document ends with END_ID.
 
-    ``with_ids`` adds ``ids`` (binary, little-endian uint16).  A null text is empty: one piece
-    that holds END_ID only.
+    ``with_ids`` adds ``ids`` (binary, little-endian uint16); ``place`` a column of that name,
+    reckoned from the doc_ids and piece numbers of a batch.  A null text is empty: one piece that
+    holds END_ID only.
     """
     given = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     end = np.array([END_ID], "<u2").tobytes()
@@ -120,7 +121,10 @@ def pieces(docs: DataFrame, size: int, path: str, with_ids: bool = False,
         columns: list[list] = [[] for _ in kinds]
 
         def batch_of() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            if place:
+                arrays.append(pa.array(place(columns[0], columns[1]), pa.int64()))
+            made = pa.RecordBatch.from_arrays(arrays, names=[*names, "place"] if place else names)
             for c in columns:
                 c.clear()
             return made
@@ -142,4 +146,4 @@ def pieces(docs: DataFrame, size: int, path: str, with_ids: bool = False,
                     held = 0
         yield batch_of()
 
-    return given.mapInArrow(cut, PIECES_DDL + (", ids binary" if with_ids else ""))
+    return given.mapInArrow(cut, PIECES_DDL + ", ids binary" * with_ids + ", place long" * bool(place))

@@ -30,7 +30,6 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,18 +103,20 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, key: int = KE
         F.coalesce(F.min(doc), F.lit(0)), F.coalesce(F.max(doc), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     wide = (most - least + 2) * PIECES > MOST_NUMBERS
     documents = MOST_NUMBERS // PIECES if wide else most - least + 2
-    ordinal = F.pmod(F.xxhash64(doc), F.lit(documents)) if wide else F.coalesce(doc - least + 1, F.lit(0))
     n = documents * PIECES
     shards = max(1, -(-size // shard_text))
     width = -(-n // shards)
 
-    def places(number: pd.Series) -> pd.Series:
-        return pd.Series(permute(number.to_numpy(np.int64), n, key))
+    def places(docs: list, pieces: list) -> np.ndarray:
+        if wide:
+            given = np.array([NO_ID if d is None else d for d in docs], np.int64)
+            ordinal = (_mix(given.view(np.uint64), key) % np.uint64(documents)).astype(np.int64)
+        else:
+            ordinal = np.array([0 if d is None else d - least + 1 for d in docs], np.int64)
+        return permute(ordinal * PIECES + np.minimum(np.array(pieces, np.int64), PIECES - 1), n, key)
 
-    made = pieces(docs, length, vocabulary or vocabulary_path(), with_ids=True, id_col=id_col, text_col=text_col)
-    number = ordinal.cast("long") * PIECES + F.least("piece", F.lit(PIECES - 1))
-    placed = made.select("doc_id", "piece", "ids", F.pandas_udf(places, "long")(number).alias("place"))
-    placed = placed.withColumn("shard", F.expr(f"cast(place div {width} as int)"))
+    made = pieces(docs, length, vocabulary or vocabulary_path(), with_ids=True, place=places, id_col=id_col, text_col=text_col)
+    placed = made.select("doc_id", "piece", "ids", "place", F.expr(f"cast(place div {width} as int)").alias("shard"))
     ordered = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place", "doc_id", "piece", "ids").drop("place")
     record_size = 2 * length
 

@@ -356,3 +356,30 @@ def op10_decontamination(documents: DataFrame, benchmark: DataFrame) -> DataFram
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(joined, 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+ORACLE_SQL = f"""
+with d as (select doc_id, {_SQL_WORDS} as w from documents),
+b as (select item_id, {_SQL_WORDS} as w from benchmark),
+phrases as (
+  select distinct item_id, least(len(w), {PHRASE}) as n, array_to_string(w[k:k + least(len(w), {PHRASE}) - 1], ' ') as phrase
+  from (select item_id, w, unnest(range(1, greatest(len(w) - {PHRASE - 1}, 1) + 1)) as k from b where len(w) > 0) x),
+windows as (
+  select doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') as phrase
+  from (select doc_id, w, unnest(range(1, len(w) + 1)) as k from d) x, (select distinct n from phrases) s
+  where k + n - 1 <= len(w)),
+found as (select doc_id, k, n, item_id from windows join phrases using (n, phrase)),
+hits as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(range(k, k + n)) as p from (select distinct doc_id, k, n from found) y) z group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as joined
+  from (select distinct doc_id, cast(item_id as varchar) as item from found) y group by doc_id)
+select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(joined, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hits using (doc_id) left join items using (doc_id)
+"""

@@ -48,4 +48,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
     "op8_tool_calls": tool_calls.ORACLE_SQL,
+    "op10_decontamination": decontaminate.ORACLE_SQL,
 }

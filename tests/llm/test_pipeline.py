@@ -110,7 +110,7 @@ def test_queries_against_their_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[name](spark, SF)
     want = con.execute(ORACLES[name])

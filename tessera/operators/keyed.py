@@ -9,8 +9,6 @@ shuffle, not a third of the data in one reducer.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

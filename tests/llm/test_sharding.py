@@ -1,8 +1,6 @@
 import zlib
 from collections import Counter, defaultdict
 
-import pytest
-
 from tessera.llm import sharding as X
 
 

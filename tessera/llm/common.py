@@ -44,17 +44,17 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str, tot
     return met.select(*rows.columns, *picked)
 
 
-def numbered(df: DataFrame, part: Column, order: list[str], group: str | None = None, alias: str = "number") -> DataFrame:
-    """``df`` with a gapless number from 0 (within each value of ``group``, if given).
+def numbered(df: DataFrame, part: Column, order: list[str], group: str, alias: str) -> DataFrame:
+    """``df`` with a gapless number from 0 within each value of ``group``.
 
-    Rows are numbered inside small parts (``part``: a hash bucket) by ``order``; the parts'
-    counts, one row each, are summed up in the order of the parts.  No task sees more than one
-    part (or the counts of one group).
+    Rows are numbered inside small parts (``part``: a hash bucket, or a range) by ``order``; the
+    parts' counts, one row each, are summed up in the order of the parts.  No task sees more than
+    one part, or the counts of one group.
     """
-    by = ["_part"] if group is None else [group, "_part"]
+    by = [group, "_part"]
     parted = df.withColumn("_part", part)
     counts = parted.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    before = W.partitionBy(*( [group] if group else [F.lit(0)] )).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select(*by, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     inside = W.partitionBy(*by).orderBy(*order)
     ranked = parted.withColumn("_rank", F.row_number().over(inside) - 1)
@@ -76,10 +76,19 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[df[c] for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
 
 
-def keep_rows(docs: DataFrame, keepers: DataFrame, id_col: str) -> DataFrame:
-    """The rows of ``docs`` named by ``keepers`` (_kid, _ktie: id and row hash); of equal rows one."""
+def keep_rows(docs: DataFrame, keepers: DataFrame, id_col: str, key: str, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` named by ``keepers`` (_kid and _kkey: id and ``key``); of rows equal in both one,
+    that with the least row hash.  ``key`` is "hash" (the row's) or "digest" (the text's SHA-256).
+
+    The null id is told apart by a column of its own, so join and window share one shuffle of the rows.
+    """
     hidden, names = masked(docs)
+    text = F.coalesce(F.col(names[text_col]).cast("string"), F.lit(""))
     rows = hidden.select("*", F.col(names[id_col]).cast("long").alias("_i"), row_hash(hidden).alias("_tie"))
-    met = rows.join(keepers, (F.col("_tie") == F.col("_ktie")) & F.col("_i").eqNullSafe(F.col("_kid")), "left_semi")
-    first = W.partitionBy("_tie", "_i").orderBy("_tie")
+    rows = rows.withColumn("_key", F.unhex(F.sha2(text, 256)) if key == "digest" else F.col("_tie"))
+    keys = ["_key", "_known", "_none"]
+    rows = rows.select("*", F.coalesce("_i", F.lit(0)).alias("_known"), F.col("_i").isNull().alias("_none"))
+    kept = keepers.select(F.col("_kkey").alias("_key"), F.coalesce("_kid", F.lit(0)).alias("_known"), F.col("_kid").isNull().alias("_none"))
+    met = rows.join(kept, keys, "left_semi")
+    first = W.partitionBy(*keys).orderBy("_tie")
     return unmasked(met.withColumn("_rn", F.row_number().over(first)).where("_rn = 1"), names)

@@ -23,10 +23,9 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import attach, masked, row_hash, stored, unmasked
+from tessera.llm.common import attach, keep_rows, stored
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -228,14 +227,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Of rows that repeat id and text, the one whose whole row hashes lowest stays.
     """
-    keep = stored(build_index(docs, id_col, text_col), "cuckoo-index")
-    keep = keep.select(F.col("digest").alias("_kd"), F.col("keep_id").alias("_kid"))
-    hidden, names = masked(docs)
-    text = F.coalesce(F.col(names[text_col]).cast("string"), F.lit(""))
-    rows = hidden.select("*", F.unhex(F.sha2(text, 256)).alias("_d"), F.col(names[id_col]).cast("long").alias("_i"), row_hash(hidden).alias("_tie"))
-    met = rows.join(keep, (F.col("_d") == F.col("_kd")) & F.col("_i").eqNullSafe(F.col("_kid")), "left_semi")
-    first = W.partitionBy("_d", "_i").orderBy("_tie")
-    return unmasked(met.withColumn("_rn", F.row_number().over(first)).where("_rn = 1"), names)
+    index = stored(build_index(docs, id_col, text_col), "cuckoo-index")
+    keepers = index.select(F.col("keep_id").alias("_kid"), F.col("digest").alias("_kkey"))
+    return keep_rows(docs, keepers, id_col, "digest", text_col)
 
 
 def op7_exact_dedup(documents: DataFrame) -> DataFrame:

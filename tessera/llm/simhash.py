@@ -192,8 +192,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with one row of each component: the one with the component's id (of several, the least row hash)."""
     classes = near_classes(docs, id_col, text_col, shingle, max_bits)
     own = classes.where(F.col("doc").eqNullSafe(F.col("component_id")))
-    keepers = own.groupBy("root").agg(F.first("doc").alias("_kid"), F.min("tie").alias("_ktie")).select("_kid", "_ktie")
-    return keep_rows(docs, keepers, id_col)
+    keepers = own.groupBy("root").agg(F.first("doc").alias("_kid"), F.min("tie").alias("_kkey")).select("_kid", "_kkey")
+    return keep_rows(docs, keepers, id_col, "hash", text_col)
 
 
 def op6_simhash_dedup(documents: DataFrame) -> DataFrame:

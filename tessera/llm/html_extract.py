@@ -6,9 +6,11 @@ the link text of its blocks are summed up; text and punctuation per block, less
 links, fuse into the path's ratio.  The ratios are smoothed along the page with a small Gaussian,
 fused with the unsmoothed ones, averaged by path again, and paths at or above half a standard
 deviation are content.  The content paths' text chooses the article's element: ``article`` or
-``main`` if they hold a good part of it, else the deepest element with most of it.  Of that
-element every block stays that is neither inside a part that names itself (menu, header, footer,
-sidebar, notice, advert, form, script, style, comments) nor on a path of mere links.
+``main`` if they hold a good part of it, else the deepest element with most of it, whatever its
+tag.  Of an ``article`` or ``main`` every block stays that is neither inside a part that names
+itself (menu, header, footer, sidebar, notice, advert, form, script, style, comments) nor on a path
+of mere links; of any other element such a block stays if it is on a content path, a heading, or
+an item, cell or paragraph whose part (``div``, ``section``) has a block on a content path.
 
 Pages are independent of each other, so this is one pass over the table without a shuffle.
 
@@ -54,6 +56,8 @@ _NOISE_WORDS = frozenset(
     "form login search skip hidden tags tagcloud".split()
 )
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+#: Parts of a page: outside ``article`` and ``main`` one without a block on a content path is no content.
+_PARTS = frozenset("# address article body center details div fieldset html main section".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag of the key closes an open element of these, up to the given boundary.
 _CLOSES = {
@@ -244,7 +248,7 @@ def _article(page: Page, weight: list[int], total: int) -> int:
         return main
     children: dict[int, int] = {}
     for e in range(1, len(weight)):
-        if not page.noise[e] and page.tag[e] in _BLOCK and weight[e] >= DEEPEST_SHARE * total:
+        if not page.noise[e] and weight[e] >= DEEPEST_SHARE * total:
             children[page.parent[e]] = e
     titles = {b.element for b in page.blocks if page.tag[b.element] == "h1" and not page.noise[b.element]}
     at = 0
@@ -272,7 +276,18 @@ def article_blocks(html: str) -> list[str]:
     inside[root] = True
     for e in range(root + 1, len(inside)):
         inside[e] = inside[page.parent[e]]
-    return [b.text for b in page.blocks if inside[b.element] and not page.noise[b.element] and not (links[b.path] >= LINK_SHARE and ratio[b.path] < threshold)]
+    part = [0] * len(page.tag)
+    for e in range(1, len(part)):
+        part[e] = e if page.tag[e] in _PARTS else part[page.parent[e]]
+    content = {part[b.element] for b in page.blocks if ratio[b.path] >= threshold and links[b.path] < LINK_SHARE}
+    own = page.tag[root] in ("article", "main")
+
+    def stays(b: Block) -> bool:
+        if not inside[b.element] or page.noise[b.element]:
+            return False
+        return ratio[b.path] >= threshold or links[b.path] < LINK_SHARE and (own or page.tag[b.element] in _HEADINGS or part[b.element] in content)
+
+    return [b.text for b in page.blocks if stays(b)]
 
 
 def main_text(html: str | None) -> str:

@@ -36,6 +36,27 @@ def test_layouts(layout):
     assert X.main_text(layout.format(BODY)) == "\n\n".join(PARAGRAPHS)
 
 
+LONGER = [" ".join([p] * 8) for p in PARAGRAPHS] * 3
+WHOLE = "<!DOCTYPE html><html lang=en><head><title>T</title></head><body>{}</body></html>"
+
+
+@pytest.mark.parametrize("layout", [
+    "<div><p>Motto</p></div><div><div>{}</div><div>Right column text</div></div><div>Copyright 2024 Someone</div>",
+    "<table><tr><td>Left column<td>{}<td>Right column</table><div>Copyright 2024 Someone</div>",
+    "<app-root><div>{}</div><div>Copyright 2024 Someone</div></app-root>",
+    "{}<div><div>All rights kept</div><div>Made with care</div><div>Version 4</div><div>Call us</div><div>Copyright 2024 Someone</div></div>",
+])
+def test_unnamed_boilerplate_in_whole_pages(layout):
+    text = "".join(f"<p>{p}</p>" for p in LONGER)
+    found = X.article_blocks(WHOLE.format(layout.format("<h1>Title</h1>" + text)))
+    assert found[:7] == ["Title", *LONGER] and "Copyright 2024 Someone" not in found
+
+
+def test_short_items_beside_content_stay():
+    page = WHOLE.format("<div>" + "".join(f"<p>{p}</p>" for p in LONGER) + "<ul><li>one<li>two</ul><table><tr><td>a<td>b</table></div><div>" + "<div>Version 4</div>" * 6 + "</div>")
+    assert X.article_blocks(page) == [*LONGER, "one", "two", "a b"]
+
+
 def test_blocks_and_references():
     page = "<article><h2>A &amp; B</h2><p>one<br>two\n  three&nbsp;four <b>bold</b><i>er</i> &lt;tag&gt;</p><ul><li>x, a longer item<li>y, another item</ul><pre>a\n b</pre><!-- no --><p></p></article>"
     assert X.article_blocks(page) == ["A & B", "one two three four bolder <tag>", "x, a longer item", "y, another item", "a b"]

@@ -10,7 +10,9 @@ deviation are content.  The content paths' text chooses the article's element: `
 tag.  Of an ``article`` or ``main`` every block stays that is neither inside a part that names
 itself (menu, header, footer, sidebar, notice, advert, form, script, style, comments) nor on a path
 of mere links; of any other element such a block stays if it is on a content path, a heading, or
-an item, cell or paragraph whose part (``div``, ``section``) has a block on a content path.
+an item, cell or paragraph whose part (``div``, ``section``) has a block on a content path.  A
+named part that wraps the page (it holds most of the content paths' text, or the article) is not
+dropped for its name; the parts inside it are judged on their own.
 
 Pages are independent of each other, so this is one pass over the table without a shuffle.
 
@@ -80,10 +82,10 @@ class Block:
 
 
 class Page:
-    """Elements (parent, tag, path, noise) and text blocks of one page, in page order."""
+    """Elements (parent, tag, path, named: whether it names itself noise) and text blocks of one page, in page order."""
 
     def __init__(self, html: str):
-        self.parent, self.tag, self.path, self.noise = [-1], ["#"], [0], [False]
+        self.parent, self.tag, self.path, self.named = [-1], ["#"], [0], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.blocks: list[Block] = []
         self._stack = [0]
@@ -95,7 +97,7 @@ class Page:
     def _flush(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            at = next(e for e in reversed(self._stack) if e == 0 or self.tag[e] in _BLOCK or self.noise[e])
+            at = next(e for e in reversed(self._stack) if e == 0 or self.tag[e] in _BLOCK or self.named[e])
             self.blocks.append(Block(text, at, self.path[at], min(self._links, len(text))))
         self._text, self._links = [], 0
 
@@ -131,12 +133,12 @@ class Page:
     def _push(self, tag: str, attributes: str) -> None:
         top = self._stack[-1]
         inside = bool(self._open.get("article") or self._open.get("main"))
-        noise = self.noise[top] or self._named_noise(tag, attributes, inside)
-        key = (self.path[top], tag) if tag in _BLOCK or noise else None
+        named = self._named_noise(tag, attributes, inside)
+        key = (self.path[top], tag) if tag in _BLOCK or named else None
         self.parent.append(top)
         self.tag.append(tag)
         self.path.append(self.paths.setdefault(key, len(self.paths) + 1) if key else self.path[top])
-        self.noise.append(noise)
+        self.named.append(named)
         self._stack.append(len(self.tag) - 1)
         self._open[tag] = self._open.get(tag, 0) + 1
 
@@ -145,6 +147,8 @@ class Page:
         for k in range(len(self._stack) - 1, 0, -1):
             name = self.tag[self._stack[k]]
             if name in tags:
+                if any(self.named[e] for e in self._stack[k:]):
+                    self._flush()
                 for e in self._stack[k:]:
                     self._open[self.tag[e]] -= 1
                 del self._stack[k:]
@@ -172,7 +176,7 @@ class Page:
     def _end(self, tag: str) -> None:
         if not self._open.get(tag):
             return
-        if tag in _BLOCK or any(self.noise[e] for e in self._stack[-1:]):
+        if tag in _BLOCK:
             self._flush()
         self._pop_to((tag,))
 
@@ -236,10 +240,55 @@ def path_ratios(blocks: list[Block]) -> tuple[dict[int, float], dict[int, float]
     return {p: sum(v) / len(v) for p, v in fused.items()}, links, DEVIATIONS * deviation
 
 
-def _article(page: Page, weight: list[int], total: int) -> int:
+def _weights(page: Page, content: list[Block], noise: list[bool]) -> list[int]:
+    """Text of the ``content`` blocks inside each element, without those in ``noise``."""
+    weight = [0] * len(page.tag)
+    for b in content:
+        if not noise[b.element]:
+            weight[b.element] += len(b.text)
+    for e in range(len(weight) - 1, 0, -1):
+        weight[page.parent[e]] += weight[e]
+    return weight
+
+
+def _noise(page: Page, named: list[bool]) -> list[bool]:
+    noise = list(named)
+    for e in range(1, len(noise)):
+        noise[e] = noise[e] or noise[page.parent[e]]
+    return noise
+
+
+def noise_of(page: Page, content: list[Block]) -> list[bool]:
+    """Whether each element is, or is inside, a part that names itself noise.
+
+    A part is none, whatever its name, if it is the page's wrapper: it holds most of the text of
+    the content paths, or the ``article`` or ``main`` with a good part of it and more than stands
+    outside all named parts.
+    """
+    if not any(page.named):
+        return page.named
+    noise = _noise(page, page.named)
+    outside, whole = _weights(page, content, noise)[0], _weights(page, content, [False] * len(noise))
+    # Text in each element without the named parts inside it: an article's own.
+    clean = [0] * len(noise)
+    for b in content:
+        if not page.named[b.element]:
+            clean[b.element] += len(b.text)
+    for e in range(len(clean) - 1, 0, -1):
+        if not page.named[e]:
+            clean[page.parent[e]] += clean[e]
+    wraps = [False] * len(noise)
+    for e in range(len(noise) - 1, 0, -1):
+        own = page.tag[e] in ("article", "main") and not page.named[e]
+        if wraps[e] or own and clean[e] > outside and clean[e] >= SEMANTIC_SHARE * whole[0]:
+            wraps[e] = wraps[page.parent[e]] = True
+    return _noise(page, [n and not (wraps[e] or 0 < DEEPEST_SHARE * whole[0] <= whole[e]) for e, n in enumerate(page.named)])
+
+
+def _article(page: Page, noise: list[bool], weight: list[int], total: int) -> int:
     """The element that holds the article; ``weight``: text of content paths inside each element."""
     def heaviest(tags: tuple[str, ...]) -> int:
-        return max((e for e, t in enumerate(page.tag) if t in tags and not page.noise[e]), key=lambda e: weight[e], default=-1)
+        return max((e for e, t in enumerate(page.tag) if t in tags and not noise[e]), key=lambda e: weight[e], default=-1)
 
     main, article = heaviest(("main",)), heaviest(("article",))
     if article >= 0 and weight[article] >= SEMANTIC_SHARE * (weight[main] if main >= 0 and weight[main] else total):
@@ -248,9 +297,9 @@ def _article(page: Page, weight: list[int], total: int) -> int:
         return main
     children: dict[int, int] = {}
     for e in range(1, len(weight)):
-        if not page.noise[e] and weight[e] >= DEEPEST_SHARE * total:
+        if not noise[e] and weight[e] >= DEEPEST_SHARE * total:
             children[page.parent[e]] = e
-    titles = {b.element for b in page.blocks if page.tag[b.element] == "h1" and not page.noise[b.element]}
+    titles = {b.element for b in page.blocks if page.tag[b.element] == "h1" and not noise[b.element]}
     at = 0
     while (below := children.get(at)) is not None and page.tag[below] not in ("p", "li", "pre", "blockquote", *_HEADINGS):
         if page.tag[at] not in ("#", "html", "body") and any(page.parent[t] == at for t in titles):
@@ -265,13 +314,10 @@ def article_blocks(html: str) -> list[str]:
     if not page.blocks:
         return []
     ratio, links, threshold = path_ratios(page.blocks)
-    weight = [0] * len(page.tag)
-    for b in page.blocks:
-        if not page.noise[b.element] and ratio[b.path] >= threshold and links[b.path] < LINK_SHARE:
-            weight[b.element] += len(b.text)
-    for e in range(len(weight) - 1, 0, -1):
-        weight[page.parent[e]] += weight[e]
-    root = _article(page, weight, weight[0]) if weight[0] else 0
+    chosen = [b for b in page.blocks if ratio[b.path] >= threshold and links[b.path] < LINK_SHARE]
+    noise = noise_of(page, chosen)
+    weight = _weights(page, chosen, noise)
+    root = _article(page, noise, weight, weight[0]) if weight[0] else 0
     inside = [False] * len(page.tag)
     inside[root] = True
     for e in range(root + 1, len(inside)):
@@ -279,11 +325,11 @@ def article_blocks(html: str) -> list[str]:
     part = [0] * len(page.tag)
     for e in range(1, len(part)):
         part[e] = e if page.tag[e] in _PARTS else part[page.parent[e]]
-    content = {part[b.element] for b in page.blocks if ratio[b.path] >= threshold and links[b.path] < LINK_SHARE}
+    content = {part[b.element] for b in chosen}
     own = page.tag[root] in ("article", "main")
 
     def stays(b: Block) -> bool:
-        if not inside[b.element] or page.noise[b.element]:
+        if not inside[b.element] or noise[b.element]:
             return False
         return ratio[b.path] >= threshold or links[b.path] < LINK_SHARE and (own or page.tag[b.element] in _HEADINGS or part[b.element] in content)
 

@@ -57,6 +57,22 @@ def test_short_items_beside_content_stay():
     assert X.article_blocks(page) == [*LONGER, "one", "two", "a b"]
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<div class='site has-sidebar'>{}</div>", "<div id=page-header-fixed><div class=ad-free>{}</div></div>", "<form action=x>{}</form>", "<p>A cookie bar, here.</p><div class='side-by-side search'>{}</div>",
+])
+@pytest.mark.parametrize("element", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+def test_named_wrappers_do_not_swallow_the_article(wrapper, element):
+    text = "".join(f"<p>{p} <b>Bold</b> end.</p>" for p in LONGER) + "<span class=share><a>Share</a> this</span>"
+    inside = "<nav><a>Home</a></nav>" + element.format(text) + "<div class=sidebar><p>Popular posts, and more of them.</p></div><div id=comments><article><p>A comment, a long one.</p></article></div>"
+    assert X.article_blocks(WHOLE.format(wrapper.format(inside))) == [f"{p} Bold end." for p in LONGER]
+
+
+def test_named_parts_beside_the_article_go():
+    cards = "".join(f"<article><p>{p}</p></article>" for p in PARAGRAPHS)
+    page = WHOLE.format(f"<div class=post>{BODY * 3}</div><div class=sidebar>{cards}</div><aside class=related>{cards}</aside>")
+    assert X.article_blocks(page) == PARAGRAPHS * 3
+
+
 def test_blocks_and_references():
     page = "<article><h2>A &amp; B</h2><p>one<br>two\n  three&nbsp;four <b>bold</b><i>er</i> &lt;tag&gt;</p><ul><li>x, a longer item<li>y, another item</ul><pre>a\n b</pre><!-- no --><p></p></article>"
     assert X.article_blocks(page) == ["A & B", "one two three four bolder <tag>", "x, a longer item", "y, another item", "a b"]

@@ -17,8 +17,9 @@ The phrases are the stated query set.  They are sent to the tasks in blocks of a
 after the other inside the same task.  Nothing is shuffled, a hot document or source is never
 gathered, and a lost task is simply run again.
 
-Defined results: null and empty texts have no words; items without words have no phrase; an empty
-benchmark hits nothing; repeated rows are judged alike; other columns, whatever their names, are
+Defined results: null and empty texts have no words; items without words have no phrase; items
+whose id is null are one item, whose phrases hit like any other's: it counts in n_items and is left
+out of the digest; an empty benchmark hits nothing; repeated rows are judged alike; other columns, whatever their names, are
 passed through by ``decontaminated``, which drops a document only if it was hit and no word is left.
 """
 
@@ -53,17 +54,22 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_FOLD).split()
 
 
+def in_order(items: Iterable[int | None]) -> list[int | None]:
+    """The null item comes last."""
+    return sorted(items, key=lambda i: (i is None, i or 0))
+
+
 class Phrases(NamedTuple):
     """A block of phrases as word numbers (from 1), right-aligned, and the items of each."""
 
     vocabulary: dict[bytes, int]
     symbols: np.ndarray
     lengths: np.ndarray
-    items: list[list[int]]
+    items: list[list[int | None]]
 
     @classmethod
     def of(cls, pairs: Iterable[tuple[bytes, int]]) -> Phrases:
-        by: dict[bytes, set[int]] = {}
+        by: dict[bytes, set[int | None]] = {}
         for phrase, item in pairs:
             by.setdefault(bytes(phrase), set()).add(item)
         vocabulary: dict[bytes, int] = {}
@@ -71,7 +77,7 @@ class Phrases(NamedTuple):
         symbols = np.zeros((len(split), PHRASE), np.int64)
         for k, s in enumerate(split):
             symbols[k, PHRASE - len(s):] = s
-        return cls(vocabulary, symbols, np.array([len(s) for s in split], np.int64), [sorted(by[p]) for p in sorted(by)])
+        return cls(vocabulary, symbols, np.array([len(s) for s in split], np.int64), [in_order(by[p]) for p in sorted(by)])
 
 
 class WaveletMatrix:
@@ -250,7 +256,7 @@ def _phrase_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[Dat
                     items.append(item)
             yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.binary()), pa.array(items, pa.int64())], names=["phrase", "item"])
 
-    pairs = stored(given.where("item is not null").mapInArrow(cut, "phrase binary, item long").distinct(), "phrases")
+    pairs = stored(given.mapInArrow(cut, "phrase binary, item long").distinct(), "phrases")
     blocks = max(1, -(-pairs.count() // BLOCK_PHRASES))
     return [pairs.where(F.pmod(F.xxhash64("phrase", "item"), F.lit(blocks)) == k) for k in range(blocks)]
 
@@ -283,7 +289,7 @@ def _searched(docs: DataFrame, benchmark: DataFrame, carried: list[str], text_co
                         if at + k in hits:
                             new, which = hits[at + k]
                             spans[k] = merged([*spans[k], *new])
-                            items[k] = sorted({*items[k], *which})
+                            items[k] = in_order({*items[k], *which})
                     fixed = {"_words": pa.array(counts[at:at + batch.num_rows], pa.int64()), "_spans": pa.array(spans, _SPANS), "_items": pa.array(items, _ITEMS)}
                     if cut and any(spans):
                         texts = batch.column("_text").to_pylist()

@@ -66,6 +66,18 @@ def test_awkward_rows(spark, awkward, no_documents):
     check(no_documents, bench)
 
 
+@pytest.mark.parametrize("name, value", [("PHRASE", 10), ("BLOCK_PHRASES", 1)])
+def test_items_without_id(spark, monkeypatch, name, value):
+    monkeypatch.setattr(X, name, value)
+    bench = spark.createDataFrame([(None, "secret passage"), (None, "hidden words"), (7, "hidden words"), (-3, "passage")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a secret passage here"), (2, "some hidden words"), (3, "nothing"), (4, "secret passage")], "doc_id long, text string")
+    none, seven, minus = (hashlib.sha256(t).hexdigest() for t in (b"", b"7", b"-3"))
+    assert sorted(tuple(r) for r in X.op10_decontamination(docs, bench).collect()) == [
+        (1, 4, 2, 2, minus, True), (2, 3, 2, 2, seven, True), (3, 1, 0, 0, none, False), (4, 2, 2, 2, minus, True)]
+    clean = X.decontaminated(docs, bench.where("item_id is null"))
+    assert sorted((r.doc_id, r.text.strip()) for r in clean.collect()) == [(1, "a  here"), (2, "some"), (3, "nothing")]
+
+
 def test_cleaned_documents(spark, awkward, no_documents):
     bench = spark.createDataFrame([(1, "text, twice"), (2, "two words"), (3, "id nine")], "item_id long, text string")
     clean = X.decontaminated(awkward, bench)

@@ -19,7 +19,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, bound:
 
     The draw is by a hash of the id, so it is the same on every cluster; ``weight`` restores the
     classes' shares.  Ids whose labels contradict each other are left out.  The drawn ids (about
-    ``bound`` rows) are broadcast, so the documents are not shuffled.
+    ``bound`` rows) are broadcast, and of the rows of one id the text of least hash stays: one row
+    an id, found in every task before the drawn texts are shuffled.  Other documents are not shuffled.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
     one = usable.groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("_most")).where("y = _most").select(F.col("doc_id").cast("long").alias("_lid"), F.col("y").cast("int").alias("y"))
@@ -31,4 +32,6 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, bound:
     drawn = one.where(unit < chance).withColumn("weight", weight)
     text = F.coalesce(documents["text"].cast("string"), F.lit("")).alias("text")
     given = documents.select(documents["doc_id"].cast("long").alias("_lid"), text)
-    return given.join(F.broadcast(drawn), "_lid").select(F.col("_lid").alias("doc"), "text", "y", "weight")
+    met = given.join(F.broadcast(drawn), "_lid")
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least")
+    return met.groupBy("_lid", "y", "weight").agg(least).select(F.col("_lid").alias("doc"), F.col("least.text").alias("text"), "y", "weight")

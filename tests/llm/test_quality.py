@@ -1,11 +1,13 @@
 import itertools
 import math
+from zlib import crc32
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import quality as X
+from tessera.llm.labelled import labelled_sample
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +83,13 @@ def test_statistics_of_an_empty_text():
     stats, at, values = X.described(b"", X._Buckets())
     assert stats.tolist() == [0.0] * len(X.STATISTICS) and len(at) == len(values) == 0
     assert math.isfinite(float(X.described(b"   ", X._Buckets())[0][0]))
+
+
+def test_sample_has_one_row_per_drawn_id(spark):
+    ids = [i for i in range(40) if crc32(str(i).encode()) % 3 != 1]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    rows = [(i, f"text {i}") for i in ids] + [(ids[0], f"another text {k}") for k in range(300)] + [(ids[1], "text again")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sample = labelled_sample(docs, labels, "quality", 1000).collect()
+    assert sorted(r.doc for r in sample) == ids and all((r.doc, r.text) in set(rows) and r.weight == 1 for r in sample)
+    assert sorted(map(tuple, sample)) == sorted(map(tuple, labelled_sample(docs.repartition(7, "text"), labels, "quality", 1000).collect()))

@@ -103,12 +103,12 @@ def word_ids(path: str) -> WordIds:
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, size: int, path: str, with_ids: bool = False, place: Callable[[list, list], np.ndarray] | None = None,
+def pieces(docs: DataFrame, size: int, path: str, with_ids: bool = False, place: Callable[[list, list, list], np.ndarray] | None = None,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of at most ``size`` tokens; each document ends with END_ID.
 
     ``with_ids`` adds ``ids`` (binary, little-endian uint16); ``place`` a column of that name,
-    reckoned from the doc_ids and piece numbers of a batch.  A null text is empty: one piece that
+    reckoned from the doc_ids, piece numbers and ids_crc32 of a batch.  A null text is empty: one piece that
     holds END_ID only.
     """
     given = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
@@ -123,7 +123,7 @@ def pieces(docs: DataFrame, size: int, path: str, with_ids: bool = False, place:
         def batch_of() -> pa.RecordBatch:
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             if place:
-                arrays.append(pa.array(place(columns[0], columns[1]), pa.int64()))
+                arrays.append(pa.array(place(columns[0], columns[1], columns[4]), pa.int64()))
             made = pa.RecordBatch.from_arrays(arrays, names=[*names, "place"] if place else names)
             for c in columns:
                 c.clear()

@@ -1,12 +1,13 @@
 """Training-order materialisation: token sequences in a keyed order, in fixed-stride binary shards.
 
 1. Documents become sequences of at most ``length`` token ids (each document ends with the end id).
-   A sequence's number is (doc_id - least id) * PIECES + piece: known to its task alone, the same
-   on every cluster, with gaps.
+   A sequence's number is (doc_id - least id) * PIECES and a hash of its piece and token ids below
+   PIECES, so rows of one doc_id spread: known to its task alone, the same on every cluster, with gaps.
 2. A keyed Feistel network permutes the smallest even power of two that holds all numbers; a value
    beyond the last number walks on along its cycle.  So every sequence has its place in one keyed
    order of all numbers, without a sort or a counting pass.
-3. Equal ranges of that order are the shards.  One task a range sorts its sequences and writes them
+3. Equal ranges of that order are the shards, counted by the bytes of text or, if that is more, of
+   one record a row.  One task a range sorts its sequences and writes them
    as records of a fixed stride: header (doc_id i64, piece i32, length i32) and ids (u16, zeros
    behind the last).  A shard is written under an attempt's own name and then renamed, so a retried
    or duplicated task leaves whole files only.
@@ -19,7 +20,8 @@ them is kept besides.
 
 Defined results: null and empty texts give one sequence with the end id; a null doc_id comes before
 the least id in number, is written as the least long and read as null; sequences of equal number
-(repeated ids) stand next to each other, ordered by their ids; an empty table writes no shard.
+stand next to each other, ordered by their ids (equal copies under one doc_id always do, in one
+shard); an empty table writes no shard.
 """
 
 from __future__ import annotations
@@ -38,14 +40,16 @@ from tessera.llm.tokens import pieces, vocabulary_path
 from tessera.session import fresh_path
 
 LENGTH = 512
-#: Bytes of text for each shard.
+#: Bytes of text, or of the rows' first records, for each shard.
 SHARD_TEXT = 16_000_000
-#: Numbers kept for each document's sequences; further ones share the last.
+#: Numbers kept for each document's sequences.
 PIECES = 1 << 20
 #: Numbers stay below this; ids that spread wider are hashed into fewer.
 MOST_NUMBERS = 1 << 61
 KEY = 0x5EED
 ROUNDS = 6
+#: Records read at once, and bytes of records for each reading task.
+READ_RECORDS, READ_TASK = 8192, 64_000_000
 HEADER = struct.Struct("<qii")
 NO_ID = -(1 << 63)
 
@@ -99,21 +103,22 @@ def write_shards(docs: DataFrame, path: str, length: int = LENGTH, key: int = KE
                  id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, int]]:
     """Write the sequences of ``docs`` into ``path``: (shard, records) of every shard, ordered."""
     doc = F.col("doc_id")
-    least, most, size = docs.select(docs[id_col].cast("long").alias("doc_id"), F.octet_length(docs[text_col].cast("string")).alias("n")).agg(
-        F.coalesce(F.min(doc), F.lit(0)), F.coalesce(F.max(doc), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    least, most, size, rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.octet_length(docs[text_col].cast("string")).alias("n")).agg(
+        F.coalesce(F.min(doc), F.lit(0)), F.coalesce(F.max(doc), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     wide = (most - least + 2) * PIECES > MOST_NUMBERS
     documents = MOST_NUMBERS // PIECES if wide else most - least + 2
     n = documents * PIECES
-    shards = max(1, -(-size // shard_text))
+    shards = max(1, -(-max(size, rows * stride(length)) // shard_text))
     width = -(-n // shards)
 
-    def places(docs: list, pieces: list) -> np.ndarray:
+    def places(docs: list, pieces: list, crcs: list) -> np.ndarray:
         if wide:
             given = np.array([NO_ID if d is None else d for d in docs], np.int64)
             ordinal = (_mix(given.view(np.uint64), key) % np.uint64(documents)).astype(np.int64)
         else:
             ordinal = np.array([0 if d is None else d - least + 1 for d in docs], np.int64)
-        return permute(ordinal * PIECES + np.minimum(np.array(pieces, np.int64), PIECES - 1), n, key)
+        spread = _mix(np.array(pieces, np.uint64) << np.uint64(32) | np.array(crcs, np.uint64), key) % np.uint64(PIECES)
+        return permute(ordinal * PIECES + spread.astype(np.int64), n, key)
 
     made = pieces(docs, length, vocabulary or vocabulary_path(), with_ids=True, place=places, id_col=id_col, text_col=text_col)
     placed = made.select("doc_id", "piece", "ids", "place", F.expr(f"cast(place div {width} as int)").alias("shard"))
@@ -156,26 +161,31 @@ def first_slots(written: list[tuple[int, int]]) -> dict[int, int]:
 
 def read_shards(spark: SparkSession, path: str, written: list[tuple[int, int]], length: int = LENGTH) -> DataFrame:
     """Every record of the shards: doc_id, piece, n_tokens, slot, shard, byte_offset, ids_crc32 (of 32-bit ids)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(path)
-    files = files.select(F.regexp_extract("path", r"shard-(\d+)\.bin$", 1).cast("long").alias("shard"), "content")
     size, first = stride(length), first_slots(written)
+    ranges = [(shard, at, min(READ_RECORDS, records - at), first[shard] + at) for shard, records in written for at in range(0, records, READ_RECORDS)]
+    tasks = max(1, min(len(ranges), max(spark.sparkContext.defaultParallelism, -(-sum(r[2] for r in ranges) * size // READ_TASK))))
+    given = spark.createDataFrame([(k % tasks, *r) for k, r in enumerate(ranges)], "task int, shard long, first long, records long, slot long")
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     names = ["doc_id", "piece", "n_tokens", "slot", "shard", "byte_offset", "ids_crc32"]
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(path)
         for batch in batches:
-            for k, shard in enumerate(batch.column("shard").to_pylist()):
-                content = memoryview(batch.column("content")[k].as_buffer())
-                if len(content) % size:
-                    raise ValueError(f"shard {shard}: {len(content)} bytes are no whole records")
+            for shard, at, records, slot in zip(*(batch.column(c).to_pylist() for c in ("shard", "first", "records", "slot")), strict=True):
+                with store.open_input_file(f"{base}/{_shard_name(shard)}") as f:
+                    f.seek(at * size)
+                    content = f.read(records * size)
+                if len(content) != records * size:
+                    raise ValueError(f"shard {shard}: {len(content)} bytes from record {at} on are no {records} records")
                 found = []
-                for at in range(0, len(content), size):
-                    doc, piece, ids = _parsed(content, at)
-                    found.append((doc, piece, len(ids), first[shard] + at // size, shard, at, zlib.crc32(ids.astype("<u4").tobytes())))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
+                for k in range(records):
+                    doc, piece, ids = _parsed(content, k * size)
+                    found.append((doc, piece, len(ids), slot + k, shard, (at + k) * size, zlib.crc32(ids.astype("<u4").tobytes())))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
 
-    return files.mapInArrow(parse, "doc_id long, piece int, n_tokens int, slot long, shard long, byte_offset long, ids_crc32 long")
+    return given.repartitionById(tasks, F.col("task")).mapInArrow(parse, "doc_id long, piece int, n_tokens int, slot long, shard long, byte_offset long, ids_crc32 long")
 
 
 def resume(path: str, written: list[tuple[int, int]], slot: int, length: int = LENGTH) -> Iterator[tuple[int, int | None, int, np.ndarray]]:

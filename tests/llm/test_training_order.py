@@ -71,3 +71,14 @@ def test_order_depends_on_key_and_ids_only(documents):
 
 def test_ids_spread_over_all_longs(spark):
     check(spark.createDataFrame([(-(1 << 62), "a"), (1 << 62, "b c"), (0, "d"), (None, "e")], "doc_id long, text string"))
+
+
+@pytest.mark.parametrize("doc", [None, 5])
+def test_rows_of_one_id_spread_over_shards(spark, doc, monkeypatch):
+    monkeypatch.setattr(X, "READ_RECORDS", 7)
+    docs = spark.createDataFrame([(doc, f"w {k}") for k in range(300)] + [(k, "") for k in range(100)], "doc_id long, text string")
+    path, written = X.materialised(docs, length=64, shard_text=4000)
+    assert len(written) > 10 and max(n for _, n in written) < 100
+    rows = X.read_shards(spark, path, written, 64).collect()
+    assert sorted(r.slot for r in rows) == list(range(400)) and sum(r.doc_id == doc for r in rows) == 300 + (doc == 5)
+    assert {(r.slot, r.doc_id, r.piece) for r in rows} == {(s, d, p) for s, d, p, _ in X.resume(path, written, 0, 64)}

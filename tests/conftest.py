@@ -6,10 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession

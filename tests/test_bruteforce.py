@@ -18,7 +18,7 @@ from tessera.plans import content
 from tessera.plans import recommend as R
 from tessera.sources import fixtures
 
-from conftest import SF001
+from paths import SF001
 
 WS = re.compile("[ \t\n\x0b\f\r]")
 

@@ -10,7 +10,7 @@ from tessera.functions.text import clean_tokens, strip_double_quotes, tokenize
 from tessera.plans import content
 from tessera.sources import fixtures
 
-from conftest import SF01
+from paths import SF01
 
 
 def _docs(spark, sf=SF01):

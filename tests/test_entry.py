@@ -15,7 +15,7 @@ import pytest
 import __spark_entry__ as E
 from tessera.sources.fixtures import TABLES
 
-from conftest import SF001
+from paths import SF001
 
 ROWS_ONLY = {"als_rank_selection", "als_top_n"}
 
@@ -81,7 +81,7 @@ def test_hashed_similarity_rows(spark):
 def test_positional_queries_at_sf0_01(spark, name):
     # at this size range bounds come from a sample; the numbering must not
     # depend on two shuffles agreeing (regression test)
-    from conftest import SF01
+    from paths import SF01
 
     con = duckdb.connect()
     for t in TABLES:

@@ -9,7 +9,7 @@ from tessera.operators.metrics import best_candidate, rmse
 from tessera.plans import recommend as R
 from tessera.sources import fixtures, ranked_store
 
-from conftest import SF001
+from paths import SF001
 
 
 @pytest.fixture(scope="module")

@@ -19,7 +19,7 @@ def brute(docs, items):
     phrases = {}
     for item, text in items:
         w = words(text)
-        for k in range(max(1, len(w) - 9) if w and item is not None else 0):
+        for k in range(max(1, len(w) - 9) if w else 0):
             phrases.setdefault(tuple(w[k:k + 10]), set()).add(item)
     out = Counter()
     for doc, text in docs:
@@ -30,7 +30,7 @@ def brute(docs, items):
                 if items_ := phrases.get(tuple(w[k:k + size])):
                     found |= items_
                     hit[k:k + size] = [True] * size
-        joined = ",".join(sorted(map(str, found)))
+        joined = ",".join(sorted(str(i) for i in found if i is not None))
         out[(doc, len(w), sum(hit), len(found), hashlib.sha256(joined.encode()).hexdigest(), any(hit))] += 1
     return out
 

@@ -1,11 +1,12 @@
 """Positional operators: a distributed global row number and the cycled zip.
 
 ``row_number().over(Window.orderBy(...))`` without a partition moves every
-row into one task.  :func:`global_row_number` instead range-partitions on the
-order, numbers rows inside each partition, writes that once (reliable
-checkpoint), and adds the count of all earlier partitions.  The table of
-per-partition counts has one row per partition, so broadcasting it is
-bounded by the partition count, not by the data.
+row into one task.  :func:`global_row_number` instead cuts the order into
+ranges at splitters drawn once and kept as constants of the plan.  The range of
+a row is then a pure function of its key, so the counts per range and the
+numbering inside a range agree whoever evaluates them and however often: no
+copy of the rows is written.  The table of counts has one row per range, so
+broadcasting it is bounded by the number of ranges, not by the data.
 """
 
 from __future__ import annotations
@@ -13,47 +14,104 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import checkpointed, shuffle_partitions
+from tessera.session import shuffle_partitions
 
+#: Sampled keys for each range: more make the ranges more even.
+SAMPLE_PER_RANGE = 32
 
-def _cols(xs) -> list:
-    if isinstance(xs, (str, Column)):
-        return [xs]
-    return list(xs)
+Order = list[tuple[str, bool]]
+
+
+def _order(order_by) -> Order:
+    """(column, descending) for each of ``order_by``: a name, or a list of names and (name, "asc" | "desc")."""
+    given = [order_by] if isinstance(order_by, str) else list(order_by)
+    pairs = [(c, "asc") if isinstance(c, str) else c for c in given]
+    if any(d not in ("asc", "desc") for _, d in pairs):
+        raise ValueError("an order is a column's name or (name, 'asc' | 'desc')")
+    return [(c, d == "desc") for c, d in pairs]
+
+
+def _sorting(order: Order) -> list[Column]:
+    return [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_first() for c, down in order]
+
+
+def range_splitters(df: DataFrame, order_by, ranges: int) -> list:
+    """At most ``ranges`` - 1 keys (rows of the order's columns) that cut ``df`` into about equal ranges.
+
+    A sample of about ``SAMPLE_PER_RANGE`` keys for each range, drawn by a
+    hash of the key, is sorted by Spark; the driver sees the sample only.
+    """
+    order = _order(order_by)
+    keys = df.select(*[c for c, _ in order])
+    total = keys.count()
+    unit = F.shiftrightunsigned(F.xxhash64(*keys.columns), 11) / float(1 << 53)
+    wanted = ranges * SAMPLE_PER_RANGE
+    sample = keys if total <= wanted else keys.where(unit < wanted / total)
+    # equal keys share a hash, so a repeated key could exceed the bound: it is one candidate
+    candidates = sample.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("_w"))
+    drawn = candidates.coalesce(1).sortWithinPartitions(*_sorting(order)).collect()
+    weight, out, before = sum(r["_w"] for r in drawn), [], 0
+    for r in drawn:
+        if before and before * ranges >= weight * (len(out) + 1):
+            out.append(tuple(r)[:-1])
+        before += r["_w"]
+    return out
+
+
+def _at_or_after(order: Order, splitter: Column) -> Column:
+    """Whether a row's key is not before ``splitter`` (a struct of the key), nulls first in ascending columns."""
+    result = F.lit(True)
+    for c, down in reversed(order):
+        mine, its = F.col(c), splitter[c]
+        later = F.coalesce(mine < its, mine.isNull() & its.isNotNull()) if down else F.coalesce(mine > its, mine.isNotNull() & its.isNull())
+        result = later | (mine.eqNullSafe(its) & result)
+    return result
+
+
+def with_range(df: DataFrame, order_by, splitters: list, name: str) -> DataFrame:
+    """``df`` with the number of the range each row falls in: a binary search over constant splitters."""
+    if not splitters:
+        return df.withColumn(name, F.lit(0))
+    order = _order(order_by)
+    schema = df.select(*[c for c, _ in order]).schema
+    struct = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in schema.fields)
+    constant = df.sparkSession.createDataFrame([(splitters,)], f"s array<struct<{struct}>>").select("s").scalar()
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(splitters).bit_length()))])
+
+    def halve(at: Column, step: Column) -> Column:
+        reached = at + step
+        after = (reached <= len(splitters)) & _at_or_after(order, F.get(F.col("_splitters"), reached - 1))
+        return F.when(after, reached).otherwise(at)
+
+    # one expression: a chain of projections would make the optimizer slow
+    return df.withColumn("_splitters", constant).withColumn(name, F.aggregate(steps, F.lit(0), halve)).drop("_splitters")
 
 
 def global_row_number(df: DataFrame, order_by, name: str = "rn", num_partitions: int | None = None) -> DataFrame:
-    """1-based position of each row under ``order_by`` (which must be a total order).
+    """1-based position of each row under ``order_by`` (names or (name, "asc" | "desc"); must be a total order).
 
     Equivalent to ``row_number() over (order by ...)`` but never funnels the
-    data through one task.  The range-partitioned, locally numbered rows are
-    written once with a reliable ``checkpoint()`` (shared folder from
-    ``spark.checkpoint.dir``): the per-partition counts and the numbering must
-    see the *same* partition boundaries, and two separate range shuffles
-    would each sample their own.  The checkpoint also survives the loss of an
-    executor.  This runs a job when called.
+    data through one task, and writes nothing: two reads of the order's columns
+    (a sample, the counts) and one shuffle of the rows.  Drawing the
+    splitters runs two small jobs when called; the numbering itself is lazy.
+    ``df`` is evaluated for each of these reads, so an input that is costly to
+    compute should be stored first.
+    Rows with equal keys fall into one range, as only a total order has a
+    defined numbering.
     """
-    order = _cols(order_by)
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    ordered = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
-        # monotonically_increasing_id = (partition id << 33) + index within it
-        .withColumn(
-            "_local",
-            F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33),
-        )
-    )
-    ordered = checkpointed(ordered)
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: a window over it is tiny
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    order = _order(order_by)
+    splitters = range_splitters(df, order_by, num_partitions or shuffle_partitions(df.sparkSession))
+    ranged = with_range(df, order_by, splitters, "_range")
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per range: a window over it is tiny
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_range").orderBy(*_sorting(order))
+    numbered = ranged.withColumn("_local", F.row_number().over(inside))
     return (
-        ordered.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_off") + F.col("_local") + F.lit(1))
-        .drop("_pid", "_local", "_off")
+        numbered.join(F.broadcast(offsets), "_range")
+        .withColumn(name, F.col("_off") + F.col("_local"))
+        .drop("_range", "_local", "_off")
     )
 
 

@@ -6,6 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession

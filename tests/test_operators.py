@@ -198,3 +198,41 @@ def test_read_documents_inferred_and_read_table(spark, tmp_path):
     assert "ReadSchema: struct<id:int>" in only._jdf.queryExecution().executedPlan().toString()
     view = files.register_view(docs, "tessera_docs_view")
     assert spark.sql("select count(*) from tessera_docs_view").first()[0] == 2 and view is docs
+
+
+def test_global_row_number_orders_nulls_and_strings(spark):
+    rows = [(None if k % 7 == 0 else k % 5, f"s{k:04d}", float("nan") if k == 3 else k / 3) for k in range(600)]
+    df = spark.createDataFrame(rows, "a int, b string, c double").repartition(5)
+    order = [("a", "desc"), ("b", "asc")]
+    ours = global_row_number(df, order, "rn", num_partitions=4)
+    w = Window.orderBy(F.col("a").desc_nulls_last(), F.col("b").asc_nulls_first())
+    theirs = df.withColumn("rn", F.row_number().over(w))
+    assert sorted((r.b, r.rn) for r in ours.collect()) == sorted((r.b, r.rn) for r in theirs.collect())
+    by_float = global_row_number(df, ["c"], "rn", num_partitions=4)
+    assert by_float.orderBy("rn").first().b == "s0000" and by_float.where("rn = 600").first().b == "s0003"
+    with pytest.raises(ValueError):
+        global_row_number(df, [("a", "up")])
+
+
+def test_ranges_are_even_and_pure(spark):
+    from tessera.operators.positional import range_splitters, with_range
+
+    df = spark.range(40_000).select((F.col("id") * 7919 % 40_009).alias("k"))
+    splitters = range_splitters(df, "k", 16)
+    assert 12 <= len(splitters) <= 15
+    sizes = [r["count"] for r in with_range(df, "k", splitters, "r").groupBy("r").count().collect()]
+    assert max(sizes) < 2.5 * 40_000 / 16
+    a = {r.k: r.r for r in with_range(df.repartition(3), "k", splitters, "r").collect()}
+    b = {r.k: r.r for r in with_range(df.repartition(7, "k"), "k", splitters, "r").collect()}
+    assert a == b
+
+
+def test_global_row_number_writes_nothing(spark):
+    from pathlib import Path
+
+    shared = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = len(list(shared.rglob("*")))
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    assert global_row_number(df, "k").agg(F.max("rn")).first()[0] == 1000
+    assert global_row_number(df.where("k < 0"), "k").count() == 0
+    assert len(list(shared.rglob("*"))) == before

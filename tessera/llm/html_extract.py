@@ -7,17 +7,23 @@ links, fuse into the path's ratio.  The ratios are smoothed along the page with
 fused with the unsmoothed ones, averaged by path again, and paths at or above half a standard
 deviation are content.  The content paths' text chooses the article's element: ``article`` or
 ``main`` if they hold a good part of it, else the deepest element with most of it, whatever its
-tag.  Of an ``article`` or ``main`` every block stays that is neither inside a part that names
-itself (menu, header, footer, sidebar, notice, advert, form, script, style, comments) nor on a path
-of mere links; of any other element such a block stays if it is on a content path, a heading, or
-an item, cell or paragraph whose part (``div``, ``section``) has a block on a content path.  A
+tag; ``article`` elements side by side that each hold a good part are one text.  Of an ``article`` or
+``main`` every block stays that is not inside a part that names itself (menu, header, footer, sidebar,
+notice, advert, form, script, style, comments); of any other element such a block stays if it is not on a
+path of mere links and is on a content path, a heading, or
+an item, cell or paragraph whose part (``div``, ``section``) has a block on a content path.
+
+A part's name counts by whole tokens: one made of listed and layout words only ("share-box") is noise.
+One with other words ("share-price", "related-work") or whose listed word is also an ordinary heading
+("discussion") is noise only if most of its text is on no content path.  A
 named part that wraps the page (it holds most of the content paths' text, or the article) is not
 dropped for its name; the parts inside it are judged on their own.
 
 Pages are independent of each other, so this is one pass over the table without a shuffle.
 
 Defined results: a null or empty page and a page without text give an empty text; an unclosed
-comment, script or style runs to the end of the page; a stray end tag is ignored; repeated rows
+comment, script or style runs to the end of the page, an unclosed drawing to the next block, and the start tag
+of any other unclosed embedded element is ignored; formulas keep their text; a stray end tag is ignored; repeated rows
 give repeated results; other columns of ``pages`` are not read.
 """
 
@@ -37,6 +43,10 @@ from pyspark.sql import functions as F
 RADIUS, DEVIATIONS = 2, 0.5
 #: An element is the article if it holds this share of the content paths' text.
 SEMANTIC_SHARE, DEEPEST_SHARE = 0.4, 0.75
+#: Of ``article`` elements side by side, one with this share of the heaviest one's content belongs to the text.
+SIBLING_SHARE = 0.25
+#: A part with a doubtful name stays if this share of its text is on content paths.
+DOUBT_SHARE = 0.5
 #: A path whose text is links to this share is a list of links, unless it is a content path.
 LINK_SHARE = 0.7
 
@@ -46,7 +56,7 @@ _BLOCK = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no text of the page.
-_RAW = frozenset("script style title textarea noscript template iframe noframes noembed xmp svg math select object canvas audio video".split())
+_RAW = frozenset("script style title textarea noscript template iframe noframes noembed xmp svg annotation annotation-xml select object canvas audio video".split())
 _NOISE_TAGS = frozenset("nav footer aside form button dialog menu head label input".split())
 _NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner banners sponsor sponsored sponsors promo promos promotion "
@@ -57,6 +67,16 @@ _NOISE_WORDS = frozenset(
     "comment comments commentlist disqus reply replies respond discussion feedback "
     "form login search skip hidden tags tagcloud".split()
 )
+#: Words of layout that leave a listed word's meaning as it is.
+_LAYOUT_WORDS = frozenset(
+    "area article articles bar block blog body bottom box btn button buttons by col column component container content contents default "
+    "email facebook first fixed for global google group holder hot icon icons image images inner inside item items large last latest left "
+    "link links list lower mail main mobile module more news of on outer page panel popular post posts primary reader readers recent region right "
+    "row secondary section site slot small sticky strip text the this title to top trending twitter unit upper us user users with wrap wrapper "
+    "your zone".split()
+)
+#: Listed words that are also ordinary headings of a text's parts.
+_DOUBTFUL = frozenset("discussion feedback form login promotion search side skip social".split())
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Parts of a page: outside ``article`` and ``main`` one without a block on a content path is no content.
 _PARTS = frozenset("# address article body center details div fieldset html main section".split())
@@ -70,6 +90,7 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>]*)((?>[^<>"']+|"[^"]*"|'[^']*')*+)>"
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)([^<>]*+)>")
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_DRAWING_ENDS = re.compile(r"(</svg(?=[\s/>])[^>]*>)|<(?:p|div|h[1-6]|ul|ol|table|article|section|main|body|blockquote|pre|nav|footer|header)(?=[\s/>])", re.IGNORECASE)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
@@ -81,14 +102,20 @@ class Block:
     links: int
 
 
+#: What an element's name says: nothing, perhaps noise, noise.
+PLAIN, DOUBT, NOISE = 0, 1, 2
+
+
 class Page:
     """Elements (parent, tag, path, named: whether it names itself noise) and text blocks of one page, in page order."""
 
     def __init__(self, html: str):
-        self.parent, self.tag, self.path, self.named = [-1], ["#"], [0], [False]
+        self.parent, self.tag, self.path, self.named = [-1], ["#"], [0], [PLAIN]
         self.paths: dict[tuple[int, str], int] = {}
         self.blocks: list[Block] = []
         self._stack = [0]
+        # the open elements that hold blocks of their own: block elements and named ones
+        self._holders = [0]
         self._open: dict[str, int] = {}
         self._text: list[str] = []
         self._links = 0
@@ -97,7 +124,7 @@ class Page:
     def _flush(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            at = next(e for e in reversed(self._stack) if e == 0 or self.tag[e] in _BLOCK or self.named[e])
+            at = self._holders[-1]
             self.blocks.append(Block(text, at, self.path[at], min(self._links, len(text))))
         self._text, self._links = [], 0
 
@@ -107,28 +134,32 @@ class Page:
         if self._open.get("a"):
             self._links += len(text.strip())
 
-    def _named_noise(self, tag: str, attributes: str, inside_article: bool) -> bool:
+    def _named_noise(self, tag: str, attributes: str, inside_article: bool) -> int:
         if tag in ("html", "body", "main"):
-            return False
+            return PLAIN
         if tag in _NOISE_TAGS or tag == "header" and not inside_article:
-            return True
+            return NOISE
         if not attributes or "=" not in attributes and "hidden" not in attributes:
-            return False
+            return PLAIN
+        most = PLAIN
         for name, value in _NAMES.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
             if name == "hidden" and not value or name == "aria-hidden" and value == "true":
-                return True
+                return NOISE
             if name == "role" and value.lower() in _NOISE_ROLES:
-                return True
+                return NOISE
             if name in ("class", "id"):
-                words = {w.lower() for w in _WORD.findall(value)}
-                if inside_article and tag in _HEADINGS:
-                    words -= {"header"}
-                if tag == "article":
-                    words &= {"comment", "comments", "reply", "teaser", "related", "ad", "ads", "advert", "promo", "sponsored"}
-                if words & _NOISE_WORDS:
-                    return True
-        return False
+                for token in value.split():
+                    words = {w.lower() for w in _WORD.findall(token)}
+                    listed = words & _NOISE_WORDS
+                    if inside_article:
+                        listed -= {"header"}
+                    if tag == "article":
+                        listed &= {"comment", "comments", "reply", "teaser", "related", "ad", "ads", "advert", "promo", "sponsored"}
+                    if listed:
+                        sure = listed - _DOUBTFUL and words <= _NOISE_WORDS | _LAYOUT_WORDS
+                        most = max(most, NOISE if sure else DOUBT)
+        return most
 
     def _push(self, tag: str, attributes: str) -> None:
         top = self._stack[-1]
@@ -140,6 +171,8 @@ class Page:
         self.path.append(self.paths.setdefault(key, len(self.paths) + 1) if key else self.path[top])
         self.named.append(named)
         self._stack.append(len(self.tag) - 1)
+        if key:
+            self._holders.append(len(self.tag) - 1)
         self._open[tag] = self._open.get(tag, 0) + 1
 
     def _pop_to(self, tags: Iterable[str], stop: Iterable[str] = ()) -> None:
@@ -151,6 +184,8 @@ class Page:
                     self._flush()
                 for e in self._stack[k:]:
                     self._open[self.tag[e]] -= 1
+                while self._holders[-1] >= self._stack[k] > 0:
+                    self._holders.pop()
                 del self._stack[k:]
                 return
             if name in stop:
@@ -208,8 +243,11 @@ class Page:
                 self._end(tag)
             elif tag in _RAW:
                 if not attributes.endswith("/") or tag in ("script", "style", "title", "textarea"):
-                    shut = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(html, at)
-                    at = shut.end() if shut else end
+                    shut = (_DRAWING_ENDS if tag == "svg" else re.compile(rf"(</{tag}(?=[\s/>])[^>]*>)", re.IGNORECASE)).search(html, at)
+                    if shut:
+                        at = shut.end() if shut[1] else shut.start()
+                    elif tag in ("script", "style"):
+                        at = end
             else:
                 self._start(tag, attributes)
         self._flush()
@@ -266,35 +304,40 @@ def noise_of(page: Page, content: list[Block]) -> list[bool]:
     outside all named parts.
     """
     if not any(page.named):
-        return page.named
-    noise = _noise(page, page.named)
+        return [False] * len(page.named)
+    sure = [n == NOISE for n in page.named]
+    if DOUBT in page.named:
+        text, good = _weights(page, page.blocks, _noise(page, sure)), _weights(page, content, _noise(page, sure))
+        sure = [n or page.named[e] == DOUBT and good[e] < DOUBT_SHARE * max(1, text[e]) for e, n in enumerate(sure)]
+    noise = _noise(page, sure)
     outside, whole = _weights(page, content, noise)[0], _weights(page, content, [False] * len(noise))
     # Text in each element without the named parts inside it: an article's own.
     clean = [0] * len(noise)
     for b in content:
-        if not page.named[b.element]:
+        if not sure[b.element]:
             clean[b.element] += len(b.text)
     for e in range(len(clean) - 1, 0, -1):
-        if not page.named[e]:
+        if not sure[e]:
             clean[page.parent[e]] += clean[e]
     wraps = [False] * len(noise)
     for e in range(len(noise) - 1, 0, -1):
-        own = page.tag[e] in ("article", "main") and not page.named[e]
+        own = page.tag[e] in ("article", "main") and not sure[e]
         if wraps[e] or own and clean[e] > outside and clean[e] >= SEMANTIC_SHARE * whole[0]:
             wraps[e] = wraps[page.parent[e]] = True
-    return _noise(page, [n and not (wraps[e] or 0 < DEEPEST_SHARE * whole[0] <= whole[e]) for e, n in enumerate(page.named)])
+    return _noise(page, [n and not (wraps[e] or 0 < DEEPEST_SHARE * whole[0] <= whole[e]) for e, n in enumerate(sure)])
 
 
-def _article(page: Page, noise: list[bool], weight: list[int], total: int) -> int:
-    """The element that holds the article; ``weight``: text of content paths inside each element."""
+def _article(page: Page, noise: list[bool], weight: list[int], total: int) -> list[int]:
+    """The elements that hold the article, one but for articles side by side; ``weight``: text of content paths inside each element."""
     def heaviest(tags: tuple[str, ...]) -> int:
         return max((e for e, t in enumerate(page.tag) if t in tags and not noise[e]), key=lambda e: weight[e], default=-1)
 
     main, article = heaviest(("main",)), heaviest(("article",))
     if article >= 0 and weight[article] >= SEMANTIC_SHARE * (weight[main] if main >= 0 and weight[main] else total):
-        return article
+        beside = [e for e, t in enumerate(page.tag) if t == "article" and page.parent[e] == page.parent[article]]
+        return [e for e in beside if not noise[e] and weight[e] >= SIBLING_SHARE * weight[article]]
     if main >= 0 and weight[main] >= SEMANTIC_SHARE * total:
-        return main
+        return [main]
     children: dict[int, int] = {}
     for e in range(1, len(weight)):
         if not noise[e] and weight[e] >= DEEPEST_SHARE * total:
@@ -305,7 +348,7 @@ def _article(page: Page, noise: list[bool], weight: list[int], total: int) -> in
         if page.tag[at] not in ("#", "html", "body") and any(page.parent[t] == at for t in titles):
             break
         at = below
-    return at
+    return [at]
 
 
 def article_blocks(html: str) -> list[str]:
@@ -317,21 +360,22 @@ def article_blocks(html: str) -> list[str]:
     chosen = [b for b in page.blocks if ratio[b.path] >= threshold and links[b.path] < LINK_SHARE]
     noise = noise_of(page, chosen)
     weight = _weights(page, chosen, noise)
-    root = _article(page, noise, weight, weight[0]) if weight[0] else 0
+    roots = _article(page, noise, weight, weight[0]) if weight[0] else [0]
     inside = [False] * len(page.tag)
-    inside[root] = True
-    for e in range(root + 1, len(inside)):
-        inside[e] = inside[page.parent[e]]
+    for e in roots:
+        inside[e] = True
+    for e in range(1, len(inside)):
+        inside[e] = inside[e] or inside[page.parent[e]]
     part = [0] * len(page.tag)
     for e in range(1, len(part)):
         part[e] = e if page.tag[e] in _PARTS else part[page.parent[e]]
     content = {part[b.element] for b in chosen}
-    own = page.tag[root] in ("article", "main")
+    own = page.tag[roots[0]] in ("article", "main")
 
     def stays(b: Block) -> bool:
         if not inside[b.element] or noise[b.element]:
             return False
-        return ratio[b.path] >= threshold or links[b.path] < LINK_SHARE and (own or page.tag[b.element] in _HEADINGS or part[b.element] in content)
+        return own or ratio[b.path] >= threshold or links[b.path] < LINK_SHARE and (page.tag[b.element] in _HEADINGS or part[b.element] in content)
 
     return [b.text for b in page.blocks if stays(b)]
 

@@ -73,6 +73,44 @@ def test_named_parts_beside_the_article_go():
     assert X.article_blocks(page) == PARAGRAPHS * 3
 
 
+def test_articles_side_by_side_are_one_text():
+    first, second = "".join(f"<p>{p}</p>" for p in LONGER[:3]), "".join(f"<p>{p}</p>" for p in LONGER[3:])
+    page = WHOLE.format(f"<nav><a>Home</a></nav><div><article>{first}</article><article>{second}</article><article class=teaser><p>{LONGER[0]}</p></article></div><footer>End.</footer>")
+    assert X.article_blocks(page) == LONGER
+
+
+def test_link_lists_and_linked_quotations_of_the_article_stay():
+    page = WHOLE.format(f"<article>{BODY * 3}<ul><li><a href=a>Source one</a><li><a href=b>Source two</a></ul><blockquote><a href=c>A quotation that is one link, all of it.</a></blockquote>{BODY}<ul class=share-buttons><li><a>Share</a></ul></article>")
+    assert X.article_blocks(page) == [*PARAGRAPHS * 3, "Source one", "Source two", "A quotation that is one link, all of it.", *PARAGRAPHS]
+
+
+def test_parts_named_by_ordinary_words_stay():
+    parts = "".join(f"<section class='{c}'><p>{c} {LONGER[0]}</p></section>" for c in ("discussion", "share-price", "form-intro", "side-effects", "has-sidebar")) + f"<div id=related-work><p>id {LONGER[1]}</p></div>"
+    noise = "<div class='share-this'><p>Share this</p></div><div class=comments-area><p>" + LONGER[0] + "</p></div><div class=share-things-now><a>Go</a></div>"
+    for layout in ("<article>{}</article>", "<div>{}</div>"):
+        found = X.article_blocks(WHOLE.format(layout.format(f"<p>{LONGER[0]}</p>" + parts + noise)))
+        assert found == [LONGER[0], *(f"{c} {LONGER[0]}" for c in ("discussion", "share-price", "form-intro", "side-effects", "has-sidebar")), f"id {LONGER[1]}"]
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<svg><path d=1>", ""), ("<svg><title>x</title><g>", "<p>More, at the end of it.</p><svg></svg>"), ("<select><option>a", ""), ("<audio src=x>", ""), ("<noscript>", ""), ("<iframe src=y>", "")])
+def test_unclosed_embedded_elements_are_bounded(before, after):
+    found = X.article_blocks(WHOLE.format(f"<article>{before}{BODY * 3}{after}</article>"))
+    assert [p for p in found if p in PARAGRAPHS] == PARAGRAPHS * 3 and ("More, at the end of it." in found) == bool(after)
+
+
+def test_formulas_keep_their_text():
+    page = WHOLE.format(f"<article>{BODY}<p>It is <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation encoding=tex>E=m</annotation></math> there, as known.</p>{BODY}</article>")
+    assert "It is E=m there, as known." in X.article_blocks(page)
+
+
+def test_unclosed_inline_elements_take_time_in_proportion():
+    started = time.process_time()
+    page = "<font>" * 20_000 + "<p>x</p>" * 20_000
+    assert len(X.Page(page).blocks) == 20_000
+    assert time.process_time() - started < 5
+
+
 def test_blocks_and_references():
     page = "<article><h2>A &amp; B</h2><p>one<br>two\n  three&nbsp;four <b>bold</b><i>er</i> &lt;tag&gt;</p><ul><li>x, a longer item<li>y, another item</ul><pre>a\n b</pre><!-- no --><p></p></article>"
     assert X.article_blocks(page) == ["A & B", "one two three four bolder <tag>", "x, a longer item", "y, another item", "a b"]

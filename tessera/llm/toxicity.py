@@ -2,13 +2,15 @@
 
 A text's features are its different words and their beginnings of four and five characters (so a
 stem is known with endings never seen).  On a bounded sample of labelled rows the features whose
-log odds differ most between the classes (by the likelihood ratio) are chosen; a logistic regression with L1 and L2 penalties
+log odds differ most between the classes (by the likelihood ratio) are chosen, counted on the executors; a logistic regression with L1 and L2 penalties
 gets their weights.  Counterfactuals: in the sentences of the sample that mention a group, the
 identity term is replaced by every other term of its kind and left out, and the squared change of
 the sentence's score is penalised.  So a group's mention alone moves no score.
 
-The fit runs on the driver over the sample's chosen features only (``SAMPLE`` rows at most by
-expectation, documented bound); scoring is one pass over the whole texts with the weights sent to
+Features and swaps are counted once per sentence, so a sentence of any length takes time in
+proportion to it.  The fit runs on the driver over the sample's chosen features only (``SAMPLE`` rows
+at most by expectation, documented bound; of each row at most the ``FEATURES`` chosen and those of the
+identity terms, however long its text); scoring is one pass over the whole texts with the weights sent to
 the tasks, a table of at most ``FEATURES`` and the identity terms.
 
 Defined results: a null or empty text has no feature and scores as the intercept says; without
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import masked, unmasked
+from tessera.llm.common import masked, stored, unmasked
 from tessera.llm.labelled import held_out, labelled_sample
 
 SAMPLE = 8000
@@ -46,7 +48,7 @@ THRESHOLD = 0.7
 #: Pieces of text whose features a worker remembers; beyond that its memory starts anew.
 REMEMBERED = 200_000
 
-#: Identity terms by kind.
+#: Identity terms by kind, in English, German, French and Spanish.  Fixed values.
 IDENTITY: dict[str, list[str]] = {
     "gender": ["women", "men", "girls", "boys", "transgender", "nonbinary"],
     "person": ["woman", "man", "girl", "boy", "wife", "husband", "mother", "father"],
@@ -57,6 +59,27 @@ IDENTITY: dict[str, list[str]] = {
     "status": ["immigrants", "refugees", "foreigners", "natives", "citizens"],
     "ability": ["disabled", "deaf", "blind", "autistic"],
     "age": ["old", "young", "elderly"],
+    "person_de": ["frau", "mädchen", "junge", "mutter", "vater"],
+    "persons_de": ["frauen", "männer", "jungen"],
+    "believers_de": ["muslime", "christen", "juden", "buddhisten", "katholiken", "atheisten"],
+    "orientation_de": ["schwul", "lesbisch", "bisexuell", "homosexuell"],
+    "origin_de": ["afrikaner", "amerikaner", "asiaten", "araber", "türken", "chinesen", "polen"],
+    "status_de": ["einwanderer", "flüchtlinge", "ausländer", "einheimische"],
+    "ability_de": ["behinderte", "gehörlose", "blinde", "autisten"],
+    "person_fr": ["femme", "homme", "fille", "garçon", "épouse", "mari"],
+    "persons_fr": ["femmes", "hommes", "filles", "garçons"],
+    "believers_fr": ["musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "catholiques", "athées"],
+    "orientation_fr": ["lesbiennes", "homosexuels", "bisexuels"],
+    "origin_fr": ["africains", "américains", "asiatiques", "arabes", "turcs", "chinois", "polonais"],
+    "status_fr": ["immigrés", "réfugiés", "étrangers", "autochtones"],
+    "ability_fr": ["handicapés", "sourds", "aveugles", "autistes"],
+    "person_es": ["mujer", "hombre", "niña", "niño", "esposa", "marido"],
+    "persons_es": ["mujeres", "hombres", "niñas", "niños"],
+    "believers_es": ["musulmanes", "cristianos", "judíos", "hindúes", "budistas", "católicos", "ateos"],
+    "orientation_es": ["lesbianas", "homosexuales", "bisexuales"],
+    "origin_es": ["africanos", "americanos", "asiáticos", "árabes", "turcos", "chinos", "polacos"],
+    "status_es": ["inmigrantes", "refugiados", "extranjeros", "nativos"],
+    "ability_es": ["discapacitados", "sordos", "ciegos"],
 }
 _TERMS = frozenset(t for terms in IDENTITY.values() for t in terms)
 
@@ -92,15 +115,29 @@ Change = tuple[int, ...]
 
 
 def changes(text: str) -> Counter[Change]:
-    """How often each change of features occurs among the text's counterfactuals: f + 1 where a feature goes, -f - 1 where one comes."""
+    """How often each change of features occurs among the text's counterfactuals: f + 1 where a feature goes, -f - 1 where one comes.
+
+    A sentence's features are counted once; a swap then touches the features of two words only, and
+    equal terms of a sentence change it alike.
+    """
     found: Counter[Change] = Counter()
     for words in sentences(text):
-        if _TERMS.intersection(words):
-            base = all_features(words)
-            for other in counterfactuals(words):
-                new = all_features(other)
-                if change := (*sorted(f + 1 for f in base - new), *sorted(-f - 1 for f in new - base)):
-                    found[change] += 1
+        if not _TERMS.intersection(words):
+            continue
+        times = Counter(words)
+        held: Counter[int] = Counter()
+        for w, n in times.items():
+            for f in set(features_of(w)):
+                held[f] += n
+        for w in _TERMS.intersection(times):
+            mine = set(features_of(w))
+            last = {f for f in mine if held[f] == 1}
+            for terms in IDENTITY.values():
+                if w in terms:
+                    for other in (*(t for t in terms if t != w), None):
+                        new = set(features_of(other)) if other else set()
+                        if change := (*sorted(f + 1 for f in last - new), *sorted(-f - 1 for f in new if not held[f])):
+                            found[change] += times[w]
     return found
 
 
@@ -161,14 +198,15 @@ def fit(examples: Iterable[tuple[str, int, float]], strength: float = COUNTERFAC
     return fit_described(found, np.array(y), np.array(weight, float), pairs, strength)
 
 
-def fit_described(found: list[np.ndarray], y: np.ndarray, weight: np.ndarray, pairs: Counter[Change], strength: float = COUNTERFACTUAL) -> Model:
-    """A model from every text's features, labels, weights and all counterfactual changes."""
+def fit_described(found: list[np.ndarray], y: np.ndarray, weight: np.ndarray, pairs: Counter[Change], strength: float = COUNTERFACTUAL,
+                  chosen: np.ndarray | None = None) -> Model:
+    """A model from every text's features, labels, weights and all counterfactual changes; ``chosen``: the features to use, if known."""
     total, positive = float(weight.sum()), float((weight * y).sum())
     if not 0 < positive < total:
         share = np.clip(positive / total if total else 0.0, 1e-6, 1 - 1e-6)
         return Model(float(np.log(share / (1 - share))))
     changed = sorted({abs(f) - 1 for p in pairs for f in p})
-    names = np.union1d(_chosen(found, y), np.array(changed, np.uint32)).astype(np.uint32)
+    names = np.union1d(_chosen(found, y) if chosen is None else chosen, np.array(changed, np.uint32)).astype(np.uint32)
     n, m, width = len(found), len(pairs), len(names)
     l1, l2 = L1 / np.sqrt(n), L2 / np.sqrt(n)
     kept = [np.searchsorted(names, f[np.isin(f, names, assume_unique=True)]) for f in found]
@@ -222,30 +260,59 @@ def fit_described(found: list[np.ndarray], y: np.ndarray, weight: np.ndarray, pa
     return Model(float(b), {int(f): float(x) for f, x in zip(names, w, strict=True) if x})
 
 
-def trained(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
-    """A model of ``labels.toxic``; the driver gets the sample's feature hashes and counted changes, no text."""
+def _best_features(rows: DataFrame) -> np.ndarray:
+    """The features of the described ``rows`` that tell the classes apart best, as :func:`_chosen`, counted on the executors."""
+    of = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    of_a, of_b = float(of.get(1, 0)), float(of.get(0, 0))
+    if not of_a or not of_b:
+        return np.zeros(0, np.uint32)
+    held = rows.select("y", F.explode("features").alias("f")).groupBy("f").agg(F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b"))
+    held = held.where(F.col("a") + F.col("b") >= LEAST_DOCS)
+    n, a, b = of_a + of_b, F.col("a").cast("double"), F.col("b").cast("double")
+    both = a + b
+    cells = [(a, both * of_a / n), (b, both * of_b / n), (F.lit(of_a) - a, (F.lit(n) - both) * of_a / n), (F.lit(of_b) - b, (F.lit(n) - both) * of_b / n)]
+    parts = [x * F.log(F.greatest(x, F.lit(1e-12)) / F.greatest(e, F.lit(1e-12))) for x, e in cells]
+    ratio = 2 * (parts[0] + parts[1] + parts[2] + parts[3])
+    best = held.select("f", ratio.alias("g")).where(F.col("g") >= LEAST_RATIO).orderBy(F.round("g", 9).desc(), "f").limit(FEATURES)
+    return np.array([r["f"] for r in best.collect()], np.uint32)
+
+
+def trained(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE, strength: float = COUNTERFACTUAL) -> Model:
+    """A model of ``labels.toxic``; the driver gets the sample's chosen feature hashes and counted changes, no text."""
     sample = labelled_sample(documents, labels, "toxic", bound)
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             features, change, times = [], [], []
             for text in batch.column("text").to_pylist():
-                features.append(np.array(sorted(all_features(set(_WORDS.findall(text.lower())))), "<u4").tobytes())
+                features.append(sorted(all_features(set(_WORDS.findall(text.lower())))))
                 found = changes(text)
                 change.append([list(c) for c in found])
                 times.append(list(found.values()))
-            columns = [pa.array(features, pa.binary()), pa.array(change, pa.list_(pa.list_(pa.int64()))), pa.array(times, pa.list_(pa.int64()))]
+            columns = [pa.array(features, pa.list_(pa.int64())), pa.array(change, pa.list_(pa.list_(pa.int64()))), pa.array(times, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc", "y", "weight")), *columns], names=["doc", "y", "weight", "features", "changes", "times"])
 
-    rows = sample.mapInArrow(describe, "doc long, y int, weight double, features binary, changes array<array<long>>, times array<long>")
-    found, y, weight, pairs = [], [], [], Counter()
-    for r in sorted(rows.toLocalIterator(), key=lambda r: (r["doc"], bytes(r["features"]))):
+    ddl = "doc long, y int, weight double, features array<long>, changes array<array<long>>, times array<long>"
+    rows = stored(sample.mapInArrow(describe, ddl), "toxicity-sample")
+    chosen = _best_features(rows)
+    # the different changes are bounded by the identity terms, not by the texts
+    each = rows.select(F.explode(F.arrays_zip("changes", "times")).alias("e")).groupBy("e.changes").agg(F.sum("e.times").alias("n"))
+    pairs: Counter[Change] = Counter({tuple(r["changes"]): r["n"] for r in each.collect()})
+    names = np.union1d(chosen, np.array(sorted({abs(f) - 1 for p in pairs for f in p}), np.uint32)).astype(np.uint32)
+    sent = documents.sparkSession.sparkContext.broadcast(names)
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [np.intersect1d(np.array(f, np.uint32), sent.value).astype("<u4").tobytes() for f in batch.column("features").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc", "y", "weight")), pa.array(kept, pa.binary())], names=["doc", "y", "weight", "features"])
+
+    few = rows.select("doc", "y", "weight", "features").mapInArrow(cut, "doc long, y int, weight double, features binary")
+    found, y, weight = [], [], []
+    for r in sorted(few.toLocalIterator(), key=lambda r: (r["doc"], bytes(r["features"]))):
         found.append(np.frombuffer(r["features"], "<u4"))
         y.append(r["y"])
         weight.append(r["weight"])
-        for c, t in zip(r["changes"], r["times"], strict=True):
-            pairs[tuple(c)] += t
-    return fit_described(found, np.array(y, int), np.array(weight, float), pairs)
+    return fit_described(found, np.array(y, int), np.array(weight, float), pairs, strength, chosen)
 
 
 def scored(documents: DataFrame, model: Model, carried: list[str] | None = None, text_col: str = "text") -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -46,6 +47,70 @@ def test_swaps():
     assert X.counterfactuals("no group here".split()) == []
 
 
+def plain_changes(text):
+    """Every swap as a sentence of its own, its features compared with the sentence's."""
+    found = X.Counter()
+    for words in X.sentences(text):
+        base = X.all_features(words)
+        for other in X.counterfactuals(words):
+            new = X.all_features(other)
+            if change := (*sorted(f + 1 for f in base - new), *sorted(-f - 1 for f in new - base)):
+                found[change] += 1
+    return found
+
+
+def test_changes_against_plain_swaps():
+    rng = random.Random(8)
+    terms = sorted(X._TERMS)
+    for _ in range(60):
+        words = [rng.choice(terms if rng.random() < 0.4 else [*FILLER, "womanly", "menu", "older"]) for _ in range(rng.randint(1, 25))]
+        text = " ".join(w + rng.choice(["", "", "", "."]) for w in words)
+        assert X.changes(text) == plain_changes(text)
+
+
+def test_long_sentences_take_time_in_proportion():
+    rng = random.Random(2)
+    terms = sorted(X._TERMS)
+    text = " ".join([terms[0], *(rng.choice(terms[1:]) for _ in range(20_000))])
+    started = time.process_time()
+    assert X.changes(text)
+    assert time.process_time() - started < 1
+
+
+@pytest.mark.parametrize("group", ["muslims", "flüchtlinge", "musulmans", "extranjeros"])
+def test_penalty_acts_through_the_query(spark, documents, table, group):
+    """Sentences on a group, toxic by their label only: with the penalty the group's name moves a score less."""
+    more = [(10_000_000 + k, f"word{k % 7} {group} word{k % 11} and {'vermin ' if k % 2 else ''}more.", k % 2) for k in range(300)]
+    more += [(20_000_000 + k, f"word{k % 7} word{k % 11} and {group if k % 10 else ''} scum more.", 1) for k in range(300)]
+    more += [(30_000_000 + k, f"word{k % 7} word{k % 11} and more.", 0) for k in range(300)]
+    docs = documents.select("doc_id", "text").unionByName(spark.createDataFrame([m[:2] for m in more], "doc_id long, text string"))
+    labels = table("labels").select("doc_id", "toxic").unionByName(spark.createDataFrame([(m[0], m[2]) for m in more], "doc_id long, toxic int"))
+    fair, plain = X.trained(docs, labels), X.trained(docs, labels, strength=0.0)
+    gap = lambda m: abs(m.score_words(["word1", group]) - m.score_words(["word1"]))
+    assert gap(fair) < 0.25 * gap(plain)
+    neutral = spark.createDataFrame([(1, f"word1 {group} word2")], "doc_id long, text string")
+    assert X.scored(neutral, fair).first().score < X.scored(neutral, plain).first().score
+
+
+def test_chosen_features_are_those_of_the_plain_count(documents, table):
+    seen = {}
+    real = X.fit_described
+
+    def spy(found, y, weight, pairs, strength, chosen):
+        seen["chosen"] = chosen
+        return real(found, y, weight, pairs, strength, chosen)
+
+    X.fit_described = spy
+    try:
+        X.trained(documents, table("labels"))
+    finally:
+        X.fit_described = real
+    rows = X.labelled_sample(documents, table("labels"), "toxic", X.SAMPLE).collect()
+    found = [np.array(sorted(X.all_features(X._WORDS.findall(r.text.lower()))), np.uint32) for r in rows]
+    plain = X._chosen(found, np.array([r.y for r in rows]))
+    assert set(seen["chosen"].tolist()) == set(plain.tolist())
+
+
 def test_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
     rows = X.op9_toxicity(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()

@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ from tessera.functions.timeuuid import (  # noqa: E402
 from tessera.functions.vectors import dense_cosine, dot, long_dot, sparse  # noqa: E402
 from tessera.operators.metrics import best_candidate, join_actual_predicted, rmse  # noqa: E402
 from tessera.operators.positional import cycled_zip, global_row_number  # noqa: E402
-from tessera.plans import content, recommend, transactions  # noqa: E402
+from tessera.plans import content, factors, recommend, text_index, transactions  # noqa: E402
 from tessera.session import ensure_shared_dir, fresh_path  # noqa: E402
 from tessera.sources import files, fixtures, generate, ranked_store, tables  # noqa: E402
 
@@ -55,7 +56,14 @@ GIVEN_DOC = 1
 GIVEN_VECTOR = 0
 GIVEN_USER = 1
 SPLIT_SEED = 42
-CHECKED_RANKS = (4, 6)
+CHECKED_RANK = 4
+# the benchmark tables are one unsplittable file each: documents are spread before they are tokenized
+TEXT_PARTITIONS = 32
+HOT_PARTS = 64
+FOLD_TOLERANCE = 1e-9
+FIT_TOLERANCE = 1e-3  # the fit's factors are 32-bit
+SCORE_TOLERANCE = 1e-4
+SUSPICIOUS_BUCKETED = replace(tables.SUSPICIOUS, storage_buckets=16)
 # ---------------------------------------------------------------------------------
 
 
@@ -191,25 +199,25 @@ def q_positional_join(spark, d):
 
 
 def q_tokens(spark, d):
-    return content.document_terms(_Tables(spark, d).docs)
+    return content.document_terms(_Tables(spark, d).docs, num_partitions=TEXT_PARTITIONS)
 
 
 def q_idf_terms(spark, d):
     docs = _Tables(spark, d).docs
-    terms = content.document_terms(docs)
+    terms = content.document_terms(docs, num_partitions=TEXT_PARTITIONS)
     idf = content.inverse_document_frequency(terms, content.document_count(docs))
     return idf.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 def q_tfidf_norms(spark, d):
     docs = _Tables(spark, d).docs
-    norms = content.tfidf_norms(docs, content.tfidf_terms(docs, nonzero=True))
+    norms = content.tfidf_norms(docs, content.tfidf_terms(docs, nonzero=True, num_partitions=TEXT_PARTITIONS))
     return norms.select("id", F.round("norm", 6).alias("norm"))
 
 
 def _similar(spark, d, method):
     docs = _Tables(spark, d).docs
-    out = content.similar_documents(docs, GIVEN_DOC, k=None, method=method)
+    out = content.similar_documents(docs, GIVEN_DOC, k=None, method=method, num_partitions=TEXT_PARTITIONS)
     return out.select("id", F.round("similarity", 6).alias("similarity"), "description", "lang", "source", "n_chars")
 
 
@@ -224,7 +232,7 @@ def q_similar_documents_hashed(spark, d):
 def q_similar_documents_top20(spark, d):
     """K3: the twenty most similar documents, as the programme showed them."""
     docs = _Tables(spark, d).docs
-    out = content.similar_documents(docs, GIVEN_DOC, k=20)
+    out = content.similar_documents(docs, GIVEN_DOC, k=20, num_partitions=TEXT_PARTITIONS)
     return out.select("id", F.round("similarity", 6).alias("similarity"), "description", "lang", "source", "n_chars")
 
 
@@ -303,7 +311,7 @@ def q_random_split(spark, d):
 
 def q_als_rank_check(spark, d):
     """M4 + A4: of each rank the pairs scored, and that no rank has a smaller RMSE than the chosen one."""
-    best, results = recommend.select_best_rank(_Tables(spark, d).ratings, ranks=CHECKED_RANKS, seed=SPLIT_SEED)
+    best, results = recommend.select_best_rank(_Tables(spark, d).ratings, ranks=recommend.RANKS, seed=SPLIT_SEED)
     least = results.where(F.col("rank") == best).select("rmse").scalar()
     return results.select("rank", "n_scored", (F.col("rmse") >= least).alias("not_below_chosen"))
 
@@ -315,7 +323,7 @@ def _factor_dot(a: str, b: str):
 def q_als_scored_pairs(spark, d):
     """The test pairs the model scores, and that each score is the dot of its two factors."""
     train, test = recommend.deterministic_split(_Tables(spark, d).ratings)
-    model = recommend.fit_als(train, CHECKED_RANKS[0], seed=SPLIT_SEED)
+    model = recommend.fit_als(train, CHECKED_RANK, seed=SPLIT_SEED)
     scored = join_actual_predicted(test, recommend.predict(model, test.select("user_id", "item")), ["user_id", "item"])
     users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("uf"))
     items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("vf"))
@@ -328,7 +336,7 @@ def q_als_new_user_top(spark, d):
     t = _Tables(spark, d)
     known = t.movies.select(F.col("movieId").alias("item"))  # rated films without a title could fill places of the ten
     new = fixtures.new_user_ratings(spark).join(known, "item", "left_semi")
-    model = recommend.add_user_and_fit(t.ratings, new, CHECKED_RANKS[0], seed=SPLIT_SEED)
+    model = recommend.add_user_and_fit(t.ratings, new, CHECKED_RANK, seed=SPLIT_SEED)
     top = recommend.top_n_for_users(model, new.select("user_id"), t.movies)
     given = model.userFactors.where(F.col("id") == fixtures.NEW_USER_ID).select("features").scalar()
     scores = model.itemFactors.withColumn("uf", given).select("id", _factor_dot("uf", "features").alias("score"))
@@ -437,7 +445,7 @@ def q_tokens_with_stop_word_file(spark, d):
     spark.createDataFrame([(w,) for w in POLISH], "value string").coalesce(1).write.text(path)
     others = spark.createDataFrame([(w,) for w in ENGLISH + EXTRA], "word string")
     words = files.read_word_list(spark, path).unionByName(others)
-    return content.document_terms(_Tables(spark, d).docs, stop_words=words)
+    return content.document_terms(_Tables(spark, d).docs, stop_words=words, num_partitions=TEXT_PARTITIONS)
 
 
 def q_county_statistics_sql(spark, d):
@@ -494,6 +502,104 @@ def q_table_truncate_refill(spark, d):
     return tables.read_keyed(spark, tables.TRANSACTIONS, path).withColumn("rows_after_truncate", F.lit(emptied).cast("bigint"))
 
 
+def q_transactions_upserted(spark, d):
+    """Transactions stored, then a second write that changes some of them and adds others."""
+    ensure_shared_dir(spark)
+    path = fresh_path(spark, "transactions-upserted")
+    tx = _Tables(spark, d).tx
+    tables.replace_table(tx.where("amount % 5 <> 0"), tables.TRANSACTIONS, path)
+    tables.upsert_table(tx.where("month <= 3").withColumn("amount", F.col("amount") + 1), tables.TRANSACTIONS, path)
+    return files.read_table(spark, path, spec=tables.TRANSACTIONS)
+
+
+def q_suspicious_upserted(spark, d):
+    """S9 + R3: the report written in two halves to a table in hash buckets; of a customer's rows the latest stays."""
+    ensure_shared_dir(spark)
+    t = _Tables(spark, d)
+    path = fresh_path(spark, "suspicious-upserted")
+    report = transactions.suspicious_transactions(t.tx, t.lost)
+    for half in (0, 1):
+        tables.upsert_table(report.where(F.abs("amount") % 2 == half), SUSPICIOUS_BUCKETED, path, by_order=True)
+    return tables.read_keyed(spark, SUSPICIOUS_BUCKETED, path)
+
+
+def q_ranked_store_rescored(spark, d):
+    """Every film twice in one write, then a third of them with new scores; each film once, with its last."""
+    ensure_shared_dir(spark)
+    t = _Tables(spark, d)
+    path = fresh_path(spark, "ranked-rescored")
+    films = _rated_films(t)
+    twice = films.unionByName(films.withColumn("rating", F.col("rating") - 0.5))
+    ranked_store.write_ranked(twice, path, scope="user", batch=1)
+    rescored = films.where("movieId % 3 = 0").withColumn("rating", F.lit(6.0) - F.col("rating"))
+    ranked_store.write_ranked(rescored, path, scope="merge", batch=2, num_buckets=16)
+    return ranked_store.read_ranked(spark, path, t.ratings.select("user_id"), k=10)
+
+
+def q_suspicious_hot_card(spark, d):
+    """The lost-card report when one lost card holds a third of the transactions."""
+    t = _Tables(spark, d)
+    hot = t.lost.agg(F.min("card")).scalar()
+    tx = t.tx.withColumn("_hot", hot).withColumn("card", F.when(F.col("amount") % 3 == 0, F.col("_hot")).otherwise(F.col("card")))
+    return transactions.suspicious_transactions(tx.drop("_hot"), t.lost, parts=HOT_PARTS)
+
+
+def _model(ratings):
+    train, _ = recommend.deterministic_split(ratings)
+    return train, recommend.fit_als(train, CHECKED_RANK, seed=SPLIT_SEED)
+
+
+def q_als_normal_equations(spark, d):
+    """M2: every user's factor of the fit solves its normal equations against the item factors."""
+    train, model = _model(_Tables(spark, d).ratings)
+    users, items = factors.factor_table(model.userFactors, "user_id"), factors.factor_table(model.itemFactors, "item")
+    found = factors.normal_equation_residuals(train, users, items)
+    return found.select("user_id", "n_ratings", (F.col("residual") < FIT_TOLERANCE).alias("solved"))
+
+
+def q_als_fold_in(spark, d):
+    """M5: every user's factor folded in from all their ratings against the item factors of a fit on part of them."""
+    ratings = _Tables(spark, d).ratings
+    _, model = _model(ratings)
+    folded = factors.fold_in(model, ratings).select("user_id", "factor")
+    found = factors.normal_equation_residuals(ratings, folded, factors.factor_table(model.itemFactors, "item"))
+    return found.select("user_id", "n_ratings", (F.col("residual") < FOLD_TOLERANCE).alias("solved"))
+
+
+def q_als_all_users_top(spark, d):
+    """K1, M6: ten best films of all users by pruned search; each place scores as in the model's own list."""
+    ensure_shared_dir(spark)
+    _, model = _model(_Tables(spark, d).ratings)
+    users, items = factors.factor_table(model.userFactors, "user_id"), factors.factor_table(model.itemFactors, "item")
+    mine = factors.top_n_all(users, items, recommend.TOP_N)
+    own = model.recommendForAllUsers(recommend.TOP_N).select("user_id", F.posexplode("recommendations").alias("k", "r"))
+    own = own.select("user_id", (F.col("k") + 1).alias("rank"), F.col("r.rating").alias("own"))
+    met = mine.join(own, ["user_id", "rank"])
+    return met.groupBy("user_id").agg(F.count(F.lit(1)).alias("places"), F.min(F.abs(F.col("score") - F.col("own")) < SCORE_TOLERANCE).alias("same_scores"))
+
+
+def q_idf_incremental(spark, d):
+    """Document frequencies recorded in three batches, a part of the documents removed again."""
+    ensure_shared_dir(spark)
+    path = fresh_path(spark, "frequencies")
+    docs = _Tables(spark, d).docs
+    for batch in range(3):
+        text_index.record_documents(docs.where(F.col("id") % 3 == batch), path, batch, num_partitions=TEXT_PARTITIONS)
+    text_index.record_documents(docs.where("id % 7 = 0"), path, 3, removed=True, num_partitions=TEXT_PARTITIONS)
+    return text_index.fitted_idf(spark, path).select("term", "df", F.round("idf", 6).alias("idf"))
+
+
+def q_similar_documents_indexed(spark, d):
+    """The given document's similarities from the postings of its own terms."""
+    ensure_shared_dir(spark)
+    docs = _Tables(spark, d).docs
+    base = fresh_path(spark, "text-index")
+    idf = text_index.fitted_idf(spark, text_index.record_documents(docs, f"{base}/frequencies", 1, num_partitions=TEXT_PARTITIONS))
+    text_index.write_index(docs, f"{base}/index", idf, num_partitions=TEXT_PARTITIONS)
+    found = text_index.indexed_similarity(spark, f"{base}/index", docs.where(F.col("id") == GIVEN_DOC), idf, k=None)
+    return found.select("id", F.round("similarity", 6).alias("similarity"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fixture_transactions": q_fixture_transactions,
     "balance": q_balance,
@@ -544,6 +650,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balance_from_store": q_balance_from_store,
     "county_statistics_from_store": q_county_statistics_from_store,
     "suspicious_with_customer_from_store": q_suspicious_with_customer_from_store,
+    "transactions_upserted": q_transactions_upserted,
+    "suspicious_upserted": q_suspicious_upserted,
+    "ranked_store_rescored": q_ranked_store_rescored,
+    "suspicious_hot_card": q_suspicious_hot_card,
+    "als_normal_equations": q_als_normal_equations,
+    "als_fold_in": q_als_fold_in,
+    "als_all_users_top": q_als_all_users_top,
+    "idf_incremental": q_idf_incremental,
+    "similar_documents_indexed": q_similar_documents_indexed,
 }
 
 
@@ -898,7 +1013,7 @@ select vec_id, {', '.join(f'round({sql}, 6) as {name}' for name, sql in _PRODUCT
     "als_rank_check": f"""with {_RATINGS}, {_RANDOM_SPLIT},
 n as (select count(*) as n_scored from rs where part = 'test' and user_id in (select user_id from rs where part = 'train')
       and item in (select item from rs where part = 'train'))
-select cast(unnest([{', '.join(map(str, CHECKED_RANKS))}]) as int) as rank, n_scored, true as not_below_chosen from n""",
+select cast(unnest([{', '.join(map(str, recommend.RANKS))}]) as int) as rank, n_scored, true as not_below_chosen from n""",
     "als_scored_pairs": f"""with {_RATINGS}, {_SPLIT}
 select user_id, item, rating, true as is_dot from te
 where user_id in (select user_id from tr) and item in (select item from tr)""",
@@ -908,6 +1023,23 @@ where user_id in (select user_id from tr) and item in (select item from tr)""",
     "table_truncate_refill": f"""with {_TX}
 select customerid, year, month, id, amount, card, status, {_us_sql('id')} as event_us, cast(0 as bigint) as rows_after_truncate
 from tx where status = 'COMPLETED'""",
+    "transactions_upserted": f"""with {_TX}
+select customerid, year, month, id, case when month <= 3 then amount + 1 else amount end as amount, card, status, {_us_sql('id')} as event_us
+from tx where month <= 3 or amount % 5 <> 0""",
+    "suspicious_upserted": _ORACLES["suspicious_stored"],
+    "ranked_store_rescored": _ten_best_sql("(select user_id, item, title, case when item % 3 = 0 then 6.0::double - rating else rating end as rating from rated)"),
+    "suspicious_hot_card": f"""with {_TX}, {_LOST},
+hot_tx as (select customerid, id, amount, case when amount % 3 = 0 then (select min(card) from lost) else card end as card from tx)
+select t.customerid, t.card, t.id, t.amount, l.reported_at from hot_tx t join lost l on t.card = l.card
+where {_us_sql('t.id')} >= epoch_us(cast(l.reported_at as timestamp))""",
+    "als_normal_equations": f"with {_RATINGS}, {_SPLIT} select user_id, count(*) as n_ratings, true as solved from tr group by user_id",
+    "als_fold_in": f"""with {_RATINGS}, {_SPLIT}
+select user_id, count(*) as n_ratings, true as solved from ratings_v where item in (select item from tr) group by user_id""",
+    "als_all_users_top": f"""with {_RATINGS}, {_SPLIT}
+select user_id, least({recommend.TOP_N}, (select count(distinct item) from tr)) as places, true as same_scores from (select distinct user_id from tr)""",
+    "idf_incremental": _ORACLES["idf_terms"].replace(_TOKENS, _TOKENS.replace("from documents) x", "from documents where doc_id % 7 <> 0) x"))
+        .replace("select count(doc_id) from documents", "select count(doc_id) from documents where doc_id % 7 <> 0"),
+    "similar_documents_indexed": f"select id, similarity from ({_ORACLES['similar_documents']})",
     "ratings_file_roundtrip": _ORACLES["ratings"],
     "movies_csv_roundtrip": 'select cast(p_partkey as int) as "movieId", p_name as title, p_type as genre from part',
     "documents_csv_roundtrip": "select doc_id as id, text as description, lang, source, n_chars from documents",

@@ -11,6 +11,8 @@ broadcasting it is bounded by the number of ranges, not by the data.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,9 @@ from tessera.session import shuffle_partitions
 #: Sampled keys for each range: more make the ranges more even.
 SAMPLE_PER_RANGE = 32
 
+# types whose values JSON keeps exactly
+_JSON_KINDS = {"string", "bigint", "int", "smallint", "tinyint", "boolean", "double"}
+
 Order = list[tuple[str, bool]]
 
 
@@ -75,7 +80,12 @@ def with_range(df: DataFrame, order_by, splitters: list, name: str) -> DataFrame
     order = _order(order_by)
     schema = df.select(*[c for c, _ in order]).schema
     struct = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in schema.fields)
-    constant = df.sparkSession.createDataFrame([(splitters,)], f"s array<struct<{struct}>>").select("s").scalar()
+    kind = f"array<struct<{struct}>>"
+    if all(f.dataType.simpleString() in _JSON_KINDS for f in schema.fields):
+        text = json.dumps([{f.name: v for f, v in zip(schema.fields, key, strict=True)} for key in splitters])
+        constant = F.from_json(F.lit(text), kind)  # folded to a constant of the plan
+    else:
+        constant = df.sparkSession.createDataFrame([(splitters,)], f"s {kind}").select("s").scalar()
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(splitters).bit_length()))])
 
     def halve(at: Column, step: Column) -> Column:

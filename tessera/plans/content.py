@@ -95,6 +95,7 @@ def tfidf_terms(
     min_doc_freq: int = MIN_DOC_FREQ,
     num_features: int = NUM_FEATURES,
     nonzero: bool = False,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """M8 (exact) / M7 (hashed) in long form: ``(id, term, tf, df, idf, weight)``.
 
@@ -104,7 +105,7 @@ def tfidf_terms(
     if method not in ("exact", "hashed"):
         raise ValueError("method must be 'exact' or 'hashed'")
     buckets = num_features if method == "hashed" else None
-    terms = document_terms(docs, id_col, text_col, stop_words, buckets)
+    terms = document_terms(docs, id_col, text_col, stop_words, buckets, num_partitions)
     idf = inverse_document_frequency(terms, document_count(docs, id_col), min_doc_freq)
     if nonzero:
         idf = idf.where(F.col("idf") != 0)
@@ -156,6 +157,7 @@ def similar_documents(
     stop_words=None,
     method: str = "exact",
     num_features: int = NUM_FEATURES,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """M9: documents with their cosine similarity to ``given_id``.
 
@@ -167,7 +169,7 @@ def similar_documents(
     before any text moves.  ``k=None`` returns every row, unsorted.  The given
     document has similarity 1 (exact duplicates of it too).
     """
-    weights = tfidf_terms(docs, id_col, text_col, stop_words, method, num_features=num_features, nonzero=True)
+    weights = tfidf_terms(docs, id_col, text_col, stop_words, method, num_features=num_features, nonzero=True, num_partitions=num_partitions)
     scores = similarity_scores(weights, given_id)
     sim = F.coalesce(F.col("similarity"), F.lit(0.0)).alias("similarity")
     named = docs.withColumnRenamed(id_col, "id") if id_col != "id" else docs

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tessera.sources.tables import TableSpec, read_keyed
 
 MOVIES_SCHEMA = "movieId int, title string, genre string"
 LOST_CARDS_SCHEMA = "card string, status string, reported_at string"
@@ -35,7 +38,7 @@ def read_ratings(spark: SparkSession, path: str, header: str | None = None) -> D
     )
 
 
-def _strict_csv(spark: SparkSession, path: str, schema: str, drop_malformed: bool, **options) -> DataFrame:
+def _strict_csv(spark: SparkSession, path: str, schema: str | StructType, drop_malformed: bool, **options) -> DataFrame:
     """CSV whose bad lines (a value of another type, fields missing or left over) raise, or are dropped on request.
 
     Column pruning is off: the parser would not look at fields nobody reads.
@@ -57,14 +60,15 @@ def read_movies(spark: SparkSession, path: str, drop_malformed: bool = False) ->
     return films.where(has_id if drop_malformed else has_id | F.raise_error(F.lit("film line without an id")).cast("boolean"))
 
 
-def read_documents(spark: SparkSession, path: str, schema: str | None = None, **options) -> DataFrame:
-    """S3: documents CSV with a header; pass ``schema`` to avoid an inference pass."""
-    reader = spark.read.option("header", True)
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    if schema:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", True).csv(path)
+def read_documents(spark: SparkSession, path: str, schema: str | None = None, drop_malformed: bool = False, **options) -> DataFrame:
+    """S3: documents CSV with a header; a bad line (a value of another type, fields missing or left over) raises
+    unless ``drop_malformed``.  Pass ``schema`` to avoid an inference pass; ``options`` go to the CSV reader."""
+    if schema is None:
+        reader = spark.read.option("header", True).option("inferSchema", True)
+        for k, v in options.items():
+            reader = reader.option(k, v)
+        schema = reader.csv(path).schema
+    return _strict_csv(spark, path, schema, drop_malformed, header=True, **options)
 
 
 def read_lost_cards(spark: SparkSession, path: str, drop_malformed: bool = False) -> DataFrame:
@@ -77,9 +81,17 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("word"))
 
 
-def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Scan a stored table; Catalyst prunes to the named columns."""
-    df = spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None, spec: TableSpec | str | None = None) -> DataFrame:
+    """Scan a stored table; only the named columns are read.
+
+    ``spec`` is a :class:`TableSpec` or a DDL schema.  With it nothing is
+    inferred, so an empty table reads too, and the columns have the declared
+    order and types; without it the schema comes from the files.
+    """
+    if isinstance(spec, TableSpec):
+        return read_keyed(spark, spec, path, columns)
+    reader = spark.read.schema(spec) if spec else spark.read
+    df = reader.parquet(path)
     return df.select(*columns) if columns else df
 
 

@@ -5,14 +5,21 @@ The reference kept each user's top list in a sorted set under the key
 flushing the *whole* store before each write.  Here the store is an
 append-only Parquet table:
 
-* rows ``(buckets, bucket, user_id, key, score, member, batch)``,
+* rows ``(buckets, bucket, user_id, key, score, member, batch, movie_id, replaces)``,
   directory-partitioned by ``buckets``, the writer's bucket count, and ``bucket
   = pmod(xxhash64(user_id), buckets)`` - bounded directory count however many
   users there are.  The count is stored with the data, so a reader needs no
   setting and writes with different counts may share a store;
-* ``scope="user"`` appends a new ``batch``; a read takes each user's latest
-  batch, so writing one user's list replaces only that user's list;
+* ``scope="user"`` appends a new ``batch`` that replaces the lists of the users in it;
+* ``scope="merge"`` appends a batch that adds to the users' lists: a film already
+  there gets the new score, others join it;
 * ``scope="all"`` overwrites everything (the reference's flush).
+
+A list is a set, as a sorted set is: every film once, with its last score.  A
+write keeps a film's best score where its rows repeat one; a read takes the
+user's latest replacing batch and the merged ones after it, and of each film
+the latest batch's row.  Both are first-row windows that Spark limits to one
+row per key and task before the shuffle.
 """
 
 from __future__ import annotations
@@ -23,21 +30,26 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.keyed import top_k_per_group
+from tessera.operators.keyed import dedupe_by_key, top_k_per_group
 from tessera.session import shuffle_partitions
 
 # --- fixed values -------------------------------------------------------------
 KEY_PREFIX = "cfr:movie:"
 MEMBER_SCHEMA = "movieId int, title string, rating double"
-STORE_SCHEMA = "user_id int, key string, score double, member string, batch bigint, buckets int, bucket int"
+STORE_SCHEMA = "user_id int, key string, score double, member string, batch bigint, movie_id int, replaces boolean, buckets int, bucket int"
 # -------------------------------------------------------------------------------
 DEFAULT_BUCKETS = 64
-
+# as a sorted set's reverse range: score, then member text, both descending
 
 def _bucket(user, buckets):
     return F.pmod(F.xxhash64(user.cast("int")), buckets).cast("int")
 
 
+def _best() -> list:
+    """The order of a sorted set's reverse range: score, then member text, both descending."""
+    return [F.col("score").desc(), F.col("member").desc()]
+
+
 def write_ranked(
     df: DataFrame,
     path: str,
@@ -45,14 +57,17 @@ def write_ranked(
     batch: int | None = None,
     user_col: str = "user_id",
     num_buckets: int = DEFAULT_BUCKETS,
+    keep: int | None = None,
 ) -> str:
     """Store each user's ``(movieId, title, rating)`` rows as a ranked list.
 
-    ``df`` holds one row per (user, film).  The member is the JSON of the film
-    (F14) and the score its rating.
+    The member is the JSON of the film (F14) and the score its rating.  A
+    film's rows collapse to the one of highest score.  With ``keep`` only each
+    user's ``keep`` best films are written: enough for reads of up to that many as long as
+    later batches only add films or raise scores.
     """
-    if scope not in ("user", "all"):
-        raise ValueError("scope must be 'user' or 'all'")
+    if scope not in ("user", "merge", "all"):
+        raise ValueError("scope must be 'user', 'merge' or 'all'")
     batch = time.time_ns() if batch is None else batch
     rows = df.select(
         F.lit(num_buckets).alias("buckets"),
@@ -68,7 +83,12 @@ def write_ranked(
             )
         ).alias("member"),
         F.lit(batch).cast("bigint").alias("batch"),
+        F.col("movieId").cast("int").alias("movie_id"),
+        F.lit(scope != "merge").alias("replaces"),
     )
+    rows = dedupe_by_key(rows, ["user_id", "movie_id"], _best())
+    if keep is not None:
+        rows = top_k_per_group(rows, "user_id", _best(), keep, None)
     # each bucket is cut into `slices` by a second, independent hash, so there
     # are about as many writer tasks as shuffle partitions (not just one per
     # bucket), each task writes about one file, and no sampling pass
@@ -110,31 +130,38 @@ def read_ranked(
         stored = stored.where(F.col("user_id").isin(ids) & reduce(lambda a, b: a | b, places, F.lit(False)))
     current = _latest_lists(stored)
     parsed = current.select("user_id", "score", "member", F.from_json("member", MEMBER_SCHEMA).alias("m"))
-    top = top_k_per_group(parsed, "user_id", [F.col("score").desc(), F.col("member").desc()], k)
+    top = top_k_per_group(parsed, "user_id", _best(), k)
     return top.select("user_id", "rank", "m.movieId", "m.title", "m.rating")
 
 
 def _latest_lists(stored: DataFrame) -> DataFrame:
-    """Rows of each user's latest batch.
+    """The current rows of each user: every film once, from the latest batch that names it.
 
-    The latest batch per user is a grouped max (partially aggregated, so a
-    user rewritten many times costs one row per task), joined back on
-    (user, batch) - a key that spreads that user's old batches over tasks.
+    A user's live batches are the latest replacing one and those after it: a
+    grouped max per user and the distinct (user, batch) pairs, both partially
+    aggregated, so a user rewritten many times costs a row per batch and task.
+    They are joined back on (user, batch) - a key that spreads that user's
+    old batches over tasks.
     """
-    latest = stored.groupBy("user_id").agg(F.max("batch").alias("batch"))
-    return stored.join(latest, ["user_id", "batch"], "left_semi")
+    replaces = F.coalesce("replaces", F.lit(True))
+    batches = stored.groupBy("user_id", "batch").agg(F.max(replaces).alias("_replaces"))
+    since = batches.groupBy("user_id").agg(F.max(F.when(F.col("_replaces"), F.col("batch"))).alias("_since"))
+    live = batches.join(since, "user_id").where(F.col("_since").isNull() | (F.col("batch") >= F.col("_since")))
+    rows = stored.join(live.select("user_id", "batch"), ["user_id", "batch"], "left_semi")
+    film = F.coalesce("movie_id", F.from_json("member", MEMBER_SCHEMA)["movieId"])
+    return dedupe_by_key(rows.withColumn("_film", film), ["user_id", "_film"], [F.col("batch").desc(), *_best()]).drop("_film")
 
 
 def compact_ranked(spark: SparkSession, path: str, out_path: str, num_buckets: int = DEFAULT_BUCKETS,
-                   batch: int | None = None) -> str:
-    """Rewrite the store at ``path`` into ``out_path`` keeping only each user's latest list.
+                   batch: int | None = None, keep: int | None = None) -> str:
+    """Rewrite the store at ``path`` into ``out_path`` keeping only each user's current list, ``keep`` films of it.
 
-    ``scope="user"`` writes append a batch per write; compaction bounds what a
-    read has to skip.  Readers switch to ``out_path`` afterwards (a path the
+    ``scope="user"`` and ``"merge"`` writes append a batch per write; compaction bounds what a
+    read has to merge.  Readers switch to ``out_path`` afterwards (a path the
     plan reads cannot be overwritten by the same plan).
     """
     current = _latest_lists(spark.read.schema(STORE_SCHEMA).parquet(path))
     films = current.select(
         "user_id", F.from_json("member", MEMBER_SCHEMA).alias("m")
     ).select("user_id", "m.movieId", "m.title", "m.rating")
-    return write_ranked(films, out_path, scope="all", batch=batch, num_buckets=num_buckets)
+    return write_ranked(films, out_path, scope="all", batch=batch, num_buckets=num_buckets, keep=keep)

@@ -68,7 +68,10 @@ def read_documents(spark: SparkSession, path: str, schema: str | None = None, dr
         for k, v in options.items():
             reader = reader.option(k, v)
         schema = reader.csv(path).schema
-    return _strict_csv(spark, path, schema, drop_malformed, header=True, **options)
+    docs = _strict_csv(spark, path, schema, drop_malformed, header=True, **options)
+    typed = [c for c, kind in docs.dtypes if kind != "string"]
+    # true of every row; makes the reader look at the typed fields also when nobody selects them
+    return docs.where(F.xxhash64(*typed) >= F.lit(-(1 << 63))) if typed else docs
 
 
 def read_lost_cards(spark: SparkSession, path: str, drop_malformed: bool = False) -> DataFrame:
@@ -90,8 +93,10 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     """
     if isinstance(spec, TableSpec):
         return read_keyed(spark, spec, path, columns)
-    reader = spark.read.schema(spec) if spec else spark.read
-    df = reader.parquet(path)
+    if spec:
+        declared = spark.read.schema(spec)
+        return declared.parquet(path).select(*(columns or StructType.fromDDL(spec).names))
+    df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
 
 

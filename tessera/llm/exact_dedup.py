@@ -164,13 +164,30 @@ def _fold_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fold_entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    index = CuckooIndex()
+    """Entries ordered by digest: inserted, then those without a size deleted.  All rows of a digest stand together, so an
+    index of ``FLUSH_ENTRIES`` entries is given out and started anew at the next digest: memory stays bounded."""
+    index, retired, last = CuckooIndex(), [], None
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in _ARROW.names), strict=True):
-            index.add(*row)
+            if row[0] != last and len(index) + len(retired) >= FLUSH_ENTRIES:
+                for digest in retired:
+                    index.delete(digest)
+                yield from index.batches()
+                index, retired = CuckooIndex(), []
+            last = row[0]
+            if row[2] is None:
+                retired.append(row[0])
+            else:
+                index.add(*row)
+    for digest in retired:
+        index.delete(digest)
     yield from index.batches()
 
 
+def _folded(entries: DataFrame) -> DataFrame:
+    return entries.repartition("digest").sortWithinPartitions("digest").mapInArrow(_fold_entries, ENTRY_DDL)
+
+
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, digest) of every row."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
@@ -180,13 +197,13 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The index of ``docs``: one row per live digest (digest, keep_id, group_size, n_keep)."""
     partial = digests(docs, id_col, text_col).mapInArrow(_fold_rows, ENTRY_DDL)
-    return partial.repartition("digest").mapInArrow(_fold_entries, ENTRY_DDL)
+    return _folded(partial)
 
 
 def insert(index: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``index`` with the rows of ``docs`` folded in."""
     new = digests(docs, id_col, text_col).mapInArrow(_fold_rows, ENTRY_DDL)
-    return index.unionByName(new).repartition("digest").mapInArrow(_fold_entries, ENTRY_DDL)
+    return _folded(index.unionByName(new))
 
 
 def delete(index: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -195,19 +212,7 @@ def delete(index: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFra
     gone = docs.select(F.unhex(F.sha2(text, 256)).alias("digest")).distinct()
     none = [F.lit(None).cast("long").alias(c) for c in ("keep_id", "group_size", "n_keep")]
 
-    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        live, retired = CuckooIndex(), []
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in _ARROW.names), strict=True):
-                if row[2] is None:
-                    retired.append(row[0])
-                else:
-                    live.add(*row)
-        for digest in retired:
-            live.delete(digest)
-        yield from live.batches()
-
-    return index.unionByName(gone.select("digest", *none)).repartition("digest").mapInArrow(apply, ENTRY_DDL)
+    return _folded(index.unionByName(gone.select("digest", *none)))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -84,3 +84,20 @@ def test_live_index(spark):
     assert sorted((r.keep_id, r.group_size) for r in index.collect()) == [(2, 1), (4, 1), (9, 3)]
     left = X.delete(index, spark.createDataFrame([("a",), ("never seen",), (None,)], "text string"))
     assert sorted((r.keep_id, r.group_size) for r in left.collect()) == [(2, 1), (4, 1)]
+
+
+def test_index_of_bounded_size(spark, documents, monkeypatch):
+    """A task's index starts anew between digests; insertion and deletion stay whole."""
+    monkeypatch.setattr(X, "FLUSH_ENTRIES", 5)
+    more = documents.unionByName(documents.limit(30))
+    expected = Counter((r.doc_id, r.text or "") for r in more.collect())
+    rows = Counter(tuple(r) for r in X.build_index(more).select("keep_id", "group_size").collect())
+    sizes, keep = Counter(), {}
+    for (doc, text), n in expected.items():
+        sizes[text] += n
+        keep[text] = max(doc, keep.get(text, doc))
+    assert rows == Counter((keep[t], sizes[t]) for t in sizes)
+    index = X.stored(X.build_index(more), "bounded-index")
+    left = X.delete(index, documents.where("doc_id % 2 = 0"))
+    gone = {r.text or "" for r in documents.where("doc_id % 2 = 0").collect()}
+    assert left.count() == len(set(sizes) - gone)

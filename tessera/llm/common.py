@@ -36,7 +36,9 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str, tot
     heavy = groups.where(F.col(weight) * HEAVY_SHARE > total)
     heavy = heavy.select(*keys, *[F.col(c).alias(f"_hv_{c}") for c in extra], F.lit(True).alias("_hv"))
     light = groups.where(F.col(weight) * HEAVY_SHARE <= total)
-    light = light.select(*keys, *[F.col(c).alias(f"_lt_{c}") for c in extra], F.lit(0).cast("long").alias("_salt"))
+    # always 0, but no constant: the optimizer would take a constant out of the join's keys, and heavy rows would meet in one task
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("long").alias("_salt")
+    light = light.select(*keys, *[F.col(c).alias(f"_lt_{c}") for c in extra], zero)
     met = rows.join(F.broadcast(heavy), keys, "left")
     met = met.withColumn("_salt", F.when(F.col("_hv"), F.pmod(F.xxhash64(spread), F.lit(100003)) + 1).otherwise(F.lit(0)).cast("long"))
     met = met.join(light, [*keys, "_salt"], "left")

@@ -21,8 +21,9 @@ from tessera.session import shuffle_partitions
 #: Sampled keys for each range: more make the ranges more even.
 SAMPLE_PER_RANGE = 32
 
+_INTEGERS = {"bigint", "int", "smallint", "tinyint"}
 # types whose values JSON keeps exactly
-_JSON_KINDS = {"string", "bigint", "int", "smallint", "tinyint", "boolean", "double"}
+_JSON_KINDS = {"string", "boolean", "double", *_INTEGERS}
 
 Order = list[tuple[str, bool]]
 
@@ -43,10 +44,16 @@ def _sorting(order: Order) -> list[Column]:
 def range_splitters(df: DataFrame, order_by, ranges: int) -> list:
     """At most ``ranges`` - 1 keys (rows of the order's columns) that cut ``df`` into about equal ranges.
 
-    A sample of about ``SAMPLE_PER_RANGE`` keys for each range, drawn by a
-    hash of the key, is sorted by Spark; the driver sees the sample only.
+    One integer column has a quantile sketch, one pass over it.  For other keys
+    a sample of about ``SAMPLE_PER_RANGE`` of them for each range, drawn by a
+    hash of the key, is sorted by Spark.  The driver sees the sketch's or the sample's keys only.
     """
     order = _order(order_by)
+    (name, down), *more = order
+    if not more and dict(df.dtypes)[name] in _INTEGERS:
+        shares = [k / ranges for k in range(1, ranges)]
+        cuts = df.agg(F.percentile_approx(name, shares, SAMPLE_PER_RANGE * ranges)).first()[0] if shares else None
+        return [(c,) for c in sorted(set(cuts or ()), reverse=down)]
     keys = df.select(*[c for c, _ in order])
     total = keys.count()
     unit = F.shiftrightunsigned(F.xxhash64(*keys.columns), 11) / float(1 << 53)
@@ -101,9 +108,9 @@ def global_row_number(df: DataFrame, order_by, name: str = "rn", num_partitions:
     """1-based position of each row under ``order_by`` (names or (name, "asc" | "desc"); must be a total order).
 
     Equivalent to ``row_number() over (order by ...)`` but never funnels the
-    data through one task, and writes nothing: two reads of the order's columns
-    (a sample, the counts) and one shuffle of the rows.  Drawing the
-    splitters runs two small jobs when called; the numbering itself is lazy.
+    data through one task, and writes nothing: reads of the order's columns
+    (for the splitters and the counts) and one shuffle of the rows.  Drawing the
+    splitters runs a small job or two when called; the numbering itself is lazy.
     ``df`` is evaluated for each of these reads, so an input that is costly to
     compute should be stored first.
     Rows with equal keys fall into one range, as only a total order has a

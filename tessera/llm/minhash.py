@@ -332,7 +332,7 @@ def _classes(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _group_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(root, node, n, members, sketch) of the nodes in ``wanted`` (th, root, node), from one text each."""
+    """(root, node, n, members, sketch) of the nodes in ``wanted`` (th, root, node, w: rows of the node), from one text each."""
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingle_set(t.as_py(), shingle) for t in batch.column("text")]
@@ -341,7 +341,9 @@ def _group_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
                 pa.array([f.tobytes() for f in found], pa.binary()), pa.array([odd_sketch(samples(f)).tobytes() for f in found], pa.binary()),
             ], names=["root", "node", "n", "members", "sketch"])
 
-    met = _given(docs, id_col, text_col).select("th", "text").join(wanted, "th")
+    total = wanted.agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
+    met = attach(_given(docs, id_col, text_col).select("th", "tie", "text"), wanted, ["th"], "w", total, F.col("tie")).where("node is not null")
+    # copies of a text are one row a task before the shuffle
     once = met.groupBy("th", "root", "node").agg(F.first("text").alias("text")).select("root", "node", "text")
     return once.mapInArrow(work, "root long, node long, n long, members binary, sketch binary")
 
@@ -349,7 +351,7 @@ def _group_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
 def verified_links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Links (u, v) between nodes, confirmed on full sets, that connect what the threshold connects."""
     roots = components(candidates(nodes.select("node", "n", "bands", "sketch")))
-    wanted = nodes.select("node", "th").join(roots, "node").select("th", "root", "node")
+    wanted = stored(nodes.select("node", "th", "w").join(roots, "node").select("th", "root", "node", "w"), "wanted-texts")
     members = stored(_group_sets(docs, wanted, id_col, text_col, shingle), "group-sets")
     sizes = members.groupBy("root").agg(F.sum("n").alias("_all"))
     large = stored(sizes.where(F.col("_all") > GROUP_SHINGLES).select("root"), "large-roots")
@@ -372,7 +374,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     full = rows.where("n > 0")
     sets = stored(full.groupBy("high", "low").agg(F.min("key").alias("node"), F.min("doc").alias("least"), F.count(F.lit(1)).alias("w")), "distinct-sets")
     one = full.select(F.col("key").alias("node"), "th", "n", "bands", "sketch")
-    nodes = stored(one.join(sets.select("node"), "node", "left_semi"), "set-nodes")
+    nodes = stored(one.join(sets.select("node", "w"), "node"), "set-nodes")
     roots = components(verified_links(docs, nodes, id_col, text_col, shingle))
     rooted = stored(sets.join(roots, "node", "left").select("high", "low", "least", "w", F.coalesce("root", "node").alias("root")), "set-roots")
     least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("w").alias("_all")), "set-components")

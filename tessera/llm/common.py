@@ -11,6 +11,8 @@ from tessera.session import fresh_path
 #: Groups with more than 1/HEAVY_SHARE of all weight are "heavy": by definition there are
 #: fewer than HEAVY_SHARE of them, whatever the size of the input, so they may be broadcast.
 HEAVY_SHARE = 1000
+#: Copies of one row that stay in one task when repeated rows are counted.
+COPIES = 4096
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,8 +48,16 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str, tot
     return met.select(*rows.columns, *picked)
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """The distinct rows of ``df`` with _copies, how often each occurs; a row with more than COPIES
+    copies is several rows, told apart by _chunk, so copies of one row can spread over tasks."""
+    whole = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    cut = whole.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n - 1) div {COPIES}"))))
+    return cut.withColumn("_copies", F.least(F.lit(COPIES), F.col("_n") - F.col("_chunk") * COPIES)).drop("_n")
+
+
 def numbered(df: DataFrame, part: Column, order: list[str], group: str, alias: str) -> DataFrame:
-    """``df`` with a gapless number from 0 within each value of ``group``.
+    """Rows of ``counted`` with the number of their first copy, gapless from 0 within each value of ``group``.
 
     Rows are numbered inside small parts (``part``: a hash bucket, or a range) by ``order``; the
     parts' counts, one row each, are summed up in the order of the parts.  No task sees more than
@@ -55,14 +65,20 @@ def numbered(df: DataFrame, part: Column, order: list[str], group: str, alias: s
     """
     by = [group, "_part"]
     parted = df.withColumn("_part", part)
-    counts = parted.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    counts = parted.groupBy(*by).agg(F.sum("_copies").alias("_held"))
     before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select(*by, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = W.partitionBy(*by).orderBy(*order)
-    ranked = parted.withColumn("_rank", F.row_number().over(inside) - 1)
+    starts = counts.select(*by, F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_start"))
+    inside = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    ranked = parted.withColumn("_rank", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
     return ranked.join(starts, by).withColumn(alias, F.col("_start") + F.col("_rank")).drop("_part", "_rank", "_start")
 
 
+def each_copy(df: DataFrame, first: str) -> DataFrame:
+    """Every copy of the rows of ``counted``, numbered on from the column ``first``."""
+    numbers = F.explode(F.sequence(F.col(first), F.col(first) + F.col("_copies") - 1))
+    return df.withColumn(first, numbers).drop("_chunk", "_copies")
+
+
 def masked(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with its columns renamed c0_, c1_, ..., so none clashes with an operator's own; and the names."""
     names = {c: f"c{k}_" for k, c in enumerate(df.columns)}

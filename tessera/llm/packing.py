@@ -14,7 +14,8 @@ length's count with as few configurations as possible:
 3. Rounding: floors of the fractional solution, then full configurations while all their
    lengths last; what is left is placed best-fit decreasing, by whole groups of equal bins.
 4. The k-th piece of each length takes the k-th place for that length.  Places are a table of
-   runs (bounded by configurations x lengths); pieces are numbered within their length in parts.
+   runs (bounded by configurations x lengths); pieces are numbered within their length in parts,
+   and pieces equal in every column are counted, not carried, until they have their numbers.
 
 The driver sees the histogram and the runs only, whose sizes depend on the capacity alone.
 
@@ -32,16 +33,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import numbered, stored
+from tessera.llm.common import counted, each_copy, numbered, stored
 from tessera.llm.tokens import pieces, vocabulary_path
 
 SEQUENCE = 2048
-#: Rounds: so many for a full histogram, more for few lengths, which are cheap and need them.
-LEAST_ROUNDS, MOST_ROUNDS, ROUNDS_BY_LENGTHS = 60, 300, 60_000
+ROUNDS = 100
 DECAY = 3.0
 SLACK = 0.02
-#: Parts in which the pieces of one length are numbered.
-PARTS = 256
+#: Pieces of one length are numbered in parts: at least so many, and one for so many pieces of the commonest length.
+PARTS, PART_ROWS = 256, 100_000
 
 
 def _knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,13 +127,12 @@ def _best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tupl
     return [(n, c) for groups in room.values() for n, c in groups]
 
 
-def plan(histogram: dict[int, int], capacity: int = SEQUENCE) -> list[tuple[int, tuple[int, ...]]]:
+def plan(histogram: dict[int, int], capacity: int = SEQUENCE, rounds: int = ROUNDS) -> list[tuple[int, tuple[int, ...]]]:
     """How many sequences of which lengths: [(how many, lengths)]."""
     if not histogram:
         return []
     lengths = np.array(sorted(histogram))
     counts = np.array([histogram[int(n)] for n in lengths])
-    rounds = min(MOST_ROUNDS, max(LEAST_ROUNDS, ROUNDS_BY_LENGTHS // len(lengths)))
     x = solve(lengths, counts, capacity, rounds)
     order = sorted(x.items(), key=lambda c: (-int(lengths[list(c[0])].sum()), -c[1], c[0]))
     full = [(c, np.inf) for c, _ in order if lengths[list(c)].sum() == capacity]
@@ -161,12 +160,13 @@ def _places(runs: list[tuple[int, tuple[int, ...]]]) -> tuple[np.ndarray, np.nda
     return tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int64),) * 4
 
 
-def pack(parts: DataFrame, capacity: int = SEQUENCE, order: tuple[str, ...] = ("doc_id", "piece", "ids_crc32")) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = SEQUENCE, order: tuple[str, ...] = ("doc_id", "piece", "ids_crc32"), rounds: int = ROUNDS) -> DataFrame:
     """``parts`` (column ``length`` from 1 to ``capacity``; read several times) with sequence_id and offset."""
     histogram = {int(r["length"]): int(r["n"]) for r in parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    places = _places(plan(histogram, capacity))
-    part = F.pmod(F.xxhash64(*order), F.lit(PARTS))
-    ranked = numbered(parts, part, list(order), group="length", alias="_number")
+    places = _places(plan(histogram, capacity, rounds))
+    part = F.pmod(F.xxhash64(*order, "_chunk"), F.lit(max(PARTS, -(-max(histogram.values(), default=0) // PART_ROWS))))
+    by = [*order, *[c for c in parts.columns if c not in order], "_chunk"]
+    ranked = each_copy(numbered(counted(parts), part, by, group="length", alias="_number"), "_number")
     sent = parts.sparkSession.sparkContext.broadcast(places)
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields)
     names = parts.columns

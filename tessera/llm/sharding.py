@@ -8,7 +8,7 @@ all rows or bytes is subdivided, each of its ids being a unit.
 2. Its weighted quantiles split the order into ``RANGES`` ranges; ranges found overfull are
    subdivided by a denser sample of their own, until they are small or one unit.
 3. Inside each range, running sums place every unit exactly; the ranges' own totals (a bounded
-   table) give where each range starts.
+   table) give where each range starts.  Rows repeating id and text are counted, not carried.
 4. A unit goes to the shard in which the middle of its bytes falls.  So shards differ from equal
    size by at most the units at their two ends, half of each.
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import masked, stored
+from tessera.llm.common import counted, each_copy, masked, stored
 
 SHARDS = 16
 RANGES = 1024
@@ -137,10 +137,12 @@ def sharded(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_
     placed = stored(placed.select("h", "sub", "first_row", "shard"), "shard-places")
     firsts = placed.groupBy("shard").agg(F.min("first_row").alias("shard_row"))  # one row a shard
     placed = placed.join(F.broadcast(firsts), "shard").select("h", "sub", "shard", (F.col("first_row") - F.col("shard_row")).alias("at"))
-    inside = W.partitionBy("h", "sub").orderBy("doc_id", "size", "text_crc32")
-    ranked = rows.withColumn("_k", F.row_number().over(inside) - 1)
-    out = ranked.join(placed, ["h", "sub"])
-    return out.select("doc_id", "size", "text_crc32", "h", "shard", (F.col("at") + F.col("_k")).cast("long").alias("slot"))
+    # rows repeating id and text are counted, spread in chunks, and only then rows again
+    inside = W.partitionBy("h", "sub").orderBy("doc_id", "size", "text_crc32", "_chunk").rowsBetween(W.unboundedPreceding, -1)
+    ranked = counted(rows).withColumn("_k", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
+    out = ranked.join(placed, ["h", "sub"]).withColumn("slot", F.col("at") + F.col("_k"))
+    out = each_copy(out.repartition("h", "sub", "doc_id", "_chunk"), "slot")
+    return out.select("doc_id", "size", "text_crc32", "h", "shard", F.col("slot").cast("long").alias("slot"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> None:

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from tessera.llm import common
 from tessera.llm import packing as X
 from tessera.llm.tokens import WordIds, vocabulary_path
 
@@ -98,3 +99,30 @@ def test_a_full_memory_starts_anew(tokenizer, monkeypatch):
     words = WordIds(vocabulary_path())
     text = "one two three four five, six seven one two!"
     assert np.frombuffer(words.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_repeated_row_is_spread_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(common, "COPIES", 100)
+    rows = [(7, 0, 0, 5, 9)] * 3000 + [(k, 0, 0, 5 + k % 90, k) for k in range(500)]
+    parts = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    one = common.counted(parts)
+    assert max(r["_copies"] for r in one.collect()) == 100 and one.where("doc_id = 7 and ids_crc32 = 9").count() == 30
+    packed = X.pack(parts, 100).collect()
+    assert Counter(tuple(r)[:5] for r in packed) == Counter(rows)
+    held = defaultdict(list)
+    for r in packed:
+        held[r.sequence_id].append((r.offset, r.length))
+    for places in held.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 100
+
+
+def test_more_parts_for_a_common_length(spark, monkeypatch):
+    monkeypatch.setattr(X, "PARTS", 1)
+    monkeypatch.setattr(X, "PART_ROWS", 10)
+    parts = spark.createDataFrame([(k, 0, 0, 50, k) for k in range(200)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    packed = X.pack(parts, 100).collect()
+    assert Counter((r.sequence_id, r.offset) for r in packed) == Counter((k, o) for k in range(100) for o in (0, 50))

@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+from tessera.llm import common
 from tessera.llm import sharding as X
 
 
@@ -71,3 +72,9 @@ def test_written_shards(spark, awkward, tmp_path):
     for r in back.select("_shard", "_slot").collect():
         slots[r["_shard"]].append(r["_slot"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_a_row_repeated_for_a_third_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(common, "COPIES", 100)
+    rows = [(5, "the same row")] * 2000 + [(None, None)] * 1000 + [(k, f"text {k}") for k in range(3000)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"))

@@ -55,6 +55,8 @@ CROWD = 4096
 GROUP_SHINGLES = 4_000_000
 #: Nodes of a large group that are compared with all others at first: a spread sample, then the central ones.
 PROBES = 32
+#: Bits that mark the texts wanted again (at most 8 MB to every executor, whatever the input), and bits of one stored piece.
+MARKS, MARKED = 1 << 26, 1 << 15
 
 _RNG = np.random.default_rng(SEED)
 _MULTIPLY = _RNG.integers(0, 1 << 63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -331,6 +333,20 @@ def _classes(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.select("root", "node", "n").join(found, "node", "left").select("root", "node", "n", F.coalesce("_cls", "node").alias("cls"))
 
 
+def _likely(given: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``given`` whose text may be wanted (column th of both), so the other texts are not shuffled.
+
+    Each wanted hash marks one of MARKS bits; a row goes whose bit is not marked.  Rows marked by chance
+    stay until the join: with very many wanted texts all do, and nothing but time is lost.
+    """
+    bit = F.pmod("th", F.lit(MARKS))
+    piece, place = F.floor(bit / MARKED).cast("int").alias("_piece"), (bit % MARKED).alias("_place")
+    marks = wanted.select(piece, place).groupBy("_piece").agg(F.bitmap_construct_agg("_place").alias("_marks"))
+    met = given.select("*", piece, place).join(F.broadcast(marks), "_piece")  # at most MARKS / MARKED rows of 4 KB
+    marked = "shiftright(cast(conv(hex(substring(_marks, cast(_place div 8 as int) + 1, 1)), 16, 10) as int), cast(_place % 8 as int)) & 1 = 1"
+    return met.where(marked).select(*given.columns)
+
+
 def _group_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(root, node, n, members, sketch) of the nodes in ``wanted`` (th, root, node, w: rows of the node), from one text each."""
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +358,8 @@ def _group_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
             ], names=["root", "node", "n", "members", "sketch"])
 
     total = wanted.agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
-    met = attach(_given(docs, id_col, text_col).select("th", "tie", "text"), wanted, ["th"], "w", total, F.col("tie")).where("node is not null")
+    given = _likely(_given(docs, id_col, text_col).select("th", "tie", "text"), wanted)
+    met = attach(given, wanted, ["th"], "w", total, F.col("tie")).where("node is not null")
     # copies of a text are one row a task before the shuffle
     once = met.groupBy("th", "root", "node").agg(F.first("text").alias("text")).select("root", "node", "text")
     return once.mapInArrow(work, "root long, node long, n long, members binary, sketch binary")

@@ -122,3 +122,13 @@ def test_sketch_distance_follows_similarity():
         if share == 0.8:
             assert max(seen) <= X.MAX_ONES
     assert means[0] == 0 and means == sorted(means) and means[-1] > X.MAX_ONES
+
+
+def test_no_wanted_text_is_left_out(spark, monkeypatch):
+    monkeypatch.setattr(X, "MARKS", 1 << 17)
+    rows = [(7919 * k - (1 << 62) + k * k * (1 << 33), k) for k in range(20_000)]
+    given = spark.createDataFrame(rows, "th long, k int").repartition(4)
+    wanted = given.where("k % 10 = 3").select("th")
+    kept = {r.k for r in X._likely(given, wanted).collect()}
+    assert {k for k in range(3, 20_000, 10)} <= kept and len(kept) < 4500
+    assert X._likely(given, wanted.where("false")).count() == 0

@@ -25,11 +25,11 @@ import itertools
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import counted, each_copy, masked, stored
+from tessera.llm.common import counted, each_copy, masked, numbered, stored, unmasked
 
 SHARDS = 16
 RANGES = 1024
@@ -39,6 +39,8 @@ OVERFULL = 256
 TOO_HEAVY = 8
 SEED = 42
 MAX_SUBDIVISIONS = 16
+#: Slots of one shard that one task numbers when rows are written.
+PART_SLOTS = 1 << 16
 
 Splitters = list[tuple[int, int]]
 
@@ -145,15 +147,29 @@ def sharded(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_
     return out.select("doc_id", "size", "text_crc32", "h", "shard", F.col("slot").cast("long").alias("slot"))
 
 
+def _nth(df: DataFrame, part: Column, order: list[str]) -> DataFrame:
+    """``df`` with _same (id and text, columns _i and _h) and _k, a row's number among those with the same; one task
+    numbers the rows of one ``part`` only."""
+    same = F.struct(F.coalesce("_i", F.lit(0)).alias("i"), F.col("_i").isNull().alias("none"), F.col("_h").alias("h"))
+    return numbered(df.select("*", same.alias("_same"), F.lit(1).cast("long").alias("_copies")), part, order, "_same", "_k")
+
+
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """``docs`` as Parquet, one folder a shard (``_shard=k``), with ``_slot``."""
+    """``docs`` as Parquet, one folder a shard (``_shard=k``), with ``_slot``.
+
+    The rows are stored once under a number; only the numbers meet the slots.  Rows that repeat id and text are
+    told apart by their place in the stored parts, so however many they are, no task numbers all of them.
+    """
     hidden, names = masked(docs)
     text = F.coalesce(F.col(names[text_col]).cast("string"), F.lit(""))
-    rows = hidden.select("*", F.col(names[id_col]).cast("long").alias("_i"), F.xxhash64(text).alias("_h"))
-    rows = rows.withColumn("_k", F.row_number().over(W.partitionBy("_i", "_h").orderBy("_h")))
-    places = sharded(docs, shards, id_col, text_col).select(F.col("doc_id").alias("_pi"), F.col("h").alias("_ph"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    places = places.withColumn("_pk", F.row_number().over(W.partitionBy("_pi", "_ph").orderBy("_slot")))
-    met = rows.join(places, (F.col("_h") == F.col("_ph")) & F.col("_i").eqNullSafe(F.col("_pi")) & (F.col("_k") == F.col("_pk")))
+    keys = [F.col(names[id_col]).cast("long").alias("_i"), F.xxhash64(text).alias("_h"), F.monotonically_increasing_id().alias("_u")]
+    rows = stored(hidden.select("*", *keys), "shard-input")
+    places = sharded(unmasked(rows, names), shards, id_col, text_col)
+    places = stored(places.select(F.col("doc_id").alias("_i"), F.col("h").alias("_h"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot")), "shard-slots")
+    given = _nth(rows.select("_i", "_h", "_u"), F.shiftright("_u", 33), ["_u"]).select("_same", "_k", "_u")
+    part = F.col("_shard").cast("long") * (1 << 40) + F.expr(f"_slot div {PART_SLOTS}")
+    to = _nth(places, part, ["_shard", "_slot"]).select("_same", "_k", "_shard", "_slot")
+    met = rows.join(given.join(to, ["_same", "_k"]).select("_u", "_shard", "_slot"), "_u")
     met.select(*[F.col(n).alias(c) for c, n in names.items()], "_shard", "_slot").write.partitionBy("_shard").parquet(path)
 
 

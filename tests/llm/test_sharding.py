@@ -78,3 +78,26 @@ def test_a_row_repeated_for_a_third_of_the_table(spark, monkeypatch):
     monkeypatch.setattr(common, "COPIES", 100)
     rows = [(5, "the same row")] * 2000 + [(None, None)] * 1000 + [(k, f"text {k}") for k in range(3000)]
     check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_written_copies_of_one_id_and_text(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(X, "PART_SLOTS", 100)
+    rows = [(5, "the same row", k % 7) for k in range(1500)] + [(None, None, 0)] * 500 + [(k, f"text {k}", k) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note long").repartition(4)
+    X.write_shards(docs, f"file://{tmp_path}/out", 4)
+    back = spark.read.parquet(f"file://{tmp_path}/out")
+    assert Counter(map(tuple, back.select(*docs.columns).collect())) == Counter(rows)
+    places = Counter((r["_shard"], r["_slot"]) for r in back.collect())
+    held = Counter(shard for shard, _ in places)
+    assert set(places.values()) == {1} and sum(held.values()) == len(rows)
+    assert all(set(s for k, s in places if k == shard) == set(range(n)) for shard, n in held.items())
+
+
+def test_rows_of_one_id_and_text_are_numbered_in_parts(spark):
+    rows = [(1, 7, k) for k in range(600)] + [(None, 7, k) for k in range(600, 900)] + [(0, 7, 900)]
+    df = spark.createDataFrame(rows, "_i long, _h long, _u long")
+    found = X._nth(df, X.F.expr("_u div 50"), ["_u"])
+    by = defaultdict(list)
+    for r in found.collect():
+        by[r["_i"]].append(r["_k"])
+    assert {i: sorted(k) for i, k in by.items()} == {1: list(range(600)), None: list(range(300)), 0: [0]}

@@ -23,6 +23,8 @@ merge as in a hashed term-frequency vector.  The idf table then has at most
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame
@@ -36,6 +38,8 @@ MIN_DOC_FREQ = 2
 NUM_FEATURES = 1 << 20  # MLlib HashingTF default size
 # similarities equal to this many decimals are ties (summation-order noise)
 TIE_DECIMALS = 12
+# text one task tokenizes and counts: its hash maps hold all (document, term) pairs of it
+TEXT_BYTES_A_PARTITION = 8 << 20
 # -------------------------------------------------------------------------------
 
 
@@ -54,7 +58,7 @@ def document_terms(
     only distinct (document, term) pairs cross the shuffle.  Rows without an
     id cannot be matched to anything and are skipped.  The scan's splits give
     the tasks; an input in few splits (one unsplittable file) can be spread by
-    document id over ``num_partitions``.  ``stop_words`` may be a DataFrame
+    document id over ``num_partitions`` (:func:`text_partitions` says how many).  ``stop_words`` may be a DataFrame
     with a column ``word`` of any length.
     """
     docs = docs.where(F.col(id_col).isNotNull())
@@ -66,6 +70,16 @@ def document_terms(
     return tokens.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def text_partitions(docs: DataFrame, text_col: str = "description", least: int = 1) -> int:
+    """Partitions to spread ``docs`` over before they are tokenized: as many as their text needs, at least ``least``.
+
+    One pass over the text column adds up its bytes, so a task's share is bounded
+    however large the corpus is and however well its files are compressed.
+    """
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(least, math.ceil(size / TEXT_BYTES_A_PARTITION))
+
+
 def document_count(docs: DataFrame, id_col: str = "id") -> Column:
     """N for the IDF, as a scalar subquery (evaluated once, no join): the documents with an id, as in the terms."""
     return docs.select(F.count(F.col(id_col))).scalar()

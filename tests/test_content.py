@@ -114,3 +114,19 @@ def test_top_k_runs_no_job_until_asked(spark):
     content.similar_documents(docs, 1, k=5)
     assert list(tracker.getJobIdsForGroup("lazy-top-k")) == []
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_partitions_grow_with_the_text(spark, scratch, monkeypatch):
+    import __spark_entry__ as E
+
+    rows = [(i, "word " * 200, "en", "web", 1000) for i in range(99)] + [(99, None, "en", "web", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{scratch}/documents.parquet")
+    docs = _docs(spark, scratch)
+    assert content.text_partitions(docs) == 1 and content.text_partitions(docs.where("id = 99"), least=3) == 3
+    monkeypatch.setattr(content, "TEXT_BYTES_A_PARTITION", 1000)
+    assert content.text_partitions(docs, least=32) == 99  # 99 texts of 1000 bytes
+    # a task of the query holds a few texts, not a thirty-second of them all
+    for query in (E.q_tokens, E.q_tokens_with_stop_word_file):
+        held = query(spark, scratch).groupBy(F.spark_partition_id().alias("p")).count().where("count > 0")
+        assert held.count() > E.TEXT_PARTITIONS
+    assert E.q_idf_terms(spark, scratch).collect() == [("word", 99, round(math.log(101 / 100), 6))]

@@ -70,8 +70,6 @@ def write_ranked(
         raise ValueError("scope must be 'user', 'merge' or 'all'")
     batch = time.time_ns() if batch is None else batch
     rows = df.select(
-        F.lit(num_buckets).alias("buckets"),
-        _bucket(F.col(user_col), F.lit(num_buckets)).alias("bucket"),
         F.col(user_col).cast("int").alias("user_id"),
         F.concat(F.lit(KEY_PREFIX), F.col(user_col).cast("string")).alias("key"),
         F.col("rating").cast("double").alias("score"),
@@ -82,10 +80,10 @@ def write_ranked(
                 F.col("rating").cast("double").alias("rating"),
             )
         ).alias("member"),
-        F.lit(batch).cast("bigint").alias("batch"),
         F.col("movieId").cast("int").alias("movie_id"),
-        F.lit(scope != "merge").alias("replaces"),
     )
+    if dict(df.dtypes)[user_col] == "int":  # the key follows from the id, so it need not be shuffled
+        rows = rows.withColumn("key", F.lit(None))
     rows = dedupe_by_key(rows, ["user_id", "movie_id"], _best())
     if keep is not None:
         rows = top_k_per_group(rows, "user_id", _best(), keep, None)
@@ -95,12 +93,19 @@ def write_ranked(
     # re-evaluates the (possibly expensive) input as range partitioning would;
     # rows sorted by user let min/max statistics prune reads
     slices = max(1, shuffle_partitions(df.sparkSession) // num_buckets)
-    rows = rows.withColumn("_slice", F.pmod(F.xxhash64(F.col("user_id"), F.lit("slice")), F.lit(slices)))
-    rows = (
-        rows.repartition(num_buckets * slices, "bucket", "_slice")
-        .sortWithinPartitions("bucket", "user_id")
-        .drop("_slice")
-    )
+    bucket = _bucket(F.col("user_id"), F.lit(num_buckets))
+    rows = rows.repartition(num_buckets * slices, bucket, F.pmod(F.xxhash64(F.col("user_id"), F.lit("slice")), F.lit(slices)))
+    rows = rows.select(
+        F.lit(num_buckets).alias("buckets"),
+        bucket.alias("bucket"),
+        "user_id",
+        F.coalesce("key", F.concat(F.lit(KEY_PREFIX), F.col("user_id").cast("string"))).alias("key"),
+        "score",
+        "member",
+        F.lit(batch).cast("bigint").alias("batch"),
+        "movie_id",
+        F.lit(scope != "merge").alias("replaces"),
+    ).sortWithinPartitions("bucket", "user_id")
     mode = "overwrite" if scope == "all" else "append"
     rows.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("buckets", "bucket").parquet(path)
     return path
@@ -119,37 +124,39 @@ def read_ranked(
     column.  Ties are ordered by member text, descending, as a sorted set's
     reverse range does.  Unknown users give no rows.
     """
-    stored = spark.read.schema(STORE_SCHEMA).parquet(path)
+    stored, wanted = spark.read.schema(STORE_SCHEMA).parquet(path), None
     if isinstance(users, DataFrame):
         wanted = users.select(F.col(user_col).cast("int").alias("user_id")).distinct()
-        stored = stored.join(wanted, "user_id", "left_semi")
     else:
         ids = [int(users)] if isinstance(users, int) else [int(u) for u in users]
         # a bucket predicate over the directory columns alone: partition pruning
         places = [F.col("bucket") == _bucket(F.lit(u), F.col("buckets")) for u in ids]
         stored = stored.where(F.col("user_id").isin(ids) & reduce(lambda a, b: a | b, places, F.lit(False)))
-    current = _latest_lists(stored)
-    parsed = current.select("user_id", "score", "member", F.from_json("member", MEMBER_SCHEMA).alias("m"))
-    top = top_k_per_group(parsed, "user_id", _best(), k)
-    return top.select("user_id", "rank", "m.movieId", "m.title", "m.rating")
+    current = _latest_lists(stored, wanted).select("user_id", "score", "member")
+    top = top_k_per_group(current, "user_id", _best(), k)
+    parsed = top.select("user_id", "rank", F.from_json("member", MEMBER_SCHEMA).alias("m"))
+    return parsed.select("user_id", "rank", "m.movieId", "m.title", "m.rating")
 
 
-def _latest_lists(stored: DataFrame) -> DataFrame:
+def _latest_lists(stored: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """The current rows of each user: every film once, from the latest batch that names it.
 
     A user's live batches are the latest replacing one and those after it: a
-    grouped max per user and the distinct (user, batch) pairs, both partially
-    aggregated, so a user rewritten many times costs a row per batch and task.
-    They are joined back on (user, batch) - a key that spreads that user's
-    old batches over tasks.
+    grouped max per user, partially aggregated, so a user rewritten many times
+    is a row per task there.  ``wanted`` (user_id, distinct) asks for some users
+    and comes in by the same join, which drops the old batches.  The rows are
+    thus brought together by user once, and the windows by (user, film) and by user
+    that follow need no further shuffle; when the users are few Spark broadcasts
+    them and the windows shuffle the rows found.
     """
     replaces = F.coalesce("replaces", F.lit(True))
-    batches = stored.groupBy("user_id", "batch").agg(F.max(replaces).alias("_replaces"))
-    since = batches.groupBy("user_id").agg(F.max(F.when(F.col("_replaces"), F.col("batch"))).alias("_since"))
-    live = batches.join(since, "user_id").where(F.col("_since").isNull() | (F.col("batch") >= F.col("_since")))
-    rows = stored.join(live.select("user_id", "batch"), ["user_id", "batch"], "left_semi")
+    since = stored.groupBy("user_id").agg(F.max(F.when(replaces, F.col("batch"))).alias("_since"))
+    if wanted is not None:
+        since = since.join(wanted, "user_id", "left_semi")
+    rows = stored.join(since, "user_id").where(F.col("batch") >= F.coalesce("_since", "batch"))
     film = F.coalesce("movie_id", F.from_json("member", MEMBER_SCHEMA)["movieId"])
-    return dedupe_by_key(rows.withColumn("_film", film), ["user_id", "_film"], [F.col("batch").desc(), *_best()]).drop("_film")
+    found = rows.select("user_id", "score", "member", "batch", film.alias("_film"))
+    return dedupe_by_key(found, ["user_id", "_film"], [F.col("batch").desc(), *_best()]).drop("_film")
 
 
 def compact_ranked(spark: SparkSession, path: str, out_path: str, num_buckets: int = DEFAULT_BUCKETS,

@@ -18,8 +18,8 @@ append-only Parquet table:
 A list is a set, as a sorted set is: every film once, with its last score.  A
 write keeps a film's best score where its rows repeat one; a read takes the
 user's latest replacing batch and the merged ones after it, and of each film
-the latest batch's row.  Both are first-row windows that Spark limits to one
-row per key and task before the shuffle.
+the latest batch's row.  Both are first-row windows; in a write Spark limits
+them to one row per key and task before the shuffle.
 """
 
 from __future__ import annotations
